@@ -189,8 +189,8 @@ curve AS (
   FROM uniq CROSS JOIN spread CROSS JOIN range(200) AS grid(i)
   GROUP BY i, lo, hi, n, h
 )
-SELECT point, {_even("x", 12)} AS x, {_even("density", 12)} AS density,
-       {_even("density * area", 12)} AS scaled
+SELECT point, {_even("x")} AS x, {_even("density", 12)} AS density,
+       {_even("density * area")} AS scaled
 FROM curve"""
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airwave.functions.labels import display_name, language_label
-from airwave.functions.numeric import round_even
+from airwave.functions.numeric import even_sql
 from airwave.operators.joins import full_batches
 from airwave.operators.ordered import (
     SERIES,
@@ -36,15 +36,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def tidy(df: DataFrame, places: int = 6) -> DataFrame:
-    def column(field: T.StructField):
-        c = F.col(field.name)
+    def column(field: T.StructField) -> str:
         if isinstance(field.dataType, T.TimestampType):
-            c = c.cast("timestamp_ntz")
-        elif isinstance(field.dataType, T.DoubleType):
-            c = round_even(c, places)
-        return c.alias(field.name)
+            return f"CAST({field.name} AS TIMESTAMP_NTZ) AS {field.name}"
+        if isinstance(field.dataType, T.DoubleType):
+            return f"{even_sql(field.name, places)} AS {field.name}"
+        return field.name
 
-    return df.select(*[column(f) for f in df.schema.fields])
+    return df.selectExpr(*[column(f) for f in df.schema.fields])
 
 
 def _raw(spark: SparkSession, directory: str) -> DataFrame:
@@ -83,8 +82,8 @@ def _picked(source: Query, *columns: str) -> Query:
     return lambda spark, directory: tidy(source(spark, directory).select(*columns))
 
 
-def _over(source: Query, build: Callable[[DataFrame], DataFrame], places: int = 6) -> Query:
-    return lambda spark, directory: tidy(build(source(spark, directory)), places)
+def _over(source: Query, build: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, directory: tidy(build(source(spark, directory)))
 
 
 def _summary(source: Query, build: Callable[[DataFrame], DataFrame]) -> Query:
@@ -127,6 +126,15 @@ def _profile(spark: SparkSession, directory: str) -> DataFrame:
     return tidy(Q.profile(_raw(spark, directory), _base(spark, directory)))
 
 
+def _density(spark: SparkSession, directory: str) -> DataFrame:
+    """Densities are small numbers, so they keep more places than the other columns."""
+    curve = Q.viewer_density(_base(spark, directory))
+    return curve.selectExpr(
+        "point", f"{even_sql('x', 6)} AS x", f"{even_sql('density', 12)} AS density",
+        f"{even_sql('scaled', 6)} AS scaled",
+    )
+
+
 def _labels(df: DataFrame) -> DataFrame:
     return df.select(
         "id",
@@ -207,7 +215,7 @@ def registered() -> dict[str, Query]:
         "languages_by_total": _over(_base, Q.languages_by_total),
         "viewer_describe": _over(_base, Q.viewer_describe),
         "viewer_histogram": lambda s, d: tidy(Q.viewer_histogram(s, _base(s, d))),
-        "viewer_density": _over(_base, Q.viewer_density, 12),
+        "viewer_density": _density,
         "mature_split": _over(_base, Q.mature_split),
         "fact_rows": _over(_enriched, L.to_fact),
         "fact_count": _sql(_base, L.fact_count),

@@ -14,7 +14,7 @@ def full_batches(df: DataFrame, threshold: int = 900) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("_size"))
     )
     full = sizes.where(F.col("_size") >= threshold).select("collected_at")
-    return df.join(full, "collected_at", "left_semi")
+    return df.join(full, "collected_at", "left_semi").select(*df.columns)
 
 
 def join_top(df: DataFrame, top: DataFrame, on: list[str]) -> DataFrame:
@@ -32,4 +32,5 @@ def keep_top(df: DataFrame, top: DataFrame, key: str) -> DataFrame:
 
 def batches_not_in(df: DataFrame, loaded: DataFrame) -> DataFrame:
     """Rows whose `collected_at` is in no row of `loaded`; Spark picks the strategy by size."""
-    return df.join(loaded.select("collected_at").distinct(), "collected_at", "left_anti")
+    known = loaded.select("collected_at").distinct()
+    return df.join(known, "collected_at", "left_anti").select(*df.columns)

@@ -76,57 +76,58 @@ def history_keys(cleaned: DataFrame) -> DataFrame:
     return first_rows(narrow, keys, _landing_order(narrow, [])).drop("ingest_seq")
 
 
+def _with_sql(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.withColumns({name: F.expr(sql) for name, sql in columns.items()})
+
+
 def add_row_features(df: DataFrame) -> DataFrame:
     """Features that need nothing but the row itself."""
-    minutes = X.duration_minutes(F.col(TIME), F.col("started_at"))
-    timed = df.withColumn("stream_duration_minutes", minutes)
-    counted = timed.withColumn("tags_count", X.tag_count(F.col("tags")))
-    return counted.withColumns(
-        {
-            "stream_duration_hours": X.duration_hours(F.col("stream_duration_minutes")),
-            "snapshot_date": X.day_text(F.col(TIME)),
-            "snapshot_hour_utc": F.hour(TIME),
-            "snapshot_weekday": X.weekday_name(F.col(TIME)),
-            "is_weekend": X.on_weekend(F.col(TIME)),
-            "started_date": X.day_text(F.col("started_at")),
-            "started_hour_utc": F.hour("started_at"),
-            "title_length": F.char_length("title"),
-            "has_tags": F.col("tags_count") > 0,
-            "viewer_count_bucket": X.viewer_bucket(F.col("viewer_count")),
-            "stream_age_bucket": X.age_bucket(F.col("stream_duration_minutes")),
-        }
-    )
+    first = {
+        "stream_duration_minutes": X.duration_minutes(TIME, "started_at"),
+        "tags_count": X.tag_count("tags"),
+    }
+    then = {
+        "stream_duration_hours": X.duration_hours("stream_duration_minutes"),
+        "snapshot_date": X.day_text(TIME),
+        "snapshot_hour_utc": f"hour({TIME})",
+        "snapshot_weekday": X.weekday_name(TIME),
+        "is_weekend": X.on_weekend(TIME),
+        "started_date": X.day_text("started_at"),
+        "started_hour_utc": "hour(started_at)",
+        "title_length": "char_length(title)",
+        "has_tags": "tags_count > 0",
+        "viewer_count_bucket": X.viewer_bucket("viewer_count"),
+        "stream_age_bucket": X.age_bucket("stream_duration_minutes"),
+    }
+    return _with_sql(_with_sql(df, first), then)
 
 
 def add_changes(df: DataFrame) -> DataFrame:
     """Change against the previous snapshot of the stream."""
-    previous = F.col("previous_viewer_count")
-    changed = df.withColumns(
-        {
-            "minutes_since_last_snapshot": X.gap_minutes(
-                F.col(TIME), F.col("previous_collected_at")
-            ),
-            "viewer_count_delta": X.delta(F.col("viewer_count"), previous),
-        }
-    )
-    change = F.col("viewer_count_delta")
-    return changed.withColumns(
-        {"viewer_count_pct_change": X.pct_change(change, previous), "viewer_trend": X.trend(change)}
-    )
+    first = {
+        "minutes_since_last_snapshot": X.gap_minutes(TIME, "previous_collected_at"),
+        "viewer_count_delta": X.delta("viewer_count", "previous_viewer_count"),
+    }
+    then = {
+        "viewer_count_pct_change": X.pct_change("viewer_count_delta", "previous_viewer_count"),
+        "viewer_trend": X.trend("viewer_count_delta"),
+    }
+    return _with_sql(_with_sql(df, first), then)
 
 
 def without_history(df: DataFrame) -> DataFrame:
     """History columns for rows that carry no stream id."""
-    return df.withColumns(
+    return _with_sql(
+        df,
         {
-            "previous_viewer_count": F.lit(None).cast("bigint"),
-            "previous_collected_at": F.lit(None).cast("timestamp"),
-            "stream_snapshot_number": F.lit(1),
-            "minutes_since_last_snapshot": F.lit(None).cast("double"),
-            "viewer_count_delta": F.lit(0.0),
-            "viewer_count_pct_change": F.lit(0.0),
-            "viewer_trend": F.lit("stable"),
-        }
+            "previous_viewer_count": "CAST(NULL AS BIGINT)",
+            "previous_collected_at": "CAST(NULL AS TIMESTAMP)",
+            "stream_snapshot_number": "1",
+            "minutes_since_last_snapshot": "CAST(NULL AS DOUBLE)",
+            "viewer_count_delta": "0D",
+            "viewer_count_pct_change": "0D",
+            "viewer_trend": "'stable'",
+        },
     )
 
 

@@ -166,8 +166,8 @@ def mature_split(df: DataFrame) -> DataFrame:
 
 def stream_hours(df: DataFrame) -> DataFrame:
     """Running time of each stream at collection, neither clipped nor rounded."""
-    hours = raw_duration_hours(F.col("collected_at"), F.col("started_at"))
-    return df.select("id", "collected_at", "started_at", hours.alias("stream_duration_hours"))
+    hours = f"{raw_duration_hours('collected_at', 'started_at')} AS stream_duration_hours"
+    return df.selectExpr("id", "collected_at", "started_at", hours)
 
 
 # Distribution of viewer counts. All three queries work on distinct counts with their number of

@@ -155,7 +155,7 @@ def streamer_summary(rows: DataFrame) -> DataFrame:
             *_aggregates("avg_viewers", "peak_viewers", "avg_delta"),
             F.min("best_rank").alias("best_rank"),
         )
-        .withColumn("hours_observed", hours_observed(F.col("last_seen_at"), F.col("first_seen_at")))
+        .withColumn("hours_observed", F.expr(hours_observed("last_seen_at", "first_seen_at")))
         .orderBy(down("peak_viewers"), down("avg_viewers"), *[up(c) for c in STREAMER])
     )
 

@@ -15,6 +15,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# Fixed when a session starts. Call-site capture costs driver round trips per column expression.
+STATIC_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def build_session(
     app_name: str = "airwave",
@@ -25,7 +28,7 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **(extra or {})}.items():
+    for key, value in {**SETTINGS, **STATIC_SETTINGS, **(extra or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

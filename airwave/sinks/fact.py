@@ -48,7 +48,8 @@ def insert_batch(fact: DataFrame, name: str) -> int:
     ones. The count is taken while writing.
     """
     counted = Observation()
-    rows = fact.withColumn("collected_date", F.to_date("collected_at"))
+    # insertInto goes by position.
+    rows = fact.select(*FACT.fieldNames(), F.to_date("collected_at").alias("collected_date"))
     (
         rows.observe(counted, F.count(F.lit(1)).alias("rows"))
         .hint("rebalance", "collected_date")

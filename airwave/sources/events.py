@@ -3,49 +3,39 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+KEYED = [
+    "*",
+    "CAST(get_json_object(props, '$.k') AS INT) AS k",
+    "CAST(date_trunc('hour', ts) AS TIMESTAMP_NTZ) AS batch",
+    "CAST(user_id AS STRING) AS stream",
+]
+
+SNAPSHOT = [
+    "event_id AS ingest_seq",
+    "stream AS id",
+    "stream AS user_id",
+    "concat('user_', stream) AS user_login",
+    "concat(IF(user_id % 10 = 0, 'üser', 'User'), stream) AS user_name",
+    "event_type AS game_id",
+    "IF(k % 20 = 7, NULL, event_type) AS game_name",
+    "'live' AS type",
+    "props AS title",
+    "IF(k = 50, 'n/a', CAST(floor(value * value) AS STRING)) AS viewer_count",
+    "IF(k = 99, NULL, timestampadd(MINUTE, (2 - k) * 10, batch)) AS started_at",
+    "CASE k % 6 WHEN 0 THEN 'en' WHEN 1 THEN 'es' WHEN 2 THEN 'pt' WHEN 3 THEN 'de' "
+    "WHEN 4 THEN 'zh-cn' END AS language",
+    "CAST(NULL AS STRING) AS thumbnail_url",
+    "CAST(NULL AS STRING) AS tag_ids",
+    "CASE k % 4 WHEN 1 THEN 'a' WHEN 2 THEN 'a, b' WHEN 3 THEN ' , a,,b , ' END AS tags",
+    "CASE k % 3 WHEN 0 THEN 'True' WHEN 1 THEN 'false' ELSE '' END AS is_mature",
+    "batch AS collected_at",
+]
 
 
 def snapshots_from_events(events: DataFrame) -> DataFrame:
     """One raw snapshot row per event: the user is the stream, the hour is the batch."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    user = F.col("user_id").cast("string")
-    batch = F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz")
-    rows = events.withColumns({"_k": k, "_batch": batch})
-    k = F.col("_k")
-    return rows.select(
-        F.col("event_id").alias("ingest_seq"),
-        user.alias("id"),
-        user.alias("user_id"),
-        F.concat(F.lit("user_"), user).alias("user_login"),
-        F.when(F.col("user_id") % 10 == 0, F.concat(F.lit("üser"), user))
-        .otherwise(F.concat(F.lit("User"), user))
-        .alias("user_name"),
-        F.col("event_type").alias("game_id"),
-        F.when(k % 20 == 7, None).otherwise(F.col("event_type")).alias("game_name"),
-        F.lit("live").alias("type"),
-        F.col("props").alias("title"),
-        F.when(k == 50, "n/a")
-        .otherwise(F.floor(F.col("value") * F.col("value")).cast("string"))
-        .alias("viewer_count"),
-        F.when(k == 99, None)
-        .otherwise(F.timestamp_add("MINUTE", (F.lit(2) - k) * 10, F.col("_batch")))
-        .alias("started_at"),
-        F.when(k % 6 == 0, "en")
-        .when(k % 6 == 1, "es")
-        .when(k % 6 == 2, "pt")
-        .when(k % 6 == 3, "de")
-        .when(k % 6 == 4, "zh-cn")
-        .alias("language"),
-        F.lit(None).cast("string").alias("thumbnail_url"),
-        F.lit(None).cast("string").alias("tag_ids"),
-        F.when(k % 4 == 1, "a")
-        .when(k % 4 == 2, "a, b")
-        .when(k % 4 == 3, " , a,,b , ")
-        .alias("tags"),
-        F.when(k % 3 == 0, "True").when(k % 3 == 1, "false").otherwise("").alias("is_mature"),
-        F.col("_batch").alias("collected_at"),
-    )
+    return events.selectExpr(*KEYED).selectExpr(*SNAPSHOT)
 
 
 def read_event_snapshots(spark: SparkSession, directory: str) -> DataFrame:

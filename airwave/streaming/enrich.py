@@ -144,28 +144,31 @@ def enrich_batch(
 ) -> None:
     """Process one micro-batch of raw rows. Running it again for the same number replaces it."""
     spark = batch.sparkSession
+    # The state of every `compact_every`-th micro-batch is complete; older ones are not read.
+    complete = max(epoch - 1, 0) // compact_every * compact_every
+    compacts = epoch % compact_every == 0
+    states = _stored(spark, f"{out}/state", STATE)
+    known = _stored(spark, f"{out}/times", TIMES)
+    earlier = F.col("batch_id") < epoch
+    if states is None or known is None:
+        state = spark.createDataFrame([], STATE).drop("batch_id")
+    else:
+        state = _latest_state(states.where(earlier & (F.col("batch_id") >= complete)))
     fresh = clean(batch.drop("batch_id"), run_ts).persist()
     try:
         if fresh.isEmpty():
+            if compacts and states is not None:
+                state.write.mode("overwrite").parquet(f"{out}/state/batch_id={epoch}")
             return
         keys = history_keys(fresh)
-        # The state of every `compact_every`-th micro-batch is complete; older ones are not read.
-        complete = max(epoch - 1, 0) // compact_every * compact_every
-        states = _stored(spark, f"{out}/state", STATE)
-        known = _stored(spark, f"{out}/times", TIMES)
-        earlier = F.col("batch_id") < epoch
-        if states is None or known is None:
-            state = spark.createDataFrame([], STATE).drop("batch_id")
-            late = spark.createDataFrame([], T.StructType(STATE.fields[:1]))
-            reworked = False
-        else:
-            state = _latest_state(states.where(earlier & (F.col("batch_id") >= complete)))
-            late = (
-                keys.join(state, SERIES)
-                .where(F.col(TIME) <= F.col("_last_at"))
-                .select(SERIES)
-                .distinct()
-            )
+        late = (
+            keys.join(state, SERIES)
+            .where(F.col(TIME) <= F.col("_last_at"))
+            .select(SERIES)
+            .distinct()
+        )
+        reworked = False
+        if known is not None:
             again = keys.join(known.where(earlier), TIME, "left_semi")
             reworked = not (late.isEmpty() and again.isEmpty())
         if reworked:
@@ -187,7 +190,7 @@ def enrich_batch(
                 F.max("stream_snapshot_number").alias("_rows"),
             )
         )
-        if epoch % compact_every == 0:
+        if compacts:
             merged = union_growing(
                 state.withColumn("batch_id", F.lit(epoch - 1)),
                 delta.withColumn("batch_id", F.lit(epoch)),
