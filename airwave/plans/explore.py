@@ -283,14 +283,8 @@ def viewer_density(df: DataFrame, points: int = 200, bins: int = 30) -> DataFram
         ((value - part["lo"]) / F.nullif(part["h"], F.lit(0.0))).alias("z"),
         ((part["hi"] - part["lo"]) / (points - 1) / F.nullif(part["h"], F.lit(0.0))).alias("step"),
     ).where(F.col("z").isNotNull())
-    sums = scaled.agg(
-        F.array(
-            *[
-                F.sum(F.col("n") * F.exp(-0.5 * F.pow(F.col("z") - F.col("step") * i, F.lit(2.0))))
-                for i in range(points)
-            ]
-        ).alias("sums")
-    )
+    curve = ", ".join(f"sum(n * exp(-0.5D * pow(z - step * {i}, 2D)))" for i in range(points))
+    sums = scaled.agg(F.expr(f"array({curve})").alias("sums"))
     grid = sums.select(F.posexplode("sums").alias("point", "mass")).where(
         F.col("mass").isNotNull()
     )

@@ -84,7 +84,8 @@ def latest_batch(enriched: DataFrame) -> tuple[DataFrame, Any]:
         # The enriched table is laid out by this column.
         kept = enriched.where(F.col("snapshot_date") == found.strftime("%Y-%m-%d"))
         rows = to_fact(kept)
-    return rows.where(F.col("collected_at") == F.lit(found).cast("timestamp_ntz")), found
+    stamp = F.lit(found.isoformat(sep=" ")).cast("timestamp_ntz")
+    return rows.where(F.col("collected_at") == stamp), found
 
 
 def load_latest_batch(

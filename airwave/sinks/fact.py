@@ -28,11 +28,9 @@ def ensure_table(spark: SparkSession, table: str = DEFAULT_TABLE, database: str
 def batch_present(spark: SparkSession, name: str, collected_at: datetime) -> bool:
     """Does the table hold any row of this batch? The date predicate limits the scan to one day."""
     found = spark.sql(
-        f"SELECT 1 FROM {name} WHERE collected_date = :day AND collected_at = :at LIMIT 1",
-        args={
-            "day": collected_at.date(),
-            "at": F.lit(collected_at).cast("timestamp_ntz"),
-        },
+        f"SELECT 1 FROM {name} WHERE collected_date = :day "
+        "AND collected_at = CAST(:at AS TIMESTAMP_NTZ) LIMIT 1",
+        args={"day": collected_at.date(), "at": collected_at.isoformat(sep=" ")},
     )
     return not found.isEmpty()
 
@@ -47,6 +45,9 @@ def insert_batch(fact: DataFrame, name: str) -> int:
     Rebalancing by day gives files of even size: AQE splits a day with many rows and merges small
     ones. The count is taken while writing.
     """
+    # An empty input is optimised away, and its count with it.
+    if fact.isEmpty():
+        return 0
     counted = Observation()
     # insertInto goes by position.
     rows = fact.select(*FACT.fieldNames(), F.to_date("collected_at").alias("collected_date"))

@@ -33,8 +33,8 @@ def finish(query):
 
 
 def same(a, b):
-    b = b.select(*a.columns)
-    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    """Equal as multisets of rows; each side runs once."""
+    return sorted(map(repr, a.collect())) == sorted(map(repr, b.select(*a.columns).collect()))
 
 
 def snapshot(raw, time, counts, start=0):
@@ -72,7 +72,7 @@ def test_in_order_batches_equal_one_run(spark, raw, tmp_path):
     run(frames, out)
     assert same(batch_result(frames), read_incremental(spark, out))
     # Nothing was worked out twice.
-    assert spark.read.parquet(f"{out}/rows").count() == batch_result(frames).count()
+    assert spark.read.parquet(f"{out}/rows").count() == sum(len(counts) for _, counts in STEPS)
 
 
 def test_late_split_and_repeated_rows_equal_one_run(spark, raw, tmp_path):
