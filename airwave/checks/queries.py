@@ -145,7 +145,9 @@ def _labels(df: DataFrame) -> DataFrame:
 
 
 def _latest_batch(spark: SparkSession, directory: str) -> DataFrame:
-    return L.latest_batch(_enriched(spark, directory))[0]
+    # Deduplication and enrichment keep all batch times, so the newest one is read from the source.
+    at = L.newest_time(_cleaned(spark, directory))
+    return L.latest_batch(_enriched(spark, directory), at)[0]
 
 
 def _game_hourly(spark: SparkSession, directory: str) -> DataFrame:

@@ -52,15 +52,19 @@ def _keyed(df: DataFrame) -> tuple[DataFrame, list[str]]:
     return (with_series_key(df), [SERIES, TIME]) if "id" in df.columns else (df, [TIME])
 
 
-def _landing_order(df: DataFrame, last: list[str]) -> list[Column]:
-    """Landing order first. The rest only decides ties, so that a retried task picks the same row."""
-    order = [c for c in ("ingest_seq", "viewer_count") if c in df.columns]
-    return [F.col(c).asc_nulls_last() for c in order + [c for c in last if c not in order]]
+def _landing_order(df: DataFrame, otherwise: list[str]) -> list[Column]:
+    """Landing order, which is unique per raw row; the count settles what a repeated number leaves.
+
+    Only a table without `ingest_seq` is ordered by its columns (`otherwise`), so that a retried
+    task picks the same row. Ordering by them always would make every query read them.
+    """
+    order = ["ingest_seq", "viewer_count"] if "ingest_seq" in df.columns else otherwise
+    return [F.col(c).asc_nulls_last() for c in order]
 
 
 def _first_landed(keyed: DataFrame, keys: list[str]) -> DataFrame:
-    ties = [c for c in RAW_COLUMNS if c in keyed.columns and c not in ("id", TIME)]
-    return first_rows(keyed, keys, _landing_order(keyed, ties))
+    columns = [c for c in RAW_COLUMNS if c in keyed.columns and c not in ("id", TIME)]
+    return first_rows(keyed, keys, _landing_order(keyed, ["viewer_count", *columns]))
 
 
 def dedupe(cleaned: DataFrame) -> DataFrame:
@@ -73,7 +77,7 @@ def history_keys(cleaned: DataFrame) -> DataFrame:
     keyed, keys = _keyed(cleaned)
     needed = [c for c in (*keys, "ingest_seq", "viewer_count") if c in keyed.columns]
     narrow = keyed.select(*needed)
-    return first_rows(narrow, keys, _landing_order(narrow, [])).drop("ingest_seq")
+    return first_rows(narrow, keys, _landing_order(narrow, ["viewer_count"])).drop("ingest_seq")
 
 
 def _with_sql(df: DataFrame, columns: dict[str, str]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import datetime
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,25 +68,29 @@ def newest(fact: DataFrame) -> DataFrame:
     )
 
 
-def latest_batch(enriched: DataFrame) -> tuple[DataFrame, Any]:
+def newest_time(df: DataFrame) -> datetime:
+    """The newest collection time: one value from one column. ValueError if there is none."""
+    times = df.select(timestamp_column(df, "collected_at").alias("collected_at"))
+    stamp = F.date_trunc("second", "collected_at").cast("timestamp_ntz")
+    found = times.agg(F.max(stamp).alias("newest")).first()["newest"]
+    if found is None:
+        raise ValueError("no row has a valid collected_at")
+    return found
+
+
+def latest_batch(enriched: DataFrame, at: datetime | None = None) -> tuple[DataFrame, datetime]:
     """The newest batch as fact rows, and its time.
 
-    The maximum is fetched first (one value from one column), so that the batch filter is a literal
+    The time is fetched first, unless the caller knows it, so that the batch filter is a literal
     that reaches the file scan.
     """
-    times = enriched.select(timestamp_column(enriched, "collected_at").alias("collected_at"))
-    found = times.agg(
-        F.max(F.date_trunc("second", "collected_at").cast("timestamp_ntz")).alias("newest")
-    ).first()["newest"]
-    if found is None:
-        raise ValueError("no row has a valid collected_at")
-    rows = to_fact(enriched)
+    found = at or newest_time(enriched)
+    kept = enriched
     if "snapshot_date" in enriched.columns:
         # The enriched table is laid out by this column.
         kept = enriched.where(F.col("snapshot_date") == found.strftime("%Y-%m-%d"))
-        rows = to_fact(kept)
     stamp = F.lit(found.isoformat(sep=" ")).cast("timestamp_ntz")
-    return rows.where(F.col("collected_at") == stamp), found
+    return to_fact(kept).where(F.col("collected_at") == stamp), found
 
 
 def load_latest_batch(
