@@ -10,7 +10,7 @@ import __spark_entry__ as contract
 from airwave.plans.enrich import enrich
 from airwave.sources.events import read_event_snapshots
 
-DATA = "/root/testdata/sf0.001"
+DATA = "/root/testdata/sf0.01"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
 
 
