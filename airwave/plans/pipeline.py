@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 from airwave.plans.enrich import enrich
 from airwave.plans.fact import load_latest_batch
 from airwave.plans.summaries import build_summaries, measures, pre_aggregate, prepare
-from airwave.session import configure, shared_dir
+from airwave.session import configure, stored
 from airwave.sinks.fact import DEFAULT_TABLE
 from airwave.sinks.tables import append_raw, write_enriched, write_summaries
 from airwave.sources.payload import read_pages, snapshot_rows
@@ -53,12 +53,11 @@ def enrich_job(
 def summaries_job(spark: SparkSession, enriched: str, directory: str) -> list[str]:
     """Write the nine summaries.
 
-    Seven of them are built from a checkpointed pre-aggregate, so the enriched table is read three
-    times, not nine, and a lost executor does not send them back to it.
+    Seven of them are built from a stored pre-aggregate, so the enriched table is read three times,
+    not nine, and a lost executor does not send them back to it.
     """
-    shared_dir(spark)
     table = read_enriched(spark, enriched)
-    folded = pre_aggregate(measures(prepare(table))).checkpoint()
+    folded = stored(pre_aggregate(measures(prepare(table))))
     return write_summaries(build_summaries(table, folded), directory)
 
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # All calendar features are UTC; AQE coalesces small shuffles and splits skewed joins.
 SETTINGS = {
@@ -51,3 +52,14 @@ def shared_dir(spark: SparkSession) -> str:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(named)
     return named
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The frame written once as Parquet in the shared folder and read back.
+
+    Cuts the lineage like a checkpoint, and later reads touch only the columns they need.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/airwave-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

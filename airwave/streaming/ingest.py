@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from airwave.functions.coerce import timestamp_column, whole_column
+from airwave.functions.coerce import run_instant, timestamp_column, whole_column
 from airwave.schema import PAYLOAD_STREAM, RAW, payload
 from airwave.sources.payload import raw_projection, snapshot_rows
 
@@ -47,15 +50,19 @@ def raw_stream(spark: SparkSession, raw: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(raw)
 
 
-def unique_stream(rows: DataFrame, delay: str = "0 seconds") -> DataFrame:
+def unique_stream(
+    rows: DataFrame, delay: str = "0 seconds", run_ts: datetime | str | None = None
+) -> DataFrame:
     """Typed rows without repeats of (id, collected_at) inside the watermark.
 
-    The first row to arrive stays, which is the first in landing order only if files arrive in
+    A row without a readable time gets the run time, as in the batch job. The first row to arrive stays, which is the first in landing order only if files arrive in
     order; the enrichment stream decides by landing order instead.
     """
     typed = rows.withColumns(
         {
-            "collected_at": timestamp_column(rows, "collected_at"),
+            "collected_at": F.coalesce(
+                timestamp_column(rows, "collected_at"), run_instant(run_ts)
+            ),
             "viewer_count": whole_column(rows, "viewer_count", 0),
         }
     )
