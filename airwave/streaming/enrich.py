@@ -10,7 +10,9 @@ therefore looks up where its streams stand (`state`), and which batches were see
   streams and batches are worked out again from all their rows, and written as a newer version.
 
 Folders under the output: `rows` (versions of enriched rows), `state` (last time, last count and
-row count per stream) and `times` (batch times), each by micro-batch number.
+row count per stream) and `times` (batch times), each by micro-batch number. `state` and `times` are
+logs cut into periods of `compact_every` micro-batches: the first entry of a period is complete, so
+a lookup lists and reads one period, however long the stream has run.
 """
 
 from __future__ import annotations
@@ -67,6 +69,23 @@ def _stored(spark: SparkSession, path: str, schema: T.StructType | None = None)
         raise
 
 
+def _period(out: str, log: str, epoch: int, compact_every: int) -> str:
+    return f"{out}/{log}/since={epoch // compact_every * compact_every}"
+
+
+def _log_before(
+    spark: SparkSession, out: str, log: str, epoch: int, compact_every: int, schema: T.StructType
+) -> DataFrame | None:
+    """Entries of a log that a micro-batch builds on."""
+    entries = _stored(spark, _period(out, log, epoch - 1, compact_every), schema)
+    return None if entries is None else entries.where(F.col("batch_id") < epoch)
+
+
+def _log(entries: DataFrame, out: str, log: str, epoch: int, compact_every: int) -> None:
+    period = _period(out, log, epoch, compact_every)
+    entries.write.mode("overwrite").parquet(f"{period}/batch_id={epoch}")
+
+
 def _newest_version(rows: DataFrame) -> DataFrame:
     keyed = with_series_key(rows)
     return first_rows(keyed, KEYS, [F.col("batch_id").desc()]).drop(SERIES)
@@ -144,21 +163,20 @@ def enrich_batch(
 ) -> None:
     """Process one micro-batch of raw rows. Running it again for the same number replaces it."""
     spark = batch.sparkSession
-    # The state of every `compact_every`-th micro-batch is complete; older ones are not read.
-    complete = max(epoch - 1, 0) // compact_every * compact_every
     compacts = epoch % compact_every == 0
-    states = _stored(spark, f"{out}/state", STATE)
-    known = _stored(spark, f"{out}/times", TIMES)
-    earlier = F.col("batch_id") < epoch
-    if states is None or known is None:
+    states = _log_before(spark, out, "state", epoch, compact_every, STATE)
+    times = _log_before(spark, out, "times", epoch, compact_every, TIMES)
+    if states is None or times is None:
         state = spark.createDataFrame([], STATE).drop("batch_id")
+        known = spark.createDataFrame([], TIMES).drop("batch_id")
     else:
-        state = _latest_state(states.where(earlier & (F.col("batch_id") >= complete)))
+        state, known = _latest_state(states), times.select(TIME).distinct()
     fresh = clean(batch.drop("batch_id"), run_ts).persist()
     try:
         if fresh.isEmpty():
             if compacts and states is not None:
-                state.write.mode("overwrite").parquet(f"{out}/state/batch_id={epoch}")
+                _log(state, out, "state", epoch, compact_every)
+                _log(known, out, "times", epoch, compact_every)
             return
         keys = history_keys(fresh)
         late = (
@@ -167,11 +185,10 @@ def enrich_batch(
             .select(SERIES)
             .distinct()
         )
-        reworked = False
-        if known is not None:
-            again = keys.join(known.where(earlier), TIME, "left_semi")
-            reworked = not (late.isEmpty() and again.isEmpty())
+        again = keys.join(known, TIME, "left_semi")
+        reworked = states is not None and not (late.isEmpty() and again.isEmpty())
         if reworked:
+            earlier = F.col("batch_id") < epoch
             past = _newest_version(_stored(spark, f"{out}/rows").where(earlier))
             kept = [c for c in past.columns if c not in (*DERIVED.fieldNames(), "batch_id")]
             rows = _reworked(fresh, past.select(*kept), late)
@@ -196,10 +213,11 @@ def enrich_batch(
                 delta.withColumn("batch_id", F.lit(epoch)),
             )
             delta = _latest_state(merged)
-        delta.write.mode("overwrite").parquet(f"{out}/state/batch_id={epoch}")
-        keys.select(TIME).distinct().write.mode("overwrite").parquet(
-            f"{out}/times/batch_id={epoch}"
-        )
+        seen = keys.select(TIME).distinct()
+        if compacts:
+            seen = seen.union(known).distinct()
+        _log(delta, out, "state", epoch, compact_every)
+        _log(seen, out, "times", epoch, compact_every)
     finally:
         fresh.unpersist()
 
