@@ -84,7 +84,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
-                "sf": Path(directory).name.removeprefix("sf"),
+                "sf": float(Path(directory).name.removeprefix("sf")),
             }
         )
     )
