@@ -180,6 +180,11 @@ def _value_counts(df: DataFrame) -> DataFrame:
     )
 
 
+def _scalars(row: DataFrame) -> Column:
+    """A one-row frame as a struct-valued scalar subquery, run once whatever reads its fields."""
+    return row.select(F.struct(*row.columns).alias("fields")).scalar()
+
+
 def _percentile(running: str, value: str, fraction: float, total: Column) -> Column:
     """Linear interpolation between the two neighbouring ranks, as an aggregate."""
     position = (total - 1) * fraction
@@ -195,8 +200,8 @@ def viewer_describe(df: DataFrame) -> DataFrame:
     moments = counts.agg(
         F.sum("n").alias("total"), ratio(F.sum(value * n), F.sum(n)).alias("mean")
     )
-    total = moments.select("total").scalar()
-    mean = moments.select("mean").scalar()
+    found = _scalars(moments)
+    total, mean = found["total"], found["mean"]
     squares = F.sum(n * (value - mean) * (value - mean))
     ranked = running_total(counts, [], "viewer_count", "n")
     return ranked.agg(
@@ -225,8 +230,8 @@ def viewer_histogram(spark: SparkSession, df: DataFrame, bins: int = 30) -> Data
         (F.col("lo") - F.when(flat, 0.5).otherwise(0.0)).alias("lo"),
         (F.col("hi") + F.when(flat, 0.5).otherwise(0.0)).alias("hi"),
     )
-    lo, hi = edges.select("lo").scalar(), edges.select("hi").scalar()
-    # A column reads the scalars once per row here; the bin arithmetic below reuses it.
+    found = _scalars(edges)
+    lo, hi = found["lo"], found["hi"]
     placed = counts.withColumns({"_lo": lo, "_width": (hi - lo) / bins})
 
     def edge(index: Column) -> Column:
@@ -270,15 +275,14 @@ def viewer_density(df: DataFrame, points: int = 200, bins: int = 30) -> DataFram
     """
     counts = _value_counts(df)
     value, n = F.col("viewer_count"), F.col("n")
-    moments = counts.agg(F.sum(n).alias("n"), ratio(F.sum(value * n), F.sum(n)).alias("mean"))
-    mean = moments.select("mean").scalar()
+    mean = counts.agg(ratio(F.sum(value * n), F.sum(n)).alias("mean")).scalar()
     spread = counts.agg(
         F.sum(n).cast("double").alias("n"),
         F.min(value).cast("double").alias("lo"),
         F.max(value).cast("double").alias("hi"),
         F.sqrt(ratio(F.sum(n * (value - mean) * (value - mean)), F.sum(n) - 1)).alias("std"),
     ).select("n", "lo", "hi", (F.col("std") * F.pow("n", F.lit(-0.2))).alias("h"))
-    part = {name: spread.select(name).scalar() for name in ("n", "lo", "hi", "h")}
+    part = _scalars(spread)
     scaled = counts.select(
         n.cast("double").alias("n"),
         ((value - part["lo"]) / F.nullif(part["h"], F.lit(0.0))).alias("z"),
