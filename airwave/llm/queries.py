@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from airwave.llm.chat import format_chats, read_chats
 from airwave.llm.common import table
+from airwave.llm.exact import EXACT_SQL, exact_duplicates
+from airwave.llm.jaccard import jaccard_components
 from airwave.llm.language import fit, predict, remainder
 from airwave.llm.packing import pack
 from airwave.llm.pieces import decode_pieces, encode_pieces
@@ -26,6 +28,10 @@ def op1_token_files(spark: SparkSession, directory: str) -> DataFrame:
     return token_index(spark, path)
 
 
+def op2_exact_duplicates(spark: SparkSession, directory: str) -> DataFrame:
+    return exact_duplicates(table(spark, directory, "documents"))
+
+
 def op5_packing(spark: SparkSession, directory: str) -> DataFrame:
     pieces = pack(table(spark, directory, "documents"))
     return pieces.select(
@@ -74,16 +80,22 @@ def op9_language(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def op10_jaccard(spark: SparkSession, directory: str) -> DataFrame:
+    return jaccard_components(table(spark, directory, "documents"))
+
+
 def registered() -> dict[str, Query]:
     return {
         "op1_token_files": op1_token_files,
+        "op2_exact_duplicates": op2_exact_duplicates,
         "op5_packing": op5_packing,
         "op6_pieces": op6_pieces,
         "op7_token_counts": op7_token_counts,
         "op8_chat": op8_chat,
         "op9_language": op9_language,
+        "op10_jaccard": op10_jaccard,
     }
 
 
 def statements() -> dict[str, str]:
-    return {}
+    return {"op2_exact_duplicates": EXACT_SQL}
