@@ -12,6 +12,7 @@ from airwave.llm.chat import format_chats, read_chats
 from airwave.llm.common import table
 from airwave.llm.exact import EXACT_SQL, exact_duplicates
 from airwave.llm.jaccard import jaccard_components
+from airwave.llm.katz import katz_scores
 from airwave.llm.language import fit, predict, remainder
 from airwave.llm.packing import pack
 from airwave.llm.pieces import decode_pieces, encode_pieces
@@ -32,6 +33,10 @@ def op2_exact_duplicates(spark: SparkSession, directory: str) -> DataFrame:
     return exact_duplicates(table(spark, directory, "documents"))
 
 
+def op4_katz(spark: SparkSession, directory: str) -> DataFrame:
+    return katz_scores(table(spark, directory, "documents"))
+
+
 def op5_packing(spark: SparkSession, directory: str) -> DataFrame:
     pieces = pack(table(spark, directory, "documents"))
     return pieces.select(
@@ -88,6 +93,7 @@ def registered() -> dict[str, Query]:
     return {
         "op1_token_files": op1_token_files,
         "op2_exact_duplicates": op2_exact_duplicates,
+        "op4_katz": op4_katz,
         "op5_packing": op5_packing,
         "op6_pieces": op6_pieces,
         "op7_token_counts": op7_token_counts,
