@@ -160,3 +160,18 @@ SELECT doc_id,
     sha256(text) AS text_sha256
 FROM normal
 """
+
+
+def drop_exact_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """The rows of `docs` that stay, with all their columns; of repeated rows one stays."""
+
+    def row_key(sha: F.Column) -> F.Column:
+        return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), sha)
+
+    verdict = exact_duplicates(docs, block).where("kept")
+    stays = stored(verdict.select(row_key(F.col("text_sha256")).alias("_row_key")))
+    keyed = docs.withColumn("_row_key", row_key(F.sha2(normalised(), 256)))
+    # The window is over the join's own partitioning: texts are shuffled once.
+    again = F.row_number().over(Window.partitionBy("_row_key").orderBy(F.lit(1)))
+    found = keyed.join(stays, "_row_key", "left_semi").withColumn("_again", again)
+    return found.where("_again = 1").select(*docs.columns)

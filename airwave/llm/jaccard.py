@@ -310,3 +310,15 @@ def jaccard_components(
         F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "doc_id").alias("component_id"),
     )
+
+
+def drop_near_duplicates(
+    docs: DataFrame, words: int = WORDS, percent: int = PERCENT
+) -> DataFrame:
+    """The rows of `docs` that stay, with all their columns: of each component the smallest doc_id.
+
+    Rows without doc_id stay, as nothing tells them apart; so does every row of a doc_id that stays.
+    """
+    found = jaccard_components(docs, words, percent)
+    dropped = stored(found.where("component_id <> doc_id").select("doc_id").distinct())
+    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)

@@ -232,3 +232,23 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
             )
 
     return in_tasks(texts(docs), run, SCHEMA)
+
+
+def keep_known(docs: DataFrame, model: Model | None) -> DataFrame:
+    """The rows of `docs`, with all their columns, whose text the model does not reject."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index("text")
+
+    def run(batches: Batches) -> Iterator[pa.RecordBatch]:
+        known = sent.value
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                kept = []
+                for text in part.column(place).to_pylist():
+                    grams = ngrams(text or "") if known else ()
+                    sure = len(grams) and known.probabilities(grams).max() >= known.least
+                    kept.append(bool(sure))
+                yield part.filter(pa.array(kept))
+
+    return in_tasks(docs, run, docs.schema)

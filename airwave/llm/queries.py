@@ -14,6 +14,7 @@ from airwave.llm.exact import EXACT_SQL, exact_duplicates
 from airwave.llm.jaccard import jaccard_components
 from airwave.llm.katz import katz_scores
 from airwave.llm.language import fit, predict, remainder
+from airwave.llm.neighbours import neighbours
 from airwave.llm.packing import pack
 from airwave.llm.pieces import decode_pieces, encode_pieces
 from airwave.llm.token_counts import count_tokens
@@ -33,6 +34,10 @@ def op2_exact_duplicates(spark: SparkSession, directory: str) -> DataFrame:
     return exact_duplicates(table(spark, directory, "documents"))
 
 
+def op3_neighbours(spark: SparkSession, directory: str) -> DataFrame:
+    return neighbours(table(spark, directory, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op4_katz(spark: SparkSession, directory: str) -> DataFrame:
     return katz_scores(table(spark, directory, "documents"))
 
@@ -93,6 +98,7 @@ def registered() -> dict[str, Query]:
     return {
         "op1_token_files": op1_token_files,
         "op2_exact_duplicates": op2_exact_duplicates,
+        "op3_neighbours": op3_neighbours,
         "op4_katz": op4_katz,
         "op5_packing": op5_packing,
         "op6_pieces": op6_pieces,

@@ -7,23 +7,50 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from airwave.llm.common import table
+from airwave.llm.exact import drop_exact_duplicates
+from airwave.llm.jaccard import drop_near_duplicates
+from airwave.llm.language import fit, keep_known
 from airwave.llm.packing import pack
 from airwave.session import shared_dir
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised with enough confidence; others go."""
+    return keep_known(docs, fit(docs))
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that are equal but for white space, the one with the smallest doc_id."""
+    return drop_exact_duplicates(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that share most five-word shingles, directly or in steps, the smallest doc_id."""
+    return drop_near_duplicates(docs)
+
+
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Training windows of the kept documents; ids stay with their pieces."""
+    """Training windows of the kept documents; token ids stay with their pieces."""
     return pack(docs)
 
 
-STAGES = [("packing", pack_windows)]
+STAGES = [
+    ("language_id", known_language),
+    ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("packing", pack_windows),
+]
 
 #: Language ID and packing are not expressible in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows for the documents of `sf_dir`."""
+    """The last stage's rows for the documents of `sf_dir`.
+
+    Each stage is written to the shared folder, so a lost executor costs at most the stage's own tasks.
+    An empty table passes through all stages and gives no rows.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}/{name}"
