@@ -27,9 +27,11 @@ DIMENSIONS = 16
 #: Labelled rows a language gives to training and calibration, and n-grams taken of each row.
 PER_LANGUAGE = 1000
 PER_ROW = 256
+#: Rows that training visits at least, and times that it visits each.
+VISITS = 20_000
 EPOCHS = 5
-BATCH = 32
-RATE = 1.0
+BATCH = 16
+RATE = 4.0
 #: Share of the calibration rows that may be rejected.
 REJECTED = 0.001
 UNKNOWN = "und"
@@ -110,9 +112,10 @@ def train(rows: list[tuple[str, np.ndarray]], rejected: float = REJECTED) -> Mod
     embedding = rng.normal(0, 1 / DIMENSIONS, (BUCKETS, DIMENSIONS)).astype(np.float32)
     weights = np.zeros((DIMENSIONS, len(names)), np.float32)
     bias = np.zeros(len(names), np.float32)
-    steps = EPOCHS * -(-len(used) // BATCH)
+    epochs = max(EPOCHS, -(-VISITS // len(used)))
+    steps = epochs * -(-len(used) // BATCH)
     step = 0
-    for _ in range(EPOCHS):
+    for _ in range(epochs):
         rng.shuffle(used)
         for at in range(0, len(used), BATCH):
             rate = RATE * (1 - step / steps)
@@ -145,9 +148,9 @@ def calibrate(model: Model, rows: list, place: dict[str, int], rejected: float)
         right = softmax(logits / temperature)[np.arange(len(truth)), truth]
         return float(-np.log(np.maximum(right, 1e-12)).mean())
 
-    model.temperature = float(min(np.geomspace(0.05, 20, 121), key=loss))
+    model.temperature = float(min(np.geomspace(0.5, 20, 121), key=loss))
     confidence = softmax(logits / model.temperature).max(axis=1)
-    model.least = float(min(0.5, np.quantile(confidence, rejected, method="lower")))
+    model.least = float(min(0.4, np.quantile(confidence, rejected, method="lower")))
 
 
 def remainder(column: str, modulus: int) -> F.Column:
