@@ -7,6 +7,8 @@ import re
 import pytest
 
 import __spark_entry__ as contract
+from airwave.checks.oracle import statements
+from airwave.checks.queries import registered
 from airwave.plans.enrich import enrich
 from airwave.sources.events import read_event_snapshots
 
@@ -30,13 +32,15 @@ def by_name(rows, columns):
 
 
 def test_same_names():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(registered()) == set(statements())
+    assert set(registered()) <= set(contract.queries())
+    assert set(statements()) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(registered()))
 def test_query_equals_sql(spark, duck, name):
-    df = contract.queries()[name](spark, DATA)
-    found = duck.execute(contract.oracle_sql()[name])
+    df = registered()[name](spark, DATA)
+    found = duck.execute(statements()[name])
     columns = [c[0] for c in found.description]
     assert sorted(columns) == sorted(df.columns)
     rows = found.fetchall()
