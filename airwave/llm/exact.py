@@ -57,7 +57,7 @@ def named(rows: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def identities(docs: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
-    """Rows (doc_id, sha, copy), one per row of `docs`; and (doc_id, sha, rounds, name) per document."""
+    """Rows (doc_id, sha, copy, copies), one per row of `docs`; and (doc_id, sha, rounds, name) per document."""
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), normalised().alias("text"))
     data = text.select(
         "doc_id", F.sha2("text", 256).alias("sha"), F.col("text").cast("binary").alias("data")
@@ -76,7 +76,11 @@ def identities(docs: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFram
     key = ["doc_id", "sha"]
     level = stored(named(cut, ["block"]))
     same_row = Window.partitionBy(*key).orderBy("place")
-    rows = level.where("place = 0").select(*key, F.row_number().over(same_row).alias("copy"))
+    rows = level.where("place = 0").select(
+        *key,
+        F.row_number().over(same_row).alias("copy"),
+        F.count("*").over(Window.partitionBy(*key)).alias("copies"),
+    )
     longest = level.agg(F.max("left")).first()[0] or 1
     level = level.distinct()
     done = []
@@ -138,7 +142,7 @@ def exact_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
         .select(
             "doc_id",
             F.when(alone, F.col("doc_id")).otherwise(F.col("keep")).alias("keep_id"),
-            F.coalesce("size", F.lit(1)).cast("long").alias("group_size"),
+            F.coalesce("size", "copies").alias("group_size"),
             "copy",
             F.col("sha").alias("text_sha256"),
         )
