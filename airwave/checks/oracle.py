@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from airwave.functions.labels import LANGUAGE_NAMES
-
 
 def _even(expression: str, places: int = 6) -> str:
     scale = f"1e{places}"
@@ -127,7 +125,14 @@ LANGUAGE_HOURLY = GAME_HOURLY.replace("game_name", "language")
 
 DISPLAY = "CASE WHEN regexp_matches(user_name, '[^\\x00-\\x7F]') THEN user_login ELSE user_name END"
 
-NAMES = ", ".join(f"('{code}', '{name}')" for code, name in LANGUAGE_NAMES.items())
+# Fixed values, written out here so that the SQL does not rest on the code that it checks.
+NAMES = """
+  ('en', 'English'), ('es', 'Spanish'), ('pt', 'Portuguese'), ('de', 'German'), ('fr', 'French'),
+  ('ru', 'Russian'), ('ja', 'Japanese'), ('ko', 'Korean'), ('zh', 'Chinese'),
+  ('zh-cn', 'Chinese (Simplified)'), ('zh-tw', 'Chinese (Traditional)'), ('pl', 'Polish'),
+  ('sk', 'Slovak'), ('cs', 'Czech'), ('it', 'Italian'), ('tr', 'Turkish'), ('uk', 'Ukrainian'),
+  ('nl', 'Dutch'), ('sv', 'Swedish'), ('fi', 'Finnish'), ('da', 'Danish'), ('no', 'Norwegian'),
+  ('hu', 'Hungarian'), ('asl', 'American Sign Language'), ('el', 'Greek')"""
 
 FACT = ENRICHED + """,
 fact AS (

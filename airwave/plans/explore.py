@@ -185,12 +185,15 @@ def _scalars(row: DataFrame) -> Column:
     return row.select(F.struct(*row.columns).alias("fields")).scalar()
 
 
-def _percentile(running: str, value: str, fraction: float, total: Column) -> Column:
-    """Linear interpolation between the two neighbouring ranks, as an aggregate."""
-    position = (total - 1) * fraction
+def _percentile(running: str, value: str, fraction: float, total: str) -> Column:
+    """Linear interpolation between the two neighbouring ranks, as an aggregate.
+
+    `total` is a column with the number of values, the same in every row.
+    """
+    position = (F.col(total) - 1) * fraction
     below = F.min(F.when(F.col(running) > F.floor(position), F.col(value)))
     above = F.min(F.when(F.col(running) > F.ceil(position), F.col(value)))
-    return below + (above - below) * (position - F.floor(position))
+    return below + (above - below) * F.max(position - F.floor(position))
 
 
 def viewer_describe(df: DataFrame) -> DataFrame:
@@ -200,21 +203,23 @@ def viewer_describe(df: DataFrame) -> DataFrame:
     moments = counts.agg(
         F.sum("n").alias("total"), ratio(F.sum(value * n), F.sum(n)).alias("mean")
     )
-    found = _scalars(moments)
-    total, mean = found["total"], found["mean"]
-    squares = F.sum(n * (value - mean) * (value - mean))
     ranked = running_total(counts, [], "viewer_count", "n")
+    # Read once into a column, so that the plan holds one copy of the subquery.
+    ranked = ranked.withColumn("_moments", _scalars(moments)).withColumns(
+        {"_total": F.col("_moments.total"), "_gap": value - F.col("_moments.mean")}
+    )
+    squares = F.sum(n * F.col("_gap") * F.col("_gap"))
     return ranked.agg(
         F.coalesce(F.sum(n), F.lit(0)).alias("count"),
         ratio(F.sum(value * n), F.sum(n)).alias("mean"),
         F.sqrt(ratio(squares, F.sum(n) - 1)).alias("std"),
         F.min(value).alias("min"),
         *[
-            _percentile("running", "viewer_count", p, total).alias(name)
+            _percentile("running", "viewer_count", p, "_total").alias(name)
             for name, p in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))
         ],
         F.max(value).alias("max"),
-        _percentile("running", "viewer_count", 0.5, total).alias("median"),
+        _percentile("running", "viewer_count", 0.5, "_total").alias("median"),
     )
 
 
@@ -276,14 +281,17 @@ def viewer_density(df: DataFrame, points: int = 200, bins: int = 30) -> DataFram
     counts = _value_counts(df)
     value, n = F.col("viewer_count"), F.col("n")
     mean = counts.agg(ratio(F.sum(value * n), F.sum(n)).alias("mean")).scalar()
-    spread = counts.agg(
+    gap = F.col("_gap")
+    spread = counts.withColumn("_gap", value - mean).agg(
         F.sum(n).cast("double").alias("n"),
         F.min(value).cast("double").alias("lo"),
         F.max(value).cast("double").alias("hi"),
-        F.sqrt(ratio(F.sum(n * (value - mean) * (value - mean)), F.sum(n) - 1)).alias("std"),
+        F.sqrt(ratio(F.sum(n * gap * gap), F.sum(n) - 1)).alias("std"),
     ).select("n", "lo", "hi", (F.col("std") * F.pow("n", F.lit(-0.2))).alias("h"))
-    part = _scalars(spread)
-    scaled = counts.select(
+    # Read once into a column, which the grid points carry along.
+    part = {c: F.col(f"_part.{c}") for c in ("n", "lo", "hi", "h")}
+    scaled = counts.withColumn("_part", _scalars(spread)).select(
+        "_part",
         n.cast("double").alias("n"),
         ((value - part["lo"]) / F.nullif(part["h"], F.lit(0.0))).alias("z"),
         ((part["hi"] - part["lo"]) / (points - 1) / F.nullif(part["h"], F.lit(0.0))).alias("step"),
@@ -291,22 +299,31 @@ def viewer_density(df: DataFrame, points: int = 200, bins: int = 30) -> DataFram
     grid = (
         scaled.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
         .groupBy("point")
-        .agg(F.expr("sum(n * exp(-0.5D * pow(z - step * point, 2D)))").alias("mass"))
+        .agg(
+            F.expr("sum(n * exp(-0.5D * pow(z - step * point, 2D)))").alias("mass"),
+            F.first("_part").alias("_part"),
+        )
     )
     density = F.col("mass") / (part["n"] * part["h"] * F.sqrt(F.lit(2.0) * F.pi()))
     grid = grid.select(
         "point",
         (part["lo"] + F.col("point") * ((part["hi"] - part["lo"]) / (points - 1))).alias("x"),
         density.alias("density"),
+        "_part",
     )
     width = (part["hi"] - part["lo"]) / bins
-    return grid.withColumn("scaled", F.col("density") * part["n"] * width).orderBy("point")
+    grid = grid.withColumn("scaled", F.col("density") * part["n"] * width).drop("_part")
+    return grid.orderBy("point")
 
 
 def profile(raw: DataFrame, enriched: DataFrame) -> DataFrame:
     """One row of data-set figures: raw and processed rows, distinct keys, highest count."""
-    figures = enriched.agg(
-        F.count(F.lit(1)).alias("processed_rows"),
+    # Folded first, so that the distinct counts multiply folded rows only.
+    folded = enriched.groupBy("id", "game_name", "language").agg(
+        F.count(F.lit(1)).alias("rows"), F.max("viewer_count").alias("viewer_count")
+    )
+    figures = folded.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("processed_rows"),
         F.count_distinct("id").alias("streams"),
         F.count_distinct("game_name").alias("games"),
         F.count_distinct("language").alias("languages"),

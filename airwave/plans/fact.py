@@ -70,6 +70,11 @@ def newest(fact: DataFrame) -> DataFrame:
 
 def newest_time(df: DataFrame) -> datetime:
     """The newest collection time: one value from one column. ValueError if there is none."""
+    if "snapshot_date" in df.columns:
+        # The enriched table is laid out by this column, so the newest day comes from the folders.
+        day = df.agg(F.max("snapshot_date").alias("day")).first()["day"]
+        if day is not None:
+            df = df.where(F.col("snapshot_date") == day)
     times = df.select(timestamp_column(df, "collected_at").alias("collected_at"))
     stamp = F.date_trunc("second", "collected_at").cast("timestamp_ntz")
     found = times.agg(F.max(stamp).alias("newest")).first()["newest"]
@@ -111,8 +116,11 @@ def load_latest_batch(
     batch, newest_at = latest_batch(enriched)
     result = {"collected_at": newest_at.isoformat() + "+00:00", "table": name}
     if mode == "all_missing":
-        missing = batches_not_in(to_fact(enriched), loaded_batches(spark, name))
-        rows = insert_batch(missing, name)
+        fact = to_fact(enriched)
+        day = F.to_date("collected_at")
+        span = fact.agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
+        loaded = loaded_batches(spark, name, span["first"], span["last"])
+        rows = insert_batch(batches_not_in(fact, loaded), name)
         return {"status": "inserted" if rows else "skipped", "rows": rows, **result}
     if batch_present(spark, name, newest_at):
         return {"status": "skipped", "rows": batch.count(), **result}

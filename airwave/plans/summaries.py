@@ -207,17 +207,27 @@ def maturity_summary(rows: DataFrame) -> DataFrame:
 def collection_health_summary(prepared: DataFrame, approximate: bool = False) -> DataFrame:
     """Size and coverage of each batch; `approximate` trades exact distinct counts for a sketch."""
     distinct = F.approx_count_distinct if approximate else F.count_distinct
+    # Folded first, so that the distinct counts multiply folded rows only.
+    folded = prepared.groupBy("collected_at", "user_id", "game_name").agg(
+        F.count("id").alias("ids"),
+        F.count("viewer_count").alias("rows"),
+        F.sum("viewer_count").alias("viewers"),
+        F.min("viewer_count").alias("least"),
+        F.max("viewer_count").alias("most"),
+        F.sum("minutes_since_last_snapshot").alias("minutes"),
+        F.count("minutes_since_last_snapshot").alias("gaps"),
+    )
     return (
-        prepared.groupBy("collected_at")
+        folded.groupBy("collected_at")
         .agg(
-            F.count("id").alias("rows_collected"),
+            F.sum("ids").alias("rows_collected"),
             distinct("user_id").alias("unique_streamers"),
             distinct("game_name").alias("unique_games"),
-            F.sum("viewer_count").alias("total_viewers"),
-            F.min("viewer_count").alias("min_viewers"),
-            F.avg("viewer_count").alias("avg_viewers"),
-            F.max("viewer_count").alias("max_viewers"),
-            F.avg("minutes_since_last_snapshot").alias("avg_minutes_since_last_snapshot"),
+            F.sum("viewers").alias("total_viewers"),
+            F.min("least").alias("min_viewers"),
+            ratio(F.sum("viewers"), F.sum("rows")).alias("avg_viewers"),
+            F.max("most").alias("max_viewers"),
+            ratio(F.sum("minutes"), F.sum("gaps")).alias("avg_minutes_since_last_snapshot"),
         )
         .orderBy(up("collected_at"))
     )

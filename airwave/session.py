@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,22 +47,37 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a local one only where none is named (tests)."""
+    """The cluster's checkpoint folder; a temporary one only where all runs in one process (tests)."""
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named is None:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
         named = tempfile.mkdtemp(prefix="airwave-checkpoint-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(named)
     return named
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """The frame written once as Parquet in the shared folder and read back.
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A new folder below the shared one, removed at the end."""
+    path = f"{shared_dir(spark)}/airwave-scratch-{uuid.uuid4().hex}"
+    try:
+        yield path
+    finally:
+        # Through Hadoop's file system, as the folder may be on any storage.
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.delete(place, True)
+
+
+def stored(df: DataFrame, folder: str | None = None) -> DataFrame:
+    """The frame written once as Parquet in the shared folder, or below it, and read back.
 
     Cuts the lineage like a checkpoint, and later reads touch only the columns they need.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/airwave-{uuid.uuid4().hex}"
+    path = f"{folder or shared_dir(spark)}/airwave-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

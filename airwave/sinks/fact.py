@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -35,8 +35,30 @@ def batch_present(spark: SparkSession, name: str, collected_at: datetime) -> boo
     return not found.isEmpty()
 
 
-def loaded_batches(spark: SparkSession, name: str) -> DataFrame:
-    return spark.table(name).select("collected_at").distinct()
+def loaded_batches(spark: SparkSession, name: str, first: date, last: date) -> DataFrame:
+    """Times of the batches loaded for a span of days, which limits the scan."""
+    rows = spark.table(name).where(F.col("collected_date").between(first, last))
+    return rows.select("collected_at").distinct()
+
+
+def _laid_out(fact: DataFrame) -> DataFrame:
+    # insertInto goes by position.
+    rows = fact.select(*FACT.fieldNames(), F.to_date("collected_at").alias("collected_date"))
+    return rows.hint("rebalance", "collected_date").sortWithinPartitions(
+        "collected_date", "collected_at", "id"
+    )
+
+
+def replace_days(fact: DataFrame, name: str) -> None:
+    """Put these rows in place of all that the table holds for their days; other days stay."""
+    settings = fact.sparkSession.conf
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = settings.get(mode)
+    settings.set(mode, "dynamic")
+    try:
+        _laid_out(fact).write.insertInto(name, overwrite=True)
+    finally:
+        settings.set(mode, before)
 
 
 def insert_batch(fact: DataFrame, name: str) -> int:
@@ -49,12 +71,6 @@ def insert_batch(fact: DataFrame, name: str) -> int:
     if fact.isEmpty():
         return 0
     counted = Observation()
-    # insertInto goes by position.
-    rows = fact.select(*FACT.fieldNames(), F.to_date("collected_at").alias("collected_date"))
-    (
-        rows.observe(counted, F.count(F.lit(1)).alias("rows"))
-        .hint("rebalance", "collected_date")
-        .sortWithinPartitions("collected_date", "collected_at", "id")
-        .write.insertInto(name)
-    )
+    observed = fact.observe(counted, F.count(F.lit(1)).alias("rows"))
+    _laid_out(observed).write.insertInto(name)
     return counted.get["rows"]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -24,7 +26,8 @@ def append_raw(rows: DataFrame, path: str, on_empty: str = "error") -> int:
         raise ValueError("the batch has no rows, nothing was written")
     counted = Observation()
     written = raw_projection(rows).observe(counted, F.count(F.lit(1)).alias("rows"))
-    written.write.mode("append").parquet(path)
+    # Below a folder of its own, as the stream writes; the stream's numbers are not negative.
+    written.write.parquet(f"{path}/batch_id=-{time.time_ns()}")
     return counted.get["rows"]
 
 

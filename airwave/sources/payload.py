@@ -11,30 +11,36 @@ from airwave.schema import CATEGORY, PAYLOAD_STREAM, RAW_COLUMNS, payload
 
 # Landing order: second of the run, page, place on the page, in 15 bits each for the latter two.
 PAGE_BITS = 15
+PAGE_OPTIONS = {"multiLine": "true", "mode": "FAILFAST"}
 
 
 def read_pages(
     spark: SparkSession, path: str, stream: T.StructType = PAYLOAD_STREAM
 ) -> DataFrame:
-    """Pages from JSON files, one document per file. A wider `stream` keeps new API fields."""
-    return spark.read.schema(payload(stream)).option("multiLine", "true").json(path)
+    """Pages from JSON files, one document per file. A wider `stream` keeps new API fields.
+
+    A broken or half-written page is an error, not an empty page.
+    """
+    return spark.read.schema(payload(stream)).options(**PAGE_OPTIONS).json(path)
 
 
-def pages_in_run(pages: DataFrame, max_pages: int = 5) -> DataFrame:
-    """Pages up to the limit and up to the run's first page that is empty or has no cursor.
+def pages_in_run(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
+    """Pages up to the run's first page that is empty or has no cursor; `max_pages` cuts earlier.
 
     That page still counts (an empty one adds no rows); anything after it does not belong to the
-    run. The cut is one number per run, joined back by run.
+    run. The cut is one number per run, joined back by run. Pages without `run_ts` belong to runs that
+    cannot be told apart, so all of them stay.
     """
     cursor = F.col("pagination.cursor")
     final = (F.coalesce(F.size("data"), F.lit(0)) <= 0) | cursor.isNull() | (cursor == "")
-    runs = pages.withColumn("_run", F.coalesce("run_ts", F.lit("")))
-    cuts = runs.groupBy("_run").agg(F.min(F.when(final, F.col("page_no"))).alias("_cut"))
-    return (
-        runs.join(cuts, "_run")
-        .where(F.col("page_no") <= F.least(F.lit(max_pages), F.col("_cut")))
-        .drop("_run", "_cut")
+    runs = pages.where(F.col("run_ts").isNotNull())
+    cuts = runs.groupBy(F.col("run_ts").alias("_run")).agg(
+        F.min(F.when(final, F.col("page_no"))).alias("_cut")
     )
+    limit = F.least(F.lit(max_pages).cast("int"), F.col("_cut"))
+    beyond = F.col("page_no") > limit
+    kept = pages.join(cuts, F.col("run_ts") == F.col("_run"), "left")
+    return kept.where(~F.coalesce(beyond, F.lit(False))).drop("_run", "_cut")
 
 
 def join_list(df: DataFrame, name: str):
@@ -51,17 +57,25 @@ def stream_rows(pages: DataFrame) -> DataFrame:
         stamp.alias("_stamp"), "page_no", F.posexplode("data").alias("_pos", "_row")
     )
     second = F.coalesce(F.unix_seconds("_stamp"), F.lit(0))
-    page = F.shiftleft(second, PAGE_BITS) + F.col("page_no")
+    # A higher number would run into the next page's, and another duplicate would stay.
+    most = (1 << PAGE_BITS) - 1
+    page_no, place = (
+        F.when(F.col(c).between(0, most), F.col(c)).otherwise(
+            F.raise_error(F.lit(f"{c} is not between 0 and {most}"))
+        )
+        for c in ("page_no", "_pos")
+    )
+    page = F.shiftleft(second, PAGE_BITS) + page_no
     rows = spread.select(
         "_row.*",
         F.date_format("_stamp", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("collected_at"),
-        (F.shiftleft(page, PAGE_BITS) + F.col("_pos")).alias("ingest_seq"),
+        (F.shiftleft(page, PAGE_BITS) + place).alias("ingest_seq"),
     )
     lists = [c for c in ("tags", "tag_ids") if c in rows.columns]
     return rows.withColumns({name: join_list(rows, name) for name in lists})
 
 
-def snapshot_rows(pages: DataFrame, max_pages: int = 5) -> DataFrame:
+def snapshot_rows(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
     """Raw rows of landed runs. A run whose time is unreadable keeps its rows, without a time."""
     return stream_rows(pages_in_run(pages, max_pages))
 

@@ -7,13 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from airwave.operators.dedupe import union_growing
 from airwave.schema import ENRICHED, RAW, RAW_COLUMNS
 
 # Titles hold commas, line breaks and doubled quotes.
 CSV = {"header": "true", "multiLine": "true", "escape": '"'}
 
 
-def _load(spark: SparkSession, path: str, fmt: str, schema: T.StructType | None, **options):
+def _load(spark: SparkSession, path: str | list[str], fmt: str, schema: T.StructType | None, **options):
     reader = spark.read.format(fmt).options(**options)
     if schema is not None:
         reader = reader.schema(schema)
@@ -32,34 +33,58 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
     return df
 
 
+def _with_new_fields(spark: SparkSession, path: str, known: T.StructType) -> T.StructType:
+    """The known fields, then those that only some files of the table have."""
+    found = _load(spark, path, "parquet", None, mergeSchema="true").schema
+    more = [f for f in found if f.name not in (*known.fieldNames(), "batch_id")]
+    return T.StructType([*known.fields, *more])
+
+
+def raw_schema(spark: SparkSession, path: str) -> T.StructType:
+    """Fields of the raw table, new API fields included; the known ones if there is no table yet."""
+    try:
+        return _with_new_fields(spark, path, RAW)
+    except FileNotFoundError:
+        return RAW
+
+
 def read_raw(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
     """The raw snapshot table. Without `merge_schema` only the known columns are read."""
-    if merge_schema:
-        return require_rows(
-            _load(spark, path, "parquet", None, mergeSchema="true"), f"raw table {path}"
-        )
-    return require_rows(_load(spark, path, "parquet", RAW), f"raw table {path}")
+    schema = _with_new_fields(spark, path, RAW) if merge_schema else RAW
+    rows = _load(spark, path, "parquet", schema).select(*schema.fieldNames())
+    return require_rows(rows, f"raw table {path}")
 
 
-def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Raw snapshots from CSV files, every column as text, with a landing order.
 
     Only the empty field is null; `NA` or `null` stay text. The landing order follows the file
-    within one file. Files with different headers have to be read one by one and put together with
-    `union_growing`.
+    within one file. Files are grouped by their header and put together by column name. Without
+    `multi_line`, for files whose fields hold no line breaks, large files are split over tasks.
     """
-    header = _load(spark, path, "csv", None, **CSV).columns
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    rows = _load(spark, path, "csv", schema, **CSV)
-    return require_rows(
-        rows.withColumn("ingest_seq", F.monotonically_increasing_id()), f"raw file {path}"
-    )
+    options = {**CSV, "multiLine": str(multi_line).lower()}
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    # One header line is read of each file.
+    for file in sorted(_load(spark, path, "csv", None, **options).inputFiles()):
+        header = tuple(_load(spark, file, "csv", None, **options).columns)
+        by_header.setdefault(header, []).append(file)
+    frames = [
+        _load(spark, files, "csv", T.StructType([T.StructField(n, T.StringType()) for n in header]),
+              **options, enforceSchema="false")
+        for header, files in by_header.items()
+        if header
+    ]
+    if not frames:
+        raise ValueError(f"raw file {path} has no rows")
+    rows = union_growing(*frames).withColumn("ingest_seq", F.monotonically_increasing_id())
+    return require_rows(rows, f"raw file {path}")
 
 
 def read_enriched(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """The enriched table, as Parquet or as a CSV export (same columns, typed on read)."""
     if fmt == "parquet":
-        return require_rows(_load(spark, path, fmt, ENRICHED), f"enriched table {path}")
+        schema = _with_new_fields(spark, path, ENRICHED)
+        return require_rows(_load(spark, path, fmt, schema), f"enriched table {path}")
     header = _load(spark, path, fmt, None, **CSV).columns
     known = {field.name: field for field in ENRICHED.fields}
     fields = [known.get(name, T.StructField(name, T.StringType())) for name in header]

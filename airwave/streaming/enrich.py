@@ -17,7 +17,7 @@ a lookup lists and reads one period, however long the stream has run.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -45,6 +45,8 @@ from airwave.schema import DERIVED
 from airwave.streaming.ingest import ONCE
 
 KEYS = [SERIES, TIME]
+# Folder column of `rows` below the micro-batch: the day of the row, for pruned reads.
+DAY = "_day"
 STATE = T.StructType(
     [
         T.StructField(SERIES, T.StringType()),
@@ -91,12 +93,16 @@ def _newest_version(rows: DataFrame) -> DataFrame:
     return first_rows(keyed, KEYS, [F.col("batch_id").desc()]).drop(SERIES)
 
 
-def read_incremental(spark: SparkSession, out: str) -> DataFrame:
-    """The enriched table as of now: the newest version of every row."""
+def read_incremental(
+    spark: SparkSession, out: str, days: list[date] | None = None
+) -> DataFrame:
+    """The enriched table as of now: the newest version of every row, of the given days or of all."""
     rows = _stored(spark, f"{out}/rows")
     if rows is None:
         raise FileNotFoundError(f"no enriched rows under {out}")
-    return _newest_version(rows).drop("batch_id")
+    if days is not None:
+        rows = rows.where(F.col(DAY).isin(days))
+    return _newest_version(rows).drop("batch_id", DAY)
 
 
 def _latest_state(states: DataFrame) -> DataFrame:
@@ -138,19 +144,34 @@ def _appended(fresh: DataFrame, keys: DataFrame, state: DataFrame) -> DataFrame:
 
 
 def _reworked(fresh: DataFrame, past: DataFrame, late: DataFrame) -> DataFrame:
-    """New versions of all rows of late streams and of the micro-batch's batches."""
-    cleaned = union_growing(past, fresh)
-    unique = with_series_key(dedupe(cleaned))
+    """New versions of all rows of late streams and of the micro-batch's batches.
+
+    `past` holds all versions written so far. What is touched is picked by key before versions are
+    compared, so the untouched history is scanned but neither shuffled for that nor sorted. Versions of
+    a row share both keys, so picking by either keeps them together.
+    """
     times = fresh.select(TIME).distinct()
-    touched = (
-        unique.join(late.withColumn("_late", F.lit(True)), SERIES, "left")
+    versions = with_series_key(past)
+    hit = (
+        versions.join(late.withColumn("_late", F.lit(True)), SERIES, "left")
         .join(times.withColumn("_again", F.lit(True)), TIME, "left")
         .where(F.col("_late") | F.col("_again"))
-        .drop("_late", "_again")
+        .drop("_late", "_again", SERIES)
+    )
+    touched = with_series_key(
+        dedupe(union_growing(_newest_version(hit).drop("batch_id"), fresh))
     )
-    keys = history_keys(cleaned)
-    history = stream_history(keys.join(touched.select(SERIES).distinct(), SERIES, "left_semi"))
-    ranks = batch_ranks(keys.join(touched.select(TIME).distinct(), TIME, "left_semi"))
+    narrow = [c for c in ("id", TIME, "ingest_seq", "viewer_count") if c in past.columns]
+    old, new = versions.select(*narrow, "batch_id", SERIES), with_series_key(fresh)
+
+    def keys_of(column: str) -> DataFrame:
+        wanted = touched.select(column).distinct()
+        kept = old.join(wanted, column, "left_semi").drop(SERIES)
+        more = new.join(wanted, column, "left_semi").select(*narrow)
+        return history_keys(_newest_version(kept).select(*narrow).unionByName(more))
+
+    history = stream_history(keys_of(SERIES))
+    ranks = batch_ranks(keys_of(TIME))
     return touched.join(history.drop("viewer_count"), KEYS).join(ranks, [TIME, "viewer_count"])
 
 
@@ -189,14 +210,15 @@ def enrich_batch(
         reworked = states is not None and not (late.isEmpty() and again.isEmpty())
         if reworked:
             earlier = F.col("batch_id") < epoch
-            past = _newest_version(_stored(spark, f"{out}/rows").where(earlier))
+            past = _stored(spark, f"{out}/rows").where(earlier).drop(DAY)
             kept = [c for c in past.columns if c not in (*DERIVED.fieldNames(), "batch_id")]
-            rows = _reworked(fresh, past.select(*kept), late)
+            rows = _reworked(fresh, past.select(*kept, "batch_id"), late)
             columns = kept + [c for c in fresh.columns if c not in kept]
         else:
             rows, columns = _appended(fresh, keys, state), fresh.columns
         target = f"{out}/rows/batch_id={epoch}"
-        _finish(rows, columns).write.mode("overwrite").parquet(target)
+        finished = _finish(rows, columns).withColumn(DAY, F.to_date(TIME))
+        finished.write.mode("overwrite").partitionBy(DAY).parquet(target)
         # What follows reads the rows just written, not the plan that made them.
         delta = (
             with_series_key(spark.read.parquet(target))

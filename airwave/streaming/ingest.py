@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from airwave.functions.coerce import run_instant, timestamp_column, whole_column
-from airwave.schema import PAYLOAD_STREAM, RAW, payload
-from airwave.sources.payload import raw_projection, snapshot_rows
+from airwave.schema import PAYLOAD_STREAM, payload
+from airwave.sources.payload import PAGE_OPTIONS, raw_projection, snapshot_rows
+from airwave.sources.snapshots import raw_schema
 
 ONCE = {"availableNow": True}
 
@@ -21,16 +18,16 @@ def ingest_stream(
     landing: str,
     raw: str,
     checkpoint: str,
-    max_pages: int = 5,
+    max_pages: int | None = None,
     stream: T.StructType = PAYLOAD_STREAM,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Append newly landed runs to the raw table.
 
-    The page cut is taken per run, so all pages of a run must land before a trigger sees them, for
-    example by moving the run's folder into place.
+    Where a run ends is worked out per micro-batch, so all pages of a run must land before a trigger sees
+    them, for example by moving the run's folder into place.
     """
-    pages = spark.readStream.schema(payload(stream)).option("multiLine", "true").json(landing)
+    pages = spark.readStream.schema(payload(stream)).options(**PAGE_OPTIONS).json(landing)
 
     def append(batch: DataFrame, epoch: int) -> None:
         rows = raw_projection(snapshot_rows(batch, max_pages))
@@ -45,27 +42,7 @@ def ingest_stream(
 
 
 def raw_stream(spark: SparkSession, raw: str) -> DataFrame:
-    """New rows of the raw table, as text."""
-    schema = T.StructType([*RAW.fields, T.StructField("batch_id", T.LongType())])
+    """New rows of the raw table, as text, with the new fields that it holds when the stream starts."""
+    batch = T.StructField("batch_id", T.LongType())
+    schema = T.StructType([*raw_schema(spark, raw).fields, batch])
     return spark.readStream.schema(schema).parquet(raw)
-
-
-def unique_stream(
-    rows: DataFrame, delay: str = "0 seconds", run_ts: datetime | str | None = None
-) -> DataFrame:
-    """Typed rows without repeats of (id, collected_at) inside the watermark.
-
-    A row without a readable time gets the run time, as in the batch job. The first row to arrive stays, which is the first in landing order only if files arrive in
-    order; the enrichment stream decides by landing order instead.
-    """
-    typed = rows.withColumns(
-        {
-            "collected_at": F.coalesce(
-                timestamp_column(rows, "collected_at"), run_instant(run_ts)
-            ),
-            "viewer_count": whole_column(rows, "viewer_count", 0),
-        }
-    )
-    return typed.withWatermark("collected_at", delay).dropDuplicatesWithinWatermark(
-        ["id", "collected_at"]
-    )

@@ -16,7 +16,7 @@ from airwave.plans.fact import (
     to_fact,
     top_snapshots,
 )
-from airwave.plans.pipeline import Paths, run_pipeline
+from airwave.plans.pipeline import Paths, enrich_job, ingest_job, run_pipeline
 from airwave.schema import FACT, PAYLOAD_STREAM, RAW_COLUMNS, SNAPSHOT_ORDER
 from airwave.sinks.fact import ensure_table
 from airwave.sinks.tables import append_raw, write_enriched, write_json, write_summaries
@@ -31,7 +31,8 @@ from airwave.sources.snapshots import (
     reorder,
     require_rows,
 )
-from test_streaming import land, page, same
+from airwave.streaming.ingest import ingest_stream
+from test_streaming import finish, land, page, same
 
 RUN = "2026-01-09T00:00:00Z"
 T1, T2 = "2026-01-01T23:50:00Z", "2026-01-02T00:00:00Z"
@@ -55,6 +56,38 @@ def test_pages_stop_at_the_first_empty_or_last_page(spark, tmp_path, local):
     assert rows[0]["tag_ids"] is None and len({r["ingest_seq"] for r in rows}) == 7
 
 
+def test_landed_pages_are_all_read(spark, tmp_path, local):
+    time = "2026-01-01T10:00:00Z"
+    land(tmp_path / "in", *[page(time, i, [(f"p{i}", "go", i)]) for i in range(1, 13)])
+    # Runs without a time cannot be told apart, so none ends another.
+    for i, cursor in ((1, None), (2, "next")):
+        one = {**page("x", i, [(f"q{i}", "go", i)], cursor), "run_ts": None}
+        (tmp_path / "in" / f"unknown{i}.json").write_text(json.dumps(one))
+    rows = local(snapshot_rows(read_pages(spark, str(tmp_path / "in"))))
+    assert {r["id"] for r in rows} == {f"p{i}" for i in range(1, 13)} | {"q1", "q2"}
+
+
+def test_broken_pages_and_overlapping_numbers_are_errors(spark, tmp_path):
+    land(tmp_path / "in", page("2026-01-01T10:00:00Z", 1, [("a", "go", 5)]))
+    (tmp_path / "in" / "half.json").write_text('{"run_ts": "2026-01-01T10:00:00Z", "page_no": 2, "da')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        snapshot_rows(read_pages(spark, str(tmp_path / "in"))).collect()
+    land(tmp_path / "far", page("2026-01-01T10:00:00Z", 1 << 15, [("a", "go", 5)]))
+    with pytest.raises(Exception, match="page_no is not between"):
+        snapshot_rows(read_pages(spark, str(tmp_path / "far"))).collect()
+
+
+def test_csv_files_with_different_headers(spark, tmp_path, local):
+    (tmp_path / "a.csv").write_text("id,title,viewer_count\n1,one,5\n")
+    (tmp_path / "b.csv").write_text("title,id,viewer_count,mood\ntwo,2,6,calm\n")
+    for multi_line in (True, False):
+        rows = local(read_raw_csv(spark, str(tmp_path), multi_line), "id")
+        assert [(r["id"], r["title"], r["viewer_count"], r["mood"]) for r in rows] == [
+            ("1", "one", "5", None), ("2", "two", "6", "calm")
+        ]
+        assert len({r["ingest_seq"] for r in rows}) == 2
+
+
 def test_page_without_a_readable_time_keeps_its_rows(spark, tmp_path, local):
     land(tmp_path / "in", {**page("x", 1, [("a", "go", 5)], None), "run_ts": None})
     rows = local(snapshot_rows(read_pages(spark, str(tmp_path / "in"))))
@@ -74,6 +107,10 @@ def test_new_api_fields_grow_the_raw_table(spark, tmp_path, local):
     assert append_raw(snapshot_rows(read_pages(spark, str(tmp_path / "two"), wider)), raw) == 1
     rows = local(read_raw(spark, raw, merge_schema=True), "id")
     assert [r["mood"] for r in rows] == [None, "calm"]
+    # New fields reach the enriched table.
+    enriched = enrich_job(spark, raw, str(tmp_path / "enriched"), RUN)
+    moods = local(read_enriched(spark, enriched), "id")
+    assert [r["mood"] for r in moods] == [None, "calm"]
     known = read_raw(spark, raw)
     assert known.columns == [*RAW_COLUMNS, "ingest_seq"] and known.count() == 2
 
@@ -226,5 +263,11 @@ def test_pipeline(spark, tmp_path):
     ]
     # Landing the same pages again changes nothing downstream.
     done = run_pipeline(spark, paths, RUN, "pipeline_facts")
+    assert done["ingested"] == 0 and read_raw(spark, paths.raw).count() == 4
     assert read_enriched(spark, paths.enriched).count() == 3
+    # A new run is added alone, and one layout holds what batch and stream write.
+    land(tmp_path / "landing", page("2026-01-01T10:20:00Z", 1, [("c", "go", 1)], None))
+    assert ingest_job(spark, paths.landing, paths.raw) == 1
+    finish(ingest_stream(spark, paths.landing, paths.raw, str(tmp_path / "c")))
+    assert read_raw(spark, paths.raw).count() == 5 + 5
     assert done["loaded"]["status"] == "skipped"
