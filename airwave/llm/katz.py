@@ -8,7 +8,7 @@ sum to one:
              = alpha(h) P(w)                      otherwise
     P(w)     = d(c(w)) c(w) / N, and what is left for the one unknown word
 
-Tables are partitioned, never gathered. Documents travel in chunks of about a million tokens, as
+Tables are partitioned, never gathered. Documents travel in chunks of about half a million tokens, as
 compressed arrays:
 
 1. Words, by hash range: each chunk sends its distinct words with counts; a range adds them up, numbers
@@ -40,8 +40,8 @@ from airwave.llm.shingles import hash_words, mix
 from airwave.session import stored
 
 #: Tokens of a chunk, of a bucket, and counts that are discounted.
-CHUNK = 1 << 20
-BUCKET = 3 << 20
+CHUNK = 1 << 19
+BUCKET = 3 << 19
 DISCOUNTED = 5
 #: The end of a text as a word, and the number of the begin as a history.
 END = np.uint64(0x5EED0FE2D1CE5EED)
