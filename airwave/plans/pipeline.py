@@ -21,6 +21,10 @@ from airwave.sources.payload import read_pages, snapshot_rows
 from airwave.sources.snapshots import read_enriched, read_raw
 
 
+#: What tells a landed row from all others.
+ROW = ["collected_at", "ingest_seq", "id", "viewer_count"]
+
+
 @dataclass(frozen=True)
 class Paths:
     """Where a pipeline keeps its tables, on storage that every executor reaches."""
@@ -45,18 +49,19 @@ def ingest_job(
 ) -> int:
     """Append the landed rows that the raw table does not hold yet; a wider `stream` keeps new fields.
 
-    A row is known by its run's time and its landing order. Only the span of landed times is looked up
-    in the raw table, whose files keep the smallest and largest time of each block.
+    A row is known by its run's time, landing order, id and count, because runs without a time share
+    their landing orders. Only the span of landed times is looked up in the raw table, whose files keep
+    the smallest and largest time of each block.
     """
     rows = snapshot_rows(read_pages(spark, landing, stream), max_pages)
     try:
-        known = read_raw(spark, raw).select("collected_at", "ingest_seq")
+        known = read_raw(spark, raw).select(*ROW)
     except FileNotFoundError:
         return append_raw(rows, raw, on_empty)
     span = rows.agg(F.min("collected_at").alias("a"), F.max("collected_at").alias("b")).first()
     inside = F.col("collected_at").between(span["a"], span["b"]) | F.col("collected_at").isNull()
-    known = known.where(inside).withColumnsRenamed({"collected_at": "_at", "ingest_seq": "_seq"})
-    same = F.col("collected_at").eqNullSafe(F.col("_at")) & (F.col("ingest_seq") == F.col("_seq"))
+    known = known.where(inside).withColumnsRenamed({c: f"_{c}" for c in ROW})
+    same = [F.col(c).cast("string").eqNullSafe(F.col(f"_{c}").cast("string")) for c in ROW]
     fresh = rows.join(known, same, "left_anti")
     return append_raw(fresh, raw, "skip" if rows.take(1) else on_empty)
 

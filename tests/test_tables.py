@@ -265,6 +265,13 @@ def test_pipeline(spark, tmp_path):
     done = run_pipeline(spark, paths, RUN, "pipeline_facts")
     assert done["ingested"] == 0 and read_raw(spark, paths.raw).count() == 4
     assert read_enriched(spark, paths.enriched).count() == 3
+    # Runs without a time share their landing numbers, yet none takes the other's place.
+    for name in "xy":
+        one = {**page("x", 1, [(name, "go", 5)], None), "run_ts": None}
+        land(tmp_path / f"later{name}", {**one, "run_ts": "none"})
+        (tmp_path / f"later{name}" / "none-1.json").write_text(json.dumps(one))
+        assert ingest_job(spark, str(tmp_path / f"later{name}"), str(tmp_path / "other")) == 1
+    assert read_raw(spark, str(tmp_path / "other")).count() == 2
     # A new run is added alone, and one layout holds what batch and stream write.
     land(tmp_path / "landing", page("2026-01-01T10:20:00Z", 1, [("c", "go", 1)], None))
     assert ingest_job(spark, paths.landing, paths.raw) == 1
