@@ -129,7 +129,7 @@ class WordCounts:
             if plain is None:
                 other.append(word)
             else:
-                letters, mark = plain.groups()
+                letters, mark = plain.group(1, 2)
                 self.known[word] = self._plain(letters) + self.marks[mark]
         encoded = self.library.encode_batch_fast(other, add_special_tokens=False)
         self.known.update((w, len(one)) for w, one in zip(other, encoded, strict=True))

@@ -15,7 +15,7 @@ from functools import lru_cache
 from struct import pack
 
 #: Parts whose ids one Python worker keeps in each of two generations, about 200 bytes each.
-REMEMBERED = 350_000
+REMEMBERED = 900_000
 #: A huge text is encoded in stretches of about this many characters.
 STRETCH = 1 << 18
 
@@ -25,10 +25,15 @@ WORD_BPE = "word_bpe_49k.json"
 # White space of any definition, so that a doubtful character never allows a cut after it.
 _SPACES = "\\s\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u3000\ufeff"
 _CUT = re.compile(f"(?<=[^{_SPACES}]) ")
-_ASCII_DOUBTS = ("  ", "\n ", "\r ", "\t ", "\x0b ", "\x0c ", "\x1c ", "\x1d ", "\x1e ", "\x1f ")
 _EDGE = re.compile(f"[^{_SPACES}] ")
-# One run of letters with at most one mark after it: two pre-tokens in either pattern.
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
+_ASCII_DOUBTS = ("  ", "\n ", "\r ", "\t ", "\x0b ", "\x0c ", "\x1c ", "\x1d ", "\x1e ", "\x1f ")
+_OTHER_DOUBTS = "\x85\xa0\u1680\u180e\u2028\u2029\u202f\u205f\u3000\ufeff" + "".join(
+    map(chr, range(0x2000, 0x2010))
+)
+# A run of letters with at most one mark after it, perhaps twice with a line feed between: one
+# pre-token each, in either pattern.
+_LETTERS = "([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)"
+_PLAIN = re.compile(f"{_LETTERS}(?:\n{_LETTERS})?")
 
 
 def vocabulary_path(name: str) -> str:
@@ -74,9 +79,11 @@ def stretches(text: str, size: int = STRETCH) -> Iterator[str]:
 
 def parts(text: str) -> list[str]:
     """The text cut at safe spaces; all but the first part have lost their leading space."""
-    if text.isascii() and not any(x in text for x in _ASCII_DOUBTS) and text[:1] != " ":
-        return text.split(" ")
-    return _CUT.split(text)
+    if text[:1] == " " or any(x in text for x in _ASCII_DOUBTS):
+        return _CUT.split(text)
+    if not text.isascii() and any(x in text for x in _OTHER_DOUBTS):
+        return _CUT.split(text)
+    return text.split(" ")
 
 
 class ByteIds:
@@ -90,6 +97,8 @@ class ByteIds:
         self.first: dict[str, bytes] = {}
         self.tokenize = self.library.model.tokenize
         self.letters = byte_letters()
+        self.marks = {m: self._plain(m, "") for m in ".,;:!?"} | {"": b"", None: b""}
+        self.line = self._plain("", self.letters[10])
 
     def _plain(self, word: str, space: str) -> bytes:
         if not word.isascii():
@@ -97,6 +106,12 @@ class ByteIds:
         ids = [t.id for t in self.tokenize(space + word)]
         return pack(f"<{len(ids)}I", *ids)
 
+    def _word(self, word: str, known: dict[str, bytes], space: str) -> bytes:
+        ids = known.get(word)
+        if ids is None:
+            ids = known[word] = self._plain(word, "Ġ" if space else "")
+        return ids
+
     def _learn(self, new: set[str], known: dict[str, bytes], space: str) -> None:
         other = []
         for part in new:
@@ -104,10 +119,11 @@ class ByteIds:
             if plain is None:
                 other.append(part)
                 continue
-            word, mark = plain.groups()
-            known[part] = known.get(word) or self._plain(word, "Ġ" if space else "")
-            if mark:
-                known[part] += self._plain(mark, "")
+            word, mark, second, last = plain.groups()
+            ids = self._word(word, known, space) + self.marks[mark]
+            if second:
+                ids += self.line + self._word(second, self.first, "") + self.marks[last]
+            known[part] = ids
         encoded = self.library.encode_batch_fast(
             [space + part for part in other], add_special_tokens=False
         )
@@ -119,7 +135,7 @@ class ByteIds:
         cut = [[parts(s) for s in stretches(text)] for text in texts]
         if len(self.known) > self.remembered:
             self.known, self.older = {}, self.known
-        if len(self.first) > self.remembered // 8:
+        if len(self.first) > self.remembered // 4:
             self.first = {}
         # A stretch after the first begins with its own space, which stays with its first part.
         heads = {pieces[0] for text in cut for pieces in text}
