@@ -14,11 +14,12 @@ compressed arrays:
 1. Words, by hash range: each chunk sends its distinct words with counts; a range adds them up, numbers
    its words by falling frequency, and answers each chunk with the numbers of its words. A number gives
    its word's count through a table of frequency steps, whose size is the number of distinct counts.
-2. Bigrams, by history: chunks read their answers and send every bigram of every document to its
-   history's bucket. A frequent history is spread over buckets by the second word too; its totals, a few
-   numbers for each of a bounded set of histories, are added up in between.
-3. A bucket holds its part of the bigram table and the tokens to be scored; it sends back one sum per
-   document, and the chunk adds these up.
+2. Bigrams, by history: chunks read their answers and send each distinct bigram, with its training count
+   in the chunk, to its history's bucket. A bigram of any frequency so takes one place per chunk. A
+   frequent history is spread over buckets by the second word too; its totals, a few numbers for each of
+   a bounded set of histories, are added up in between.
+3. A bucket adds up its part of the bigram table and answers each chunk with the log probabilities of
+   its bigrams; the chunk, which has kept where each of them occurs, adds these up per document.
 """
 
 from __future__ import annotations
@@ -50,13 +51,16 @@ BEGIN = 0
 WORDS = "range int, chunk long, keys binary, counts binary"
 ANSWERS = "range int, chunk long, numbers binary, counts binary"
 CHUNKS = "chunk long, doc_ids binary, known binary, held_out binary, sizes binary, tokens binary"
-SENT = "bucket long, chunk long, docs binary, histories binary, words binary, told binary"
+SENT = (
+    "bucket long, chunk long, histories binary, words binary, counts binary, told binary, "
+    "places binary"
+)
 BUCKETS = (
-    "bucket long, chunks array<long>, docs array<binary>, histories array<binary>, "
-    "words array<binary>, told binary, times array<long>, hot array<struct<history: long, "
-    "times: array<long>, total: long, backed: double>>"
+    "bucket long, chunks array<long>, histories array<binary>, words array<binary>, "
+    "counts array<binary>, told binary, places binary, times array<long>, hot array<struct<"
+    "history: long, times: array<long>, total: long, backed: double>>"
 )
-SUMS = "chunk long, bucket long, docs binary, sums binary"
+LOGS = "chunk long, bucket long, logs binary"
 SCORES = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
     "base_score double, score double"
@@ -251,11 +255,15 @@ def chunk_tokens(docs: DataFrame) -> DataFrame:
 
 
 def send_bigrams(chunks: DataFrame, answers: DataFrame, sent_unigrams, buckets: int) -> DataFrame:
-    """Bigrams by bucket; in buckets of its own, below 0, what is known of the chunk's documents."""
+    """Each chunk's distinct bigrams by bucket, with their counts in training documents.
+
+    In buckets of its own, below 0, what is known of the chunk's documents, and for each of their tokens
+    the place of its bigram among all that the chunk sends, bucket by bucket.
+    """
 
     def run(key: tuple, docs: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         known: Unigrams = sent_unigrams.value
-        columns = ["bucket", "chunk", "docs", "histories", "words", "told"]
+        columns = ["bucket", "chunk", "histories", "words", "counts", "told", "places"]
         if not len(docs):
             return pd.DataFrame([], columns=columns)
         row = docs.iloc[0]
@@ -271,11 +279,15 @@ def send_bigrams(chunks: DataFrame, answers: DataFrame, sent_unigrams, buckets:
         floor = known.total + 0.1 * (known.types + 1)
         base = np.add.reduceat(np.log10((counts + 0.1) / floor), first)
         seen = np.add.reduceat((counts > 0).astype(np.int64), first)
-        words = numbers[at]
-        history = np.concatenate(([BEGIN], words[:-1]))
-        history[first] = BEGIN
         held = np.frombuffer(row["held_out"], bool)
-        doc = np.repeat(np.arange(len(sizes)) * 2 + ~held, sizes)
+        # The begin as a history stands behind the chunk's words.
+        width = len(numbers) + 1
+        before = np.concatenate(([width - 1], at[:-1]))
+        before[first] = width - 1
+        pairs, place = np.unique(before * width + at, return_inverse=True)
+        times = np.bincount(place, np.repeat(~held, sizes), len(pairs)).astype(np.int64)
+        history = np.append(numbers, BEGIN)[pairs // width]
+        words = numbers[pairs % width]
         often = known.history_count(history) >= hot_from(known, buckets)
         spread = mix(history.astype(np.uint64)) + np.where(
             often, mix(words.astype(np.uint64) + np.uint64(1 << 40)), np.uint64(0)
@@ -284,10 +296,11 @@ def send_bigrams(chunks: DataFrame, answers: DataFrame, sent_unigrams, buckets:
         order = np.argsort(bucket, kind="stable")
         names, starts = np.unique(bucket[order], return_index=True)
         out = [
-            (int(b), chunk, packed(np.diff(doc[o], prepend=0)), packed(history[o]),
-             packed(words[o]), None)
+            (int(b), chunk, packed(history[o]), packed(words[o]), packed(times[o]), None, None)
             for b, o in zip(names, np.split(order, starts[1:]), strict=True)
         ]
+        sent_at = np.empty(len(order), np.int64)
+        sent_at[order] = np.arange(len(order))
         facts = pa.BufferOutputStream()
         with pa.ipc.new_stream(facts, _facts.schema) as stream:
             stream.write_batch(
@@ -305,7 +318,8 @@ def send_bigrams(chunks: DataFrame, answers: DataFrame, sent_unigrams, buckets:
                     schema=_facts.schema,
                 )
             )
-        out.append((-1 - chunk, chunk, None, None, None, facts.getvalue().to_pybytes()))
+        told = facts.getvalue().to_pybytes()
+        out.append((-1 - chunk, chunk, None, None, None, told, packed(sent_at[place])))
         return pd.DataFrame(out, columns=columns)
 
     return (
@@ -340,12 +354,15 @@ class Pairs:
     first: np.ndarray
 
     @classmethod
-    def of(cls, history: np.ndarray, word: np.ndarray):
+    def of(cls, history: np.ndarray, word: np.ndarray, count: np.ndarray):
+        """From the chunks' counts; bigrams that no chunk counts are left out."""
+        learned = count > 0
+        history, word, count = history[learned], word[learned], count[learned]
         order = np.lexsort((word, history))
-        history, word = history[order], word[order]
+        history, word, count = history[order], word[order], count[order]
         new = np.append(True, (history[1:] != history[:-1]) | (word[1:] != word[:-1]))
         at = np.flatnonzero(new[: len(history)])
-        count = np.diff(np.append(at, len(history)))
+        count = np.add.reduceat(count, at) if len(at) else count
         history, word = history[at], word[at]
         new = np.append(True, history[1:] != history[:-1])
         return cls(history, word, count, np.flatnonzero(new[: len(history)]))
@@ -369,15 +386,14 @@ class Pairs:
         return counts[1 : DISCOUNTED + 2]
 
 
-def occurrences(docs, histories, words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Parcel, document with its training bit, history and word of every bigram of a bucket."""
-    told = [np.cumsum(unpacked(d)) for d in docs]
-    parcel = np.repeat(np.arange(len(told)), [len(t) for t in told])
+def parcels(histories, words, counts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Parcel, history, word and training count of every chunk's bigrams in a bucket."""
+    told = [unpacked(h) for h in histories]
     return (
-        parcel,
+        np.repeat(np.arange(len(told)), [len(t) for t in told]),
         np.concatenate(told),
-        np.concatenate([unpacked(h) for h in histories]),
         np.concatenate([unpacked(w) for w in words]),
+        np.concatenate([unpacked(c) for c in counts]),
     )
 
 
@@ -391,16 +407,16 @@ def fill_buckets(sent: DataFrame, sent_unigrams, buckets: int) -> DataFrame:
             "bucket": int(rows["bucket"].iloc[0]),
             "chunks": rows["chunk"].tolist(),
             "told": None,
+            "places": None,
         }
         if out["bucket"] < 0:
-            out["told"] = rows["told"].iloc[0]
-            out |= {"docs": [], "histories": [], "words": [], "times": [], "hot": []}
+            out["told"], out["places"] = rows["told"].iloc[0], rows["places"].iloc[0]
+            out |= {"histories": [], "words": [], "counts": [], "times": [], "hot": []}
             return pd.DataFrame([out])
-        for name in ("docs", "histories", "words"):
+        for name in ("histories", "words", "counts"):
             out[name] = rows[name].tolist()
-        _, doc, history, word = occurrences(out["docs"], out["histories"], out["words"])
-        learned = (doc & 1) == 1
-        pairs = Pairs.of(history[learned], word[learned])
+        _, history, word, counts = parcels(out["histories"], out["words"], out["counts"])
+        pairs = Pairs.of(history, word, counts)
         out["times"] = pairs.times().tolist()
         hot = []
         ends = np.append(pairs.first[1:], len(pairs.history))
@@ -424,7 +440,7 @@ def fill_buckets(sent: DataFrame, sent_unigrams, buckets: int) -> DataFrame:
 
 
 def score_buckets(filled: DataFrame, sent_unigrams, discount: np.ndarray, hot: dict) -> DataFrame:
-    """(chunk, bucket, docs, sums): each bucket's part of the log10 probability of each document.
+    """(chunk, bucket, logs): the log10 probabilities of each chunk's bigrams in each bucket.
 
     `hot` has (total, discounted total, backed) of the frequent histories over all buckets.
     """
@@ -433,11 +449,10 @@ def score_buckets(filled: DataFrame, sent_unigrams, discount: np.ndarray, hot: d
         known: Unigrams = sent_unigrams.value
         for batch in batches:
             for row in batch.to_pylist():
-                parcel, doc, history, word = occurrences(
-                    row["docs"], row["histories"], row["words"]
+                parcel, history, word, counts = parcels(
+                    row["histories"], row["words"], row["counts"]
                 )
-                learned = (doc & 1) == 1
-                pairs = Pairs.of(history[learned], word[learned])
+                pairs = Pairs.of(history, word, counts)
                 value = pairs.count * discount[np.minimum(pairs.count, DISCOUNTED + 1)]
                 heads = pairs.history[pairs.first]
                 if len(heads):
@@ -476,25 +491,27 @@ def score_buckets(filled: DataFrame, sent_unigrams, discount: np.ndarray, hot: d
                     chance = np.where(place >= 0, value[place] / denominator[head], chance)
                 log = np.log10(chance)
                 bounds = np.searchsorted(parcel, np.arange(len(row["chunks"]) + 1))
-                rows = []
-                for i, chunk in enumerate(row["chunks"]):
-                    docs, at = np.unique(doc[bounds[i] : bounds[i + 1]] >> 1, return_inverse=True)
-                    part = np.bincount(at, log[bounds[i] : bounds[i + 1]], len(docs))
-                    rows.append((chunk, row["bucket"], packed(docs), part.astype("<f8").tobytes()))
-                yield batch_of(SUMS, rows)
+                logs = np.split(log.astype("<f8"), bounds[1:-1])
+                rows = [
+                    (chunk, row["bucket"], part.tobytes())
+                    for chunk, part in zip(row["chunks"], logs, strict=True)
+                ]
+                yield batch_of(LOGS, rows)
 
-    return in_tasks(filled, run, SUMS)
+    return in_tasks(filled, run, LOGS)
 
 
-def gather(facts: DataFrame, sums: DataFrame, train_tokens: int) -> DataFrame:
-    """One row per document from its chunk's facts and the buckets' sums."""
+def gather(facts: DataFrame, logs: DataFrame, train_tokens: int) -> DataFrame:
+    """One row per document from its chunk's facts and the buckets' log probabilities."""
 
     def run(key: tuple, told: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
         # The integers stay nullable.
         table = pa.ipc.open_stream(told["told"].iloc[0]).read_all()
-        score = np.zeros(table.num_rows)
-        for docs, values in parts.sort_values("bucket")[["docs", "sums"]].itertuples(index=False):
-            score[unpacked(docs)] += np.frombuffer(values, "<f8")
+        sizes = table["n_tokens"].to_numpy()
+        first = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+        sent = parts.sort_values("bucket")["logs"]
+        values = np.concatenate([np.frombuffer(v, "<f8") for v in sent])
+        score = np.add.reduceat(values[unpacked(told["places"].iloc[0])], first)
         out = pd.DataFrame(
             {
                 "doc_id": table["doc_id"].to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get),
@@ -508,7 +525,7 @@ def gather(facts: DataFrame, sums: DataFrame, train_tokens: int) -> DataFrame:
         )
         return out
 
-    return facts.groupBy("chunk").cogroup(sums.groupBy("chunk")).applyInPandas(run, SCORES)
+    return facts.groupBy("chunk").cogroup(logs.groupBy("chunk")).applyInPandas(run, SCORES)
 
 
 def katz_scores(docs: DataFrame, modulus: int = 10, bucket: int = BUCKET) -> DataFrame:
@@ -555,11 +572,11 @@ def katz_scores(docs: DataFrame, modulus: int = 10, bucket: int = BUCKET) -> Dat
             (1 - discount[r]) * r * row[f"n{r}"] for r in range(1, DISCOUNTED + 1)
         )
         hot[row["history"]] = (row["total"], row["total"] - lost, row["backed"])
-    sums = score_buckets(
-        filled.where("bucket >= 0").select("bucket", "chunks", "docs", "histories", "words"),
+    logs = score_buckets(
+        filled.where("bucket >= 0").select("bucket", "chunks", "histories", "words", "counts"),
         sent,
         discount,
         hot,
     )
-    facts = filled.where("bucket < 0").select((-1 - F.col("bucket")).alias("chunk"), "told")
-    return gather(facts, sums, known.total)
+    facts = filled.where("bucket < 0").select((-1 - F.col("bucket")).alias("chunk"), "told", "places")
+    return gather(facts, logs, known.total)

@@ -207,6 +207,28 @@ def test_katz_scores(documents, bucket):
         assert a[5:] == pytest.approx(b[5:], rel=1e-9)
 
 
+def test_a_bucket_has_each_bigram_once_per_chunk(documents, monkeypatch):
+    rows = [(i, "one short text") for i in range(2000)] + [(5000 + i, f"w{i} w") for i in range(50)]
+    docs = documents(*rows)
+    largest, fill = [], katz.fill_buckets
+
+    def counted(sent, *rest):
+        parcels = sent.where("bucket >= 0").collect()
+        assert len({r.chunk for r in parcels}) <= docs.rdd.getNumPartitions()
+        sizes = Counter()
+        for r in parcels:
+            sizes[r.bucket] += len(katz.unpacked(r.words))
+        largest.append(max(sizes.values()))
+        return fill(sent, *rest)
+
+    monkeypatch.setattr(katz, "fill_buckets", counted)
+    got = sorted(map(tuple, katz.katz_scores(docs, bucket=40).collect()))
+    assert largest[0] < 200
+    for a, b in zip(got, sorted(brute_katz(rows)), strict=True):
+        assert a[:5] == b[:5]
+        assert a[5:] == pytest.approx(b[5:], rel=1e-9)
+
+
 def test_katz_of_an_empty_table(empty):
     assert katz.katz_scores(empty).count() == 0
 
