@@ -72,7 +72,10 @@ def squared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Lists:
-    """Centroids, their graph, and the number of rows in each list once it is filled."""
+    """Centroids, their graph, and the number of ids in each list once it is filled.
+
+    An id counts in one of its lists only, so lists of together n ids hold n different ones at least.
+    """
 
     centroids: np.ndarray
     graph: np.ndarray = field(init=False)
@@ -150,13 +153,13 @@ class Lists:
                     yield row, name
 
     def probes(self, vectors: np.ndarray, ratio: float, least: int) -> Iterator[tuple[int, int]]:
-        """(row, list) of all lists that a query looks into, holding `least` rows at least."""
+        """(row, list) of all lists that a query looks into, holding `least` ids at least."""
         width = 64
         rows = np.arange(len(vectors))
         while len(rows):
             ids, distance = self.nearest(vectors[rows], width)
             within = distance <= ratio * distance[:, :1]
-            # Lists in front of the place where enough rows are together.
+            # Lists in front of the place where enough ids are together.
             before = np.cumsum(self.sizes[ids], axis=1) - self.sizes[ids]
             within |= before < least
             whole = within[:, -1] & (ids.shape[1] < len(self.centroids))
@@ -224,12 +227,14 @@ def listed(vectors: DataFrame, sent, kind: str, ratio: float, least: int) -> Dat
 
 
 def best_of(k: int):
-    """The k nearest of a part's vectors for each of its queries."""
+    """The k nearest ids of a part for each of its queries, at the smallest distance of their rows."""
 
     def run(key: tuple, vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(vectors) and len(queries):
-            ids = vectors["vec_id"].to_numpy()
+            vectors = vectors.sort_values("vec_id", kind="stable")
+            # Rows of an id lie together, from these places on.
+            ids, first = np.unique(vectors["vec_id"].to_numpy(), return_index=True)
             known = np.stack(vectors["v"].to_list())
             size = max(1, (1 << 22) // known.size)
             asked = np.stack(queries["v"].to_list())
@@ -237,6 +242,7 @@ def best_of(k: int):
             for at in range(0, len(asked), size):
                 gaps = asked[at : at + size, None, :] - known[None, :, :]
                 distance = np.sqrt((gaps**2).sum(axis=2))
+                distance = np.minimum.reduceat(distance, first, axis=1)
                 for name, row in zip(names[at : at + size], distance, strict=True):
                     row = np.where(ids == name, np.inf, row)
                     limit = np.partition(row, min(k, len(row)) - 1)[min(k, len(row)) - 1]
@@ -267,7 +273,8 @@ def neighbours(
     homes = stored(listed(known, spark.sparkContext.broadcast(lists), "homes", 0, 0))
     # One row per list.
     lists.sizes = np.zeros(len(lists.centroids), np.int64)
-    for row in homes.groupBy("list").count().collect():
+    once = homes.groupBy("vec_id").agg(F.min("list").alias("list"))
+    for row in once.groupBy("list").count().collect():
         lists.sizes[row["list"]] = row["count"]
     least = COPIES * (k + 1) + 1
     asked = known.where(queries)

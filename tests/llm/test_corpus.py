@@ -270,6 +270,31 @@ def test_neighbours(spark):
     assert hits >= 0.9 * 10 * len(found)
 
 
+def exact_neighbours(rows, query, k=10):
+    """(vec_id, distance) with each id at the smallest distance of any of its and the query's rows."""
+    best = {}
+    for _, asked in (r for r in rows if r[0] == query):
+        for i, v in rows:
+            if i != query:
+                far = math.dist(asked, v)
+                best[i] = min(far, best.get(i, far))
+    return sorted(best.items(), key=lambda x: (x[1], x[0]))[:k]
+
+
+@pytest.mark.parametrize("copies, near, far", [(40, 0.1, 1.0), (2000, 0.01, 10.0)])
+def test_rows_of_one_id_take_one_place(spark, copies, near, far):
+    rng = np.random.default_rng(4)
+    rows = [(0, [0.001] * 8)]
+    # Some rows of an id lie nearer than all others; in the larger case they fill whole lists.
+    rows += [(7, (near * rng.normal(size=8)).tolist()) for _ in range(copies)]
+    rows += [(100 + i, [far, *rng.normal(size=7).tolist()]) for i in range(30)]
+    frame = spark.createDataFrame([(*r, 0) for r in rows], VECTORS.replace("float", "double"))
+    got = neighbours.neighbours(frame, queries.F.col("vec_id") == 0).orderBy("rank").collect()
+    want = exact_neighbours(rows, 0)
+    assert [r.vec_id for r in got] == [i for i, _ in want]
+    assert [r.score for r in got] == pytest.approx([d for _, d in want], rel=1e-9)
+
+
 def test_few_vectors(spark):
     rows = [(0, [1.0, 0.0], 0), (100, [0.0, 1.0], 0), (3, [1.0, 1.0], 0)]
     frame = spark.createDataFrame(rows, VECTORS)
