@@ -214,6 +214,18 @@ def statements() -> dict[str, str]:
             "SELECT ingest_seq, id, user_login, user_name, game_name, title, viewer_count, "
             "started_at, language, tags, is_mature, collected_at FROM uniq",
         ),
+        "dedupe_unreadable_times": _with(
+            CLEAN,
+            """
+SELECT id, CASE WHEN ingest_seq % 7 <= 1 THEN TIMESTAMP '2026-01-01' ELSE collected_at END
+         AS collected_at, ingest_seq, viewer_count
+FROM (SELECT *, row_number() OVER (
+        PARTITION BY id, CASE WHEN ingest_seq % 7 = 0 THEN 'bad ' || (ingest_seq % 3)
+                              WHEN ingest_seq % 7 <> 1 THEN CAST(collected_at AS VARCHAR) END
+        ORDER BY ingest_seq) AS nth
+      FROM cleaned)
+WHERE nth = 1""",
+        ),
         "durations": _with(
             ENRICHED,
             "SELECT id, collected_at, stream_duration_minutes, stream_duration_hours FROM enriched",

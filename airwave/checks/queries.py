@@ -17,9 +17,9 @@ from airwave.functions.numeric import even_sql
 from airwave.operators.joins import full_batches
 from airwave.operators.ordered import (
     SERIES,
+    UNREAD,
     dense_rank_in_batch,
     stream_history,
-    with_series_key,
 )
 from airwave.plans import enrich as P
 from airwave.plans import explore as Q
@@ -68,14 +68,16 @@ def _keys(spark: SparkSession, directory: str) -> DataFrame:
 
 def _with_id(keyed: DataFrame) -> DataFrame:
     """The id back from its series key."""
-    return keyed.withColumn("id", F.expr(f"nullif(substr({SERIES}, 2), '')")).drop(SERIES)
+    named = keyed.withColumn("id", F.expr(f"nullif(substr({SERIES}, 2), '')"))
+    return named.drop(SERIES, UNREAD, "ingest_seq")
 
 
 def _changes(spark: SparkSession, directory: str) -> DataFrame:
     """Deduplicated rows with history but without rank: for reports that use changes only."""
     history = stream_history(_keys(spark, directory)).drop("viewer_count")
-    base = with_series_key(_base(spark, directory))
-    return P.add_changes(base.join(history, [SERIES, "collected_at"]).drop(SERIES))
+    base = P.add_row_features(P.unique(_cleaned(spark, directory)))
+    keys = [SERIES, "collected_at", UNREAD]
+    return P.add_changes(base.join(history, keys).drop(SERIES, UNREAD))
 
 
 def _picked(source: Query, *columns: str) -> Query:
@@ -116,6 +118,17 @@ def _viewer_trend(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def _unreadable_times(spark: SparkSession, directory: str) -> DataFrame:
+    """Deduplicated rows where some times are missing and others are texts that do not parse."""
+    text = (
+        "CASE WHEN ingest_seq % 7 = 0 THEN 'bad ' || CAST(ingest_seq % 3 AS STRING) "
+        "WHEN ingest_seq % 7 <> 1 THEN CAST(collected_at AS STRING) END"
+    )
+    raw = _raw(spark, directory).withColumn("collected_at", F.expr(text))
+    rows = P.dedupe(P.clean(raw, RUN_TS))
+    return tidy(rows.select("id", "collected_at", "ingest_seq", "viewer_count"))
+
+
 def _missing_batches(spark: SparkSession, directory: str) -> DataFrame:
     """Batches not yet loaded, when the table holds those of full size."""
     fact = L.to_fact(_base(spark, directory))
@@ -168,6 +181,7 @@ def registered() -> dict[str, Query]:
             "ingest_seq", "id", "user_login", "user_name", "game_name", "title", "viewer_count",
             "started_at", "language", "tags", "is_mature", "collected_at",
         ),
+        "dedupe_unreadable_times": _unreadable_times,
         "durations": _picked(
             _base, "id", "collected_at", "stream_duration_minutes", "stream_duration_hours"
         ),

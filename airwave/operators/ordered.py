@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 SLICE_BITS = 20
 
 SERIES = "_series"
+# Tells rows apart whose collection time could not be read; empty where it could.
+UNREAD = "_unread"
+TIES = ("ingest_seq", "viewer_count", UNREAD)
 
 
 def with_series_key(df: DataFrame, column: str = "id") -> DataFrame:
@@ -85,10 +88,10 @@ def dense_rank_in_batch(rows: DataFrame, keys: DataFrame | None = None) -> DataF
 
 
 def slice_tails(keys: DataFrame, group: list[str]) -> DataFrame:
-    """Last value, last time and row count per group; all three combine before the shuffle."""
+    """Last value, last time and row count per group of rows numbered by `_nth`."""
     return keys.groupBy(*group).agg(
         F.max("collected_at").alias("_last_at"),
-        F.max_by("viewer_count", "collected_at").alias("_last_count"),
+        F.max_by("viewer_count", "_nth").alias("_last_count"),
         F.count(F.lit(1)).alias("_rows"),
     )
 
@@ -96,14 +99,23 @@ def slice_tails(keys: DataFrame, group: list[str]) -> DataFrame:
 def stream_history(keys: DataFrame) -> DataFrame:
     """Previous count, previous time and running number of each row in its series.
 
-    `keys` has `_series`, `collected_at`, `viewer_count`, with (series, time) unique. A series is
-    cut by day, so a hot or null id is spread over as many tasks as it has days.
+    `keys` has `_series`, `collected_at`, `viewer_count`, with (series, time) unique; rows that were
+    given the run time may share it, and follow each other as landed. A series is cut by day, so a hot
+    or null id is spread over as many tasks as it has days.
     """
+    order = [F.col(c).asc_nulls_last() for c in ("collected_at", *TIES) if c in keys.columns]
     by_day = [SERIES, "_day"]
     sliced = keys.withColumn("_day", F.to_date("collected_at")).repartition(*by_day)
-    inside = Window.partitionBy(*by_day).orderBy("collected_at")
+    inside = Window.partitionBy(*by_day).orderBy(*order)
     days = Window.partitionBy(SERIES).orderBy("_day")
-    carried = slice_tails(sliced, by_day).select(
+    numbered = sliced.withColumns(
+        {
+            "_nth": F.row_number().over(inside),
+            "_prev_count": F.lag("viewer_count").over(inside),
+            "_prev_at": F.lag("collected_at").over(inside),
+        }
+    )
+    carried = slice_tails(numbered, by_day).select(
         *by_day,
         F.lag("_last_count").over(days).alias("_carry_count"),
         F.lag("_last_at").over(days).alias("_carry_at"),
@@ -111,18 +123,9 @@ def stream_history(keys: DataFrame) -> DataFrame:
             F.sum("_rows").over(days.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
         ).alias("_carry_rows"),
     )
-    return (
-        sliced.withColumns(
-            {
-                "_nth": F.row_number().over(inside),
-                "_prev_count": F.lag("viewer_count").over(inside),
-                "_prev_at": F.lag("collected_at").over(inside),
-            }
-        )
-        .join(carried, by_day)
-        .withColumns(continued())
-        .drop("_day", "_nth", "_prev_count", "_prev_at", "_carry_count", "_carry_at", "_carry_rows")
-    )
+    added = ("_day", "_nth", "_prev_count", "_prev_at", "_carry_count", "_carry_at", "_carry_rows")
+    joined = numbered.join(carried, by_day).withColumns(continued())
+    return joined.drop(*added, "ingest_seq")
 
 
 def continued() -> dict:

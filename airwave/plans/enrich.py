@@ -1,8 +1,8 @@
 """From raw snapshots to the enriched table.
 
 Deviations from lenient text processing, all on purpose: timestamps of any ISO-8601 spelling parse;
-rows are compared for duplicates after times are parsed and filled; fractions of a viewer are cut;
-an absent column takes its default.
+rows are compared for duplicates after times are parsed, and by their raw text where no time parses;
+fractions of a viewer are cut; an absent column takes its default.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from airwave.functions.coerce import (
 from airwave.operators.dedupe import first_rows
 from airwave.operators.ordered import (
     SERIES,
+    UNREAD,
     dense_rank_in_batch,
     stream_history,
     with_series_key,
@@ -33,10 +34,17 @@ TIME = "collected_at"
 
 
 def clean(raw: DataFrame, run_ts: datetime | str | None = None) -> DataFrame:
-    """Typed columns with defaults; a missing or bad collection time becomes the run time."""
+    """Typed columns with defaults; a missing or bad collection time becomes the run time.
+
+    `_unread` keeps what such a time was, and is empty for the others.
+    """
+    time = timestamp_column(raw, TIME)
+    text = F.col(TIME).cast("string") if TIME in raw.columns else F.lit(None).cast("string")
+    unread = F.coalesce(F.concat(F.lit("="), text), F.lit("?"))
     return raw.withColumns(
         {
-            TIME: F.coalesce(timestamp_column(raw, TIME), run_instant(run_ts)),
+            TIME: F.coalesce(time, run_instant(run_ts)),
+            UNREAD: F.when(time.isNull(), unread).otherwise(""),
             "started_at": timestamp_column(raw, "started_at"),
             "viewer_count": whole_column(raw, "viewer_count", 0),
             "is_mature": flag_column(raw, "is_mature"),
@@ -49,7 +57,9 @@ def clean(raw: DataFrame, run_ts: datetime | str | None = None) -> DataFrame:
 
 
 def _keyed(df: DataFrame) -> tuple[DataFrame, list[str]]:
-    return (with_series_key(df), [SERIES, TIME]) if "id" in df.columns else (df, [TIME])
+    if "id" in df.columns:
+        return with_series_key(df), [SERIES, TIME, UNREAD]
+    return df, [TIME, UNREAD]
 
 
 def _landing_order(df: DataFrame, otherwise: list[str]) -> list[Column]:
@@ -67,17 +77,28 @@ def _first_landed(keyed: DataFrame, keys: list[str]) -> DataFrame:
     return first_rows(keyed, keys, _landing_order(keyed, ["viewer_count", *columns]))
 
 
+def unique(cleaned: DataFrame) -> DataFrame:
+    """First row per `(id, collected_at)` in landing order, with the key columns.
+
+    Unreadable times are compared by their text; missing ones are equal.
+    """
+    return _first_landed(*_keyed(cleaned))
+
+
 def dedupe(cleaned: DataFrame) -> DataFrame:
     """First row per `(id, collected_at)` in landing order."""
-    return _first_landed(*_keyed(cleaned)).drop(SERIES)
+    return unique(cleaned).drop(SERIES, UNREAD)
 
 
 def history_keys(cleaned: DataFrame) -> DataFrame:
-    """The deduplicated rows, cut down to the columns that rank and history need."""
+    """The deduplicated rows, cut down to the columns that rank and history need.
+
+    Landing order is among them, for rows of one id that were given the run time.
+    """
     keyed, keys = _keyed(cleaned)
     needed = [c for c in (*keys, "ingest_seq", "viewer_count") if c in keyed.columns]
     narrow = keyed.select(*needed)
-    return first_rows(narrow, keys, _landing_order(narrow, ["viewer_count"])).drop("ingest_seq")
+    return first_rows(narrow, keys, _landing_order(narrow, ["viewer_count"]))
 
 
 def _with_sql(df: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -150,10 +171,10 @@ def enrich(raw: DataFrame, run_ts: datetime | str | None = None) -> DataFrame:
     narrow = history_keys(cleaned)
     keyed, keys = _keyed(cleaned)
     history = stream_history(narrow) if SERIES in keys else narrow
-    side = dense_rank_in_batch(history, narrow).drop("viewer_count")
+    side = dense_rank_in_batch(history, narrow).drop("viewer_count", "ingest_seq")
     joined = add_row_features(_first_landed(keyed, keys).join(side, keys).drop(SERIES))
     full = add_changes(joined) if SERIES in keys else without_history(joined)
-    return full.select(*cleaned.columns, *DERIVED.fieldNames())
+    return full.select(*cleaned.drop(UNREAD).columns, *DERIVED.fieldNames())
 
 
 def report_order(df: DataFrame) -> list[Column]:

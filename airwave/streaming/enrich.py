@@ -28,6 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 from airwave.operators.dedupe import first_rows, union_growing
 from airwave.operators.ordered import (
     SERIES,
+    UNREAD,
     batch_ranks,
     dense_rank_in_batch,
     stream_history,
@@ -38,13 +39,13 @@ from airwave.plans.enrich import (
     add_changes,
     add_row_features,
     clean,
-    dedupe,
     history_keys,
+    unique,
 )
 from airwave.schema import DERIVED
 from airwave.streaming.ingest import ONCE
 
-KEYS = [SERIES, TIME]
+KEYS = [SERIES, TIME, UNREAD]
 # Folder column of `rows` below the micro-batch: the day of the row, for pruned reads.
 DAY = "_day"
 STATE = T.StructType(
@@ -88,6 +89,12 @@ def _log(entries: DataFrame, out: str, log: str, epoch: int, compact_every: int)
     entries.write.mode("overwrite").parquet(f"{period}/batch_id={epoch}")
 
 
+def _with_unread(rows: DataFrame) -> DataFrame:
+    """Stored rows; those of earlier versions of this code lack the text of unreadable times."""
+    known = F.col(UNREAD) if UNREAD in rows.columns else F.lit(None).cast("string")
+    return rows.withColumn(UNREAD, F.coalesce(known, F.lit("")))
+
+
 def _newest_version(rows: DataFrame) -> DataFrame:
     keyed = with_series_key(rows)
     return first_rows(keyed, KEYS, [F.col("batch_id").desc()]).drop(SERIES)
@@ -102,7 +109,7 @@ def read_incremental(
         raise FileNotFoundError(f"no enriched rows under {out}")
     if days is not None:
         rows = rows.where(F.col(DAY).isin(days))
-    return _newest_version(rows).drop("batch_id", DAY)
+    return _newest_version(_with_unread(rows)).drop("batch_id", DAY, UNREAD)
 
 
 def _latest_state(states: DataFrame) -> DataFrame:
@@ -140,7 +147,7 @@ def continue_history(keys: DataFrame, state: DataFrame) -> DataFrame:
 
 def _appended(fresh: DataFrame, keys: DataFrame, state: DataFrame) -> DataFrame:
     side = dense_rank_in_batch(continue_history(keys, state), keys).drop("viewer_count")
-    return with_series_key(dedupe(fresh)).join(side, KEYS)
+    return unique(fresh).join(side, KEYS)
 
 
 def _reworked(fresh: DataFrame, past: DataFrame, late: DataFrame) -> DataFrame:
@@ -158,10 +165,8 @@ def _reworked(fresh: DataFrame, past: DataFrame, late: DataFrame) -> DataFrame:
         .where(F.col("_late") | F.col("_again"))
         .drop("_late", "_again", SERIES)
     )
-    touched = with_series_key(
-        dedupe(union_growing(_newest_version(hit).drop("batch_id"), fresh))
-    )
-    narrow = [c for c in ("id", TIME, "ingest_seq", "viewer_count") if c in past.columns]
+    touched = unique(union_growing(_newest_version(hit).drop("batch_id"), fresh))
+    narrow = [c for c in ("id", TIME, UNREAD, "ingest_seq", "viewer_count") if c in past.columns]
     old, new = versions.select(*narrow, "batch_id", SERIES), with_series_key(fresh)
 
     def keys_of(column: str) -> DataFrame:
@@ -210,7 +215,7 @@ def enrich_batch(
         reworked = states is not None and not (late.isEmpty() and again.isEmpty())
         if reworked:
             earlier = F.col("batch_id") < epoch
-            past = _stored(spark, f"{out}/rows").where(earlier).drop(DAY)
+            past = _with_unread(_stored(spark, f"{out}/rows").where(earlier).drop(DAY))
             kept = [c for c in past.columns if c not in (*DERIVED.fieldNames(), "batch_id")]
             rows = _reworked(fresh, past.select(*kept, "batch_id"), late)
             columns = kept + [c for c in fresh.columns if c not in kept]
@@ -225,7 +230,7 @@ def enrich_batch(
             .groupBy(SERIES)
             .agg(
                 F.max(TIME).alias("_last_at"),
-                F.max_by("viewer_count", TIME).alias("_last_count"),
+                F.max_by("viewer_count", "stream_snapshot_number").alias("_last_count"),
                 F.max("stream_snapshot_number").alias("_rows"),
             )
         )

@@ -56,6 +56,18 @@ def test_bad_time_becomes_run_time_in_whole_seconds(raw, local):
     assert {r["collected_at"] for r in rows} == {at("2026-01-09T10:00:00")}
 
 
+def test_rows_with_different_unreadable_times_are_kept(raw, local):
+    times = ["junk", "n/a", "junk", None, None, RUN[:19] + "Z", ""]
+    df = raw(*[{"id": 1, "collected_at": t, "viewer_count": 9 - i} for i, t in enumerate(times)])
+    rows = local(enrich(df, RUN), "ingest_seq")
+    assert {r["collected_at"] for r in rows} == {at("2026-01-09T10:00:00")}
+    assert [r["ingest_seq"] for r in rows] == [0, 1, 3, 5, 6]
+    # They follow each other as landed.
+    assert [r["stream_snapshot_number"] for r in rows] == [1, 2, 3, 4, 5]
+    assert [r["previous_viewer_count"] for r in rows] == [None, 9, 8, 6, 4]
+    assert "_unread" not in rows[0]
+
+
 def test_viewer_count_coercion(raw, local):
     cases = {"x": 0, "": 0, None: 0, "NaN": 0, "inf": 0, "12d": 0, "0x1p3": 0, "12.5": 12,
              " 7 ": 7, "1e3": 1000, "9007199254740993": 9007199254740993}

@@ -87,6 +87,16 @@ def test_late_split_and_repeated_rows_equal_one_run(spark, raw, tmp_path):
     assert same(batch_result(frames), read_incremental(spark, out))
 
 
+def test_unreadable_times_of_several_batches_equal_one_run(spark, raw, tmp_path):
+    frames = [snapshot(raw, t, {"a": i, "b": 5}, 100 * i)
+              for i, t in enumerate(["junk", "n/a", "junk", "2026-01-09T01:00:00Z"])]
+    for epoch, frame in enumerate(frames):
+        enrich_batch(frame, epoch, str(tmp_path), RUN)
+    found = read_incremental(spark, str(tmp_path))
+    assert found.count() == 6 and "_unread" not in found.columns
+    assert same(found, batch_result(frames))
+
+
 def test_replay_replaces_its_own_output(spark, raw, tmp_path):
     out = str(tmp_path / "out")
     frames = steps(raw)
