@@ -16,13 +16,25 @@ from airwave.llm.katz import katz_scores
 from airwave.llm.language import fit, predict, remainder
 from airwave.llm.neighbours import neighbours
 from airwave.llm.packing import pack
+from airwave.llm.phrases import COLLOCATIONS_SQL, collocations
 from airwave.llm.pieces import decode_pieces, encode_pieces
 from airwave.llm.token_counts import count_tokens
 from airwave.llm.token_files import token_index, write_token_files
+from airwave.llm.url_rules import ALLOW, BLOCK, judge_sql, judge_urls
+from airwave.llm.whitening import whiten
 from airwave.session import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Given with the task: host, path, verdict.
+URL_RULES = [
+    ("org", "/", ALLOW),
+    ("example.org", "/es/", BLOCK),
+    ("example.org", "/en/1", BLOCK),
+    ("com", "/fr/", ALLOW),
+    ("com", "/de/", BLOCK),
+]
+
 
 def op1_token_files(spark: SparkSession, directory: str) -> DataFrame:
     path = f"{shared_dir(spark)}/token-files-{uuid.uuid4().hex}"
@@ -94,6 +106,18 @@ def op10_jaccard(spark: SparkSession, directory: str) -> DataFrame:
     return jaccard_components(table(spark, directory, "documents"))
 
 
+def op11_phrases(spark: SparkSession, directory: str) -> DataFrame:
+    return collocations(table(spark, directory, "documents"))
+
+
+def op12_url_rules(spark: SparkSession, directory: str) -> DataFrame:
+    return judge_urls(table(spark, directory, "pages"), URL_RULES)
+
+
+def op13_whitening(spark: SparkSession, directory: str) -> DataFrame:
+    return whiten(table(spark, directory, "embeddings"))
+
+
 def registered() -> dict[str, Query]:
     return {
         "op1_token_files": op1_token_files,
@@ -106,8 +130,15 @@ def registered() -> dict[str, Query]:
         "op8_chat": op8_chat,
         "op9_language": op9_language,
         "op10_jaccard": op10_jaccard,
+        "op11_phrases": op11_phrases,
+        "op12_url_rules": op12_url_rules,
+        "op13_whitening": op13_whitening,
     }
 
 
 def statements() -> dict[str, str]:
-    return {"op2_exact_duplicates": EXACT_SQL}
+    return {
+        "op2_exact_duplicates": EXACT_SQL,
+        "op11_phrases": COLLOCATIONS_SQL,
+        "op12_url_rules": judge_sql(URL_RULES),
+    }
