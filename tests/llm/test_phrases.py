@@ -70,7 +70,7 @@ def test_phrases_equal_brute_force(documents):
     pairs = [(lang, text) for _, text, lang in rows]
     docs = documents(*rows, extra=["a", "n", "id", "left", "right", "chunk", "seq", "phrase", "rank"])
     for least, share, longest in ((5, 80, 4), (20, 50, 4), (3, 100, 3), (8, 80, 2)):
-        got = phrases.collocations(docs, longest, least, 2000, share, chunk=700)
+        got = phrases.collocations(docs, longest, least, 2000, share, chunk=700, bucket=300)
         assert rows_of(got) == brute(pairs, longest, least, 2000, share)
 
 
@@ -93,21 +93,29 @@ def test_a_huge_document_is_cut_between_pieces(monkeypatch):
     monkeypatch.setattr(phrases, "SLICE", 64)
     text = "one two three. four five, six " * 200
     given = pa.RecordBatch.from_pydict({"lang": ["en"], "text": [text]})
-    out = list(phrases.cut_words([given], 500))
-    chunks = {c for b in out for c in b.column(0).to_pylist()}
-    assert len(chunks) > 5
+    out = [r for b in phrases.cut_words([given], 7, 500) for r in b.to_pylist()]
+    assert len({r["chunk"] for r in out}) > 5
     counts = Counter()
-    for batch in out:
-        for word, count in zip(batch.column(3).to_pylist(), batch.column(5).to_pylist(), strict=True):
-            if word is not None:
-                counts[word] += count
+    for r in out:
+        if r["words"]:
+            numbers = phrases.unpack(r["counts"], np.int64).tolist()
+            counts.update(dict(zip(r["words"], numbers, strict=True)))
+            assert r["total"] == sum(numbers)
     assert counts == {w: 200 for w in "one two three four five six".split()}
 
 
 def test_gaps_do_not_join():
-    flags = pa.table({"local": pa.array([0, 1], pa.int32()), "id": [70, 71]})
+    places, ids = np.array([0, 1], np.int32), np.array([70, 71])
     seq = np.array([0, 1, 2, 0, -1, 1, 0, 1], np.int32)
-    pairs, sequence = phrases._pair_up(flags, seq, 9, False)
-    found = list(zip(*(pairs.column(i).to_pylist() for i in (2, 3, 5)), strict=True))
-    assert sorted(found) == [(70, 71, 2), (71, 70, 1)]
-    assert np.frombuffer(sequence.column(1)[0].as_py(), np.int32).tolist() == [0, -1, 1, 0]
+    *pairs, sequence = phrases.pair_up(9, seq, places, ids, 1, False)
+    (row,) = pairs[0].to_pylist()
+    left, right, counts = (phrases.unpack(row[c], np.int64).tolist() for c in ("left", "right", "counts"))
+    assert (np.cumsum(left).tolist(), right, counts) == ([70, 71], [71, 70], [2, 1])
+    assert phrases.unpack(sequence.column("seq")[0].as_py(), np.int32).tolist() == [0, -1, 1, 0]
+
+
+def test_numbers_survive_packing():
+    for kind in (np.int32, np.int64):
+        for numbers in ([], [0], [-1, 5, np.iinfo(kind).max, np.iinfo(kind).min]):
+            given = np.array(numbers, kind)
+            assert phrases.unpack(phrases.pack(given), kind).tolist() == numbers
