@@ -1,14 +1,15 @@
 """Ordered computations split into slices, so that no group has to fit one task.
 
 A plain window puts a whole group on one task. Here a group is cut into slices along its order (a
-day of a stream's history, 2^20 neighbouring values of a measure). The window runs inside slices; a
+day of a stream's history, a range of the landing order inside one instant, 2^20 neighbouring values of
+a measure). The window runs inside slices; a
 table with one row per slice carries totals from each slice to the next. The result is the same as
 with the plain window.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # 2^20 neighbouring values per slice: a slice holds at most 2^20 distinct values, and values below
@@ -16,6 +17,9 @@ from pyspark.sql import functions as F
 SLICE_BITS = 20
 
 SERIES = "_series"
+# Rows of one instant are cut where their landing order reaches a multiple of 2^12.
+LANDING_BITS = 12
+
 # Tells rows apart whose collection time could not be read; empty where it could.
 UNREAD = "_unread"
 TIES = ("ingest_seq", "viewer_count", UNREAD)
@@ -96,18 +100,49 @@ def slice_tails(keys: DataFrame, group: list[str]) -> DataFrame:
     )
 
 
-def stream_history(keys: DataFrame) -> DataFrame:
+def _part_of_day(shared: list[Column]) -> Column:
+    """Place of a row among the shared instants: odd at one of them, even between two."""
+    time = F.col("collected_at")
+    if len(shared) == 1:
+        return F.when(time > shared[0], 2).when(time == shared[0], 1).otherwise(0)
+    instants = F.array(*shared)
+    before = F.size(F.filter(instants, lambda instant: instant < time))
+    return before * 2 + F.array_contains(instants, time).cast("int")
+
+
+def in_slices(keys: DataFrame, shared: list[Column] | None = None) -> tuple[DataFrame, list[str]]:
+    """Add the columns that cut a series, in its order, into slices; and the columns' names.
+
+    A slice is a day. An instant that many rows of a series may share (`shared`: the times of runs, given to
+    rows whose own time cannot be read) cuts its day, and is itself cut into ranges of the landing order.
+    A table without landing numbers is cut by day and instant only.
+    """
+    sliced = keys.withColumn("_day", F.to_date("collected_at"))
+    if not shared:
+        return sliced, ["_day"]
+    sliced = sliced.withColumn("_part", _part_of_day(shared))
+    if "ingest_seq" not in keys.columns:
+        return sliced, ["_day", "_part"]
+    # A row without a number comes last.
+    landed = F.coalesce(F.shiftright("ingest_seq", LANDING_BITS), F.lit(1 << 62))
+    ranges = F.when(F.col("_part") % 2 == 1, landed).otherwise(0)
+    return sliced.withColumn("_range", ranges), ["_day", "_part", "_range"]
+
+
+def stream_history(keys: DataFrame, shared: list[Column] | None = None) -> DataFrame:
     """Previous count, previous time and running number of each row in its series.
 
     `keys` has `_series`, `collected_at`, `viewer_count`, with (series, time) unique; rows that were
-    given the run time may share it, and follow each other as landed. A series is cut by day, so a hot
-    or null id is spread over as many tasks as it has days.
+    given a run's time may share it, and follow each other as landed. A series is cut into slices
+    (`in_slices`), so a hot or null id is spread over as many tasks as it has slices; one row per slice
+    carries count, time and number to the next.
     """
     order = [F.col(c).asc_nulls_last() for c in ("collected_at", *TIES) if c in keys.columns]
-    by_day = [SERIES, "_day"]
-    sliced = keys.withColumn("_day", F.to_date("collected_at")).repartition(*by_day)
-    inside = Window.partitionBy(*by_day).orderBy(*order)
-    days = Window.partitionBy(SERIES).orderBy("_day")
+    sliced, cut = in_slices(keys, shared)
+    by_slice = [SERIES, *cut]
+    sliced = sliced.repartition(*by_slice)
+    inside = Window.partitionBy(*by_slice).orderBy(*order)
+    slices = Window.partitionBy(SERIES).orderBy(*cut)
     numbered = sliced.withColumns(
         {
             "_nth": F.row_number().over(inside),
@@ -115,16 +150,16 @@ def stream_history(keys: DataFrame) -> DataFrame:
             "_prev_at": F.lag("collected_at").over(inside),
         }
     )
-    carried = slice_tails(numbered, by_day).select(
-        *by_day,
-        F.lag("_last_count").over(days).alias("_carry_count"),
-        F.lag("_last_at").over(days).alias("_carry_at"),
+    carried = slice_tails(numbered, by_slice).select(
+        *by_slice,
+        F.lag("_last_count").over(slices).alias("_carry_count"),
+        F.lag("_last_at").over(slices).alias("_carry_at"),
         F.coalesce(
-            F.sum("_rows").over(days.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+            F.sum("_rows").over(slices.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
         ).alias("_carry_rows"),
     )
-    added = ("_day", "_nth", "_prev_count", "_prev_at", "_carry_count", "_carry_at", "_carry_rows")
-    joined = numbered.join(carried, by_day).withColumns(continued())
+    added = (*cut, "_nth", "_prev_count", "_prev_at", "_carry_count", "_carry_at", "_carry_rows")
+    joined = numbered.join(carried, by_slice).withColumns(continued())
     return joined.drop(*added, "ingest_seq")
 
 

@@ -7,7 +7,7 @@ fractions of a viewer are cut; an absent column takes its default.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -167,10 +167,12 @@ def enrich(raw: DataFrame, run_ts: datetime | str | None = None) -> DataFrame:
     Wide rows are shuffled once, by (id, collected_at), for the deduplication. Rank and history are
     worked out on a second, narrow read (key, time, count) and joined back on the same key.
     """
+    run_ts = run_ts or datetime.now(timezone.utc)
     cleaned = clean(raw, run_ts)
     narrow = history_keys(cleaned)
     keyed, keys = _keyed(cleaned)
-    history = stream_history(narrow) if SERIES in keys else narrow
+    # Any number of rows may have been given the run time.
+    history = stream_history(narrow, [run_instant(run_ts)]) if SERIES in keys else narrow
     side = dense_rank_in_batch(history, narrow).drop("viewer_count", "ingest_seq")
     joined = add_row_features(_first_landed(keyed, keys).join(side, keys).drop(SERIES))
     full = add_changes(joined) if SERIES in keys else without_history(joined)

@@ -205,32 +205,58 @@ def maturity_summary(rows: DataFrame) -> DataFrame:
 
 
 def collection_health_summary(prepared: DataFrame, approximate: bool = False) -> DataFrame:
-    """Size and coverage of each batch; `approximate` trades exact distinct counts for a sketch."""
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
-    # Folded first, so that the distinct counts multiply folded rows only.
-    folded = prepared.groupBy("collected_at", "user_id", "game_name").agg(
+    """Size and coverage of each batch; `approximate` trades exact distinct counts for a sketch.
+
+    Exact counts come from two folds, by streamer (which carries the measures) and by game. Each
+    combines before its shuffle, and no row is multiplied for the second count.
+    """
+    batch = "collected_at"
+    if approximate:
+        sized = prepared.groupBy(batch).agg(
+            *_health_measures(),
+            F.approx_count_distinct("user_id").alias("unique_streamers"),
+            F.approx_count_distinct("game_name").alias("unique_games"),
+        )
+    else:
+        by_streamer = prepared.groupBy(batch, "user_id").agg(*_health_measures())
+        streamers = by_streamer.groupBy(batch).agg(
+            *[(F.min if n == "least" else F.max if n == "most" else F.sum)(n).alias(n) for n in HEALTH],
+            F.count("user_id").alias("unique_streamers"),
+        )
+        games = (
+            prepared.select(F.col(batch).alias("_batch"), "game_name")
+            .distinct()
+            .groupBy("_batch")
+            .agg(F.count("game_name").alias("unique_games"))
+        )
+        sized = streamers.join(games, F.col(batch).eqNullSafe(F.col("_batch")))
+    return sized.select(
+        batch,
+        F.col("ids").alias("rows_collected"),
+        "unique_streamers",
+        "unique_games",
+        F.col("viewers").alias("total_viewers"),
+        F.col("least").alias("min_viewers"),
+        ratio(F.col("viewers"), F.col("rows")).alias("avg_viewers"),
+        F.col("most").alias("max_viewers"),
+        ratio(F.col("minutes"), F.col("gaps")).alias("avg_minutes_since_last_snapshot"),
+    ).orderBy(up(batch))
+
+
+HEALTH = ["ids", "rows", "viewers", "least", "most", "minutes", "gaps"]
+
+
+def _health_measures() -> list[Column]:
+    gap = "minutes_since_last_snapshot"
+    return [
         F.count("id").alias("ids"),
         F.count("viewer_count").alias("rows"),
         F.sum("viewer_count").alias("viewers"),
         F.min("viewer_count").alias("least"),
         F.max("viewer_count").alias("most"),
-        F.sum("minutes_since_last_snapshot").alias("minutes"),
-        F.count("minutes_since_last_snapshot").alias("gaps"),
-    )
-    return (
-        folded.groupBy("collected_at")
-        .agg(
-            F.sum("ids").alias("rows_collected"),
-            distinct("user_id").alias("unique_streamers"),
-            distinct("game_name").alias("unique_games"),
-            F.sum("viewers").alias("total_viewers"),
-            F.min("least").alias("min_viewers"),
-            ratio(F.sum("viewers"), F.sum("rows")).alias("avg_viewers"),
-            F.max("most").alias("max_viewers"),
-            ratio(F.sum("minutes"), F.sum("gaps")).alias("avg_minutes_since_last_snapshot"),
-        )
-        .orderBy(up("collected_at"))
-    )
+        F.sum(gap).alias("minutes"),
+        F.count(gap).alias("gaps"),
+    ]
 
 
 def fastest_growing_streams(prepared: DataFrame, k: int = 50) -> DataFrame:

@@ -83,9 +83,12 @@ def snapshot_rows(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
 def read_categories(
     spark: SparkSession, path: str, first: int = 10, category: T.StructType = CATEGORY
 ) -> DataFrame:
-    """The first entries of each landed top-categories document, in their order."""
+    """The first entries of each landed top-categories document, in their order.
+
+    A broken or half-written document is an error, not an empty one.
+    """
     envelope = T.StructType([T.StructField("data", T.ArrayType(category))])
-    documents = spark.read.schema(envelope).option("multiLine", "true").json(path)
+    documents = spark.read.schema(envelope).options(**PAGE_OPTIONS).json(path)
     return (
         documents.select(F.posexplode("data").alias("position", "_row"))
         .where(F.col("position") < first)

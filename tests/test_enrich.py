@@ -3,7 +3,9 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from airwave.plans.enrich import clean, enrich, in_report_order
+from airwave.functions.coerce import run_instant
+from airwave.operators.ordered import in_slices, stream_history
+from airwave.plans.enrich import clean, enrich, history_keys, in_report_order
 from airwave.schema import DERIVED, RAW_COLUMNS
 
 RUN = "2026-01-09T10:00:00.9Z"
@@ -272,3 +274,42 @@ def test_without_landing_order_the_choice_is_still_fixed(raw, local):
     for order in (rows, rows[::-1]):
         df = raw(*order).drop("ingest_seq")
         assert [r["viewer_count"] for r in local(enrich(df, RUN))] == [5]
+
+
+def _unread(spark, rows, instant=RUN):
+    """A null id whose times mostly cannot be read, around and at the run time, and two other streams."""
+    return spark.range(rows).select(
+        F.when(F.col("id") % 50 == 49, "other").when(F.col("id") % 50 == 48, "more").alias("id"),
+        F.when(F.col("id") % 10 == 0, F.concat(F.lit("2026-01-0"), (F.col("id") % 3 + 8).cast("string"),
+                                               F.lit("T0"), (F.col("id") % 10).cast("string"),
+                                               F.lit(":00:00Z")))
+        .when(F.col("id") == 7, instant)
+        .otherwise(F.concat(F.lit("bad "), F.col("id").cast("string"))).alias("collected_at"),
+        (F.hash("id") % 1000).cast("string").alias("viewer_count"),
+        (F.col("id") * 37 % rows * 900).alias("ingest_seq"),
+    )
+
+
+def test_shared_instants_are_cut_and_equal_a_plain_window(spark):
+    from pyspark.sql import Window
+
+    keys = history_keys(clean(_unread(spark, 5000), RUN))
+    order = ["collected_at", "ingest_seq", "viewer_count", "_unread"]
+    plain = Window.partitionBy("_series").orderBy(*order)
+    want = keys.select(
+        "_series", "collected_at", "_unread", F.lag("viewer_count").over(plain).alias("previous_viewer_count"),
+        F.lag("collected_at").over(plain).alias("previous_collected_at"),
+        F.row_number().over(plain).alias("stream_snapshot_number"),
+    )
+    instants = [run_instant(RUN), run_instant("2026-01-08T00:00:00Z")]
+    for shared in (instants[:1], instants, None):
+        got = stream_history(keys, shared).select(*want.columns)
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+def test_many_unreadable_times_of_one_stream_fill_many_slices(spark):
+    keys = history_keys(clean(_unread(spark, 20_000), RUN))
+    sliced, cut = in_slices(keys, [run_instant(RUN)])
+    sizes = [r["count"] for r in sliced.groupBy("_series", *cut).count().collect()]
+    # 4096 landing numbers a slice, of which every 900th is taken here.
+    assert max(sizes) <= 4096 and len(sizes) > 1000

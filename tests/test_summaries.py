@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from airwave.plans.enrich import enrich
 from airwave.plans.summaries import (
     build_summaries,
+    collection_health_summary,
     fastest_growing_streams,
     measures,
     pre_aggregate,
@@ -124,3 +125,11 @@ def test_text_input_and_absent_columns(spark, local):
 def test_no_rows_give_no_groups(enriched):
     for name, table in build_summaries(enriched.limit(0)).items():
         assert table.isEmpty(), name
+
+
+def test_health_counts_distinct_values_without_multiplying_rows(enriched):
+    health = build_summaries(enriched)["collection_health_summary"]
+    assert "Expand" not in health._jdf.queryExecution().executedPlan().toString()
+    rough = collection_health_summary(prepare(enriched), approximate=True)
+    assert rough.columns == health.columns
+    assert sorted(map(repr, rough.collect())) == sorted(map(repr, health.collect()))

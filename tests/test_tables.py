@@ -182,6 +182,9 @@ def test_categories_and_json(spark, tmp_path, local):
     everything = read_categories(spark, str(tmp_path / "top.json"))
     path = write_json(everything, str(tmp_path / "dump"))
     assert [r["name"] for r in local(spark.read.json(path), "position")] == names
+    (tmp_path / "half.json").write_text('{"data": [{"id": "1", "na')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_categories(spark, str(tmp_path / "*.json")).collect()
 
 
 def test_reorder_preview_union_and_keyless_dedupe(spark):
