@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from datetime import datetime
 from typing import Any
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,11 +16,21 @@ from airwave.plans.summaries import build_summaries, measures, pre_aggregate, pr
 from airwave.schema import PAYLOAD_STREAM
 from airwave.session import configure, scratch, stored
 from airwave.sinks.fact import DEFAULT_TABLE
-from airwave.sinks.tables import append_raw, write_enriched, write_summaries
-from airwave.sources.payload import read_pages, snapshot_rows
+from airwave.sinks.files import exists
+from airwave.sinks.ledger import note_pages, read_ledger, settle
+from airwave.sinks.tables import append_raw, new_number, write_enriched, write_summaries
+from airwave.sources.payload import (
+    is_final,
+    landed_files,
+    pages_in_run,
+    read_pages,
+    stream_rows,
+)
 from airwave.sources.snapshots import read_enriched, read_raw
 
 
+#: New files that are named one by one; beyond, the landing folder is read and the new ones are picked.
+MANY_FILES = 10_000
 #: What tells a landed row from all others.
 ROW = ["collected_at", "ingest_seq", "id", "viewer_count"]
 
@@ -47,23 +57,75 @@ def ingest_job(
     on_empty: str = "error",
     stream: T.StructType = PAYLOAD_STREAM,
 ) -> int:
-    """Append the landed rows that the raw table does not hold yet; a wider `stream` keeps new fields.
+    """Append the rows of pages that landed since; a wider `stream` keeps new fields.
 
-    A row is known by its run's time, landing order, id and count, because runs without a time share
-    their landing orders. Only the span of landed times is looked up in the raw table, whose files keep
-    the smallest and largest time of each block.
+    A ledger (`sinks.ledger`) knows the files that were taken in, and where their runs ended, so the cost
+    follows the new files: those of older runs are listed, not read, and neither are raw rows. Pages that may
+    repeat known rows are the exception: a known page of a run under another name or with another length, a
+    page without a run, and all pages as long as the ledger is younger than the table. Their rows are compared
+    with the raw rows of their span of time, by run time, landing order, id and count.
     """
-    rows = snapshot_rows(read_pages(spark, landing, stream), max_pages)
+    noted = read_ledger(spark, raw)
+    files = landed_files(spark, landing)
+    if noted is not None:
+        known = noted.select("file", "length")
+        files = files.join(known, ["file", "length"], "left_anti")
+    names = [r["file"] for r in files.select("file").take(MANY_FILES + 1)]
+    if not names and noted is not None:
+        return 0
+    if len(names) <= MANY_FILES:
+        pages = read_pages(spark, names or landing, stream)
+    else:
+        pages = read_pages(spark, landing, stream)
+    pages = pages.select(
+        "*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("length")
+    )
+    if len(names) > MANY_FILES:
+        pages = pages.join(files, ["file", "length"], "left_semi")
+    ends = None
+    again = F.col("run_ts").isNull()
+    if noted is not None:
+        runs = pages.select("run_ts").distinct()
+        seen = noted.join(runs, "run_ts", "left_semi")
+        ends = seen.where("final").select(F.col("run_ts").alias("_run"), F.col("page_no").alias("_cut"))
+        page = seen.select("run_ts", "page_no", F.lit(True).alias("_seen")).distinct()
+        pages = pages.join(page, ["run_ts", "page_no"], "left")
+        again = again | F.col("_seen")
+    elif exists(spark, raw):
+        again = F.lit(True)
+    again = F.coalesce(again, F.lit(False))
+    # The run's end is judged over all new pages.
+    kept = pages_in_run(pages, max_pages, ends)
+    rows = stream_rows(kept.where(~again))
+    if not pages.where(again).isEmpty():
+        repeated = stream_rows(kept.where(again))
+        rows = rows.unionByName(_unknown_rows(spark, repeated, raw))
+    number = new_number()
+    notes = pages.withColumn("final", is_final())
+    if rows.isEmpty():
+        # Nothing that could be written; these pages are done with, unless there was no page at all.
+        landed = not pages.isEmpty() and not stream_rows(kept).isEmpty()
+        if not landed:
+            return append_raw(rows, raw, on_empty)
+        note_pages(notes, raw, number, settled=True)
+        return 0
+    note_pages(notes, raw, number)
+    written = append_raw(rows, raw, on_empty, number)
+    settle(spark, raw, new_number())
+    return written
+
+
+def _unknown_rows(spark: SparkSession, rows: DataFrame, raw: str) -> DataFrame:
+    """The rows that the raw table does not hold. Its files keep the span of times of each block."""
     try:
         known = read_raw(spark, raw).select(*ROW)
     except FileNotFoundError:
-        return append_raw(rows, raw, on_empty)
+        return rows
     span = rows.agg(F.min("collected_at").alias("a"), F.max("collected_at").alias("b")).first()
     inside = F.col("collected_at").between(span["a"], span["b"]) | F.col("collected_at").isNull()
     known = known.where(inside).withColumnsRenamed({c: f"_{c}" for c in ROW})
     same = [F.col(c).cast("string").eqNullSafe(F.col(f"_{c}").cast("string")) for c in ROW]
-    fresh = rows.join(known, same, "left_anti")
-    return append_raw(fresh, raw, "skip" if rows.take(1) else on_empty)
+    return rows.join(known, same, "left_anti")
 
 
 def enrich_job(

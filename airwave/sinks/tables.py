@@ -12,11 +12,18 @@ from airwave.sources.payload import raw_projection
 from airwave.sources.snapshots import CSV
 
 
-def append_raw(rows: DataFrame, path: str, on_empty: str = "error") -> int:
+def new_number() -> int:
+    """A number for a batch write; those of streams are not negative."""
+    return -time.time_ns()
+
+
+def append_raw(
+    rows: DataFrame, path: str, on_empty: str = "error", number: int | None = None
+) -> int:
     """Append rows to the raw table and return their number.
 
     New fields are kept as new columns; older files simply lack them. An empty batch is an error,
-    or with `on_empty="skip"` a no-op.
+    or with `on_empty="skip"` a no-op. `number` names the write; none is given twice.
     """
     if on_empty not in ("error", "skip"):
         raise ValueError(f"unknown on_empty {on_empty!r}")
@@ -26,8 +33,8 @@ def append_raw(rows: DataFrame, path: str, on_empty: str = "error") -> int:
         raise ValueError("the batch has no rows, nothing was written")
     counted = Observation()
     written = raw_projection(rows).observe(counted, F.count(F.lit(1)).alias("rows"))
-    # Below a folder of its own, as the stream writes; the stream's numbers are not negative.
-    written.write.parquet(f"{path}/batch_id=-{time.time_ns()}")
+    # Below a folder of its own, as the stream writes.
+    written.write.parquet(f"{path}/batch_id={new_number() if number is None else number}")
     return counted.get["rows"]
 
 

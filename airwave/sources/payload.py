@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,7 +15,7 @@ PAGE_OPTIONS = {"multiLine": "true", "mode": "FAILFAST"}
 
 
 def read_pages(
-    spark: SparkSession, path: str, stream: T.StructType = PAYLOAD_STREAM
+    spark: SparkSession, path: str | list[str], stream: T.StructType = PAYLOAD_STREAM
 ) -> DataFrame:
     """Pages from JSON files, one document per file. A wider `stream` keeps new API fields.
 
@@ -24,19 +24,42 @@ def read_pages(
     return spark.read.schema(payload(stream)).options(**PAGE_OPTIONS).json(path)
 
 
-def pages_in_run(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
+def landed_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file, length) of what lies in a folder. Files are listed, their content is not read."""
+    files = spark.read.format("binaryFile").load(path)
+    return files.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("length")
+    )
+
+
+def is_final() -> Column:
+    """Does a page end its run? It is empty or has no cursor."""
+    cursor = F.col("pagination.cursor")
+    return (F.coalesce(F.size("data"), F.lit(0)) <= 0) | cursor.isNull() | (cursor == "")
+
+
+def run_ends(pages: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """(_run, _cut): the first final page of each run, null if there is none.
+
+    `known` has such rows from elsewhere, for runs whose other pages are not among `pages`.
+    """
+    own = pages.select(
+        F.col("run_ts").alias("_run"), F.when(is_final(), F.col("page_no")).alias("_cut")
+    )
+    both = own if known is None else own.unionByName(known)
+    return both.where(F.col("_run").isNotNull()).groupBy("_run").agg(F.min("_cut").alias("_cut"))
+
+
+def pages_in_run(
+    pages: DataFrame, max_pages: int | None = None, known: DataFrame | None = None
+) -> DataFrame:
     """Pages up to the run's first page that is empty or has no cursor; `max_pages` cuts earlier.
 
     That page still counts (an empty one adds no rows); anything after it does not belong to the
-    run. The cut is one number per run, joined back by run. Pages without `run_ts` belong to runs that
-    cannot be told apart, so all of them stay.
+    run. The cut is one number per run (`run_ends`), joined back by run. Pages without `run_ts` belong to
+    runs that cannot be told apart, so all of them stay.
     """
-    cursor = F.col("pagination.cursor")
-    final = (F.coalesce(F.size("data"), F.lit(0)) <= 0) | cursor.isNull() | (cursor == "")
-    runs = pages.where(F.col("run_ts").isNotNull())
-    cuts = runs.groupBy(F.col("run_ts").alias("_run")).agg(
-        F.min(F.when(final, F.col("page_no"))).alias("_cut")
-    )
+    cuts = run_ends(pages, known)
     limit = F.least(F.lit(max_pages).cast("int"), F.col("_cut"))
     beyond = F.col("page_no") > limit
     kept = pages.join(cuts, F.col("run_ts") == F.col("_run"), "left")
@@ -50,11 +73,15 @@ def join_list(df: DataFrame, name: str):
     return F.col(name)
 
 
+def run_stamp() -> Column:
+    """A run's time; null where it cannot be read."""
+    return F.when(F.col("run_ts").rlike(ISO_DATE), F.try_to_timestamp("run_ts"))
+
+
 def stream_rows(pages: DataFrame) -> DataFrame:
     """One raw row per stream, stamped with its run's time and its landing order."""
-    stamp = F.when(F.col("run_ts").rlike(ISO_DATE), F.try_to_timestamp("run_ts"))
     spread = pages.select(
-        stamp.alias("_stamp"), "page_no", F.posexplode("data").alias("_pos", "_row")
+        run_stamp().alias("_stamp"), "page_no", F.posexplode("data").alias("_pos", "_row")
     )
     second = F.coalesce(F.unix_seconds("_stamp"), F.lit(0))
     # A higher number would run into the next page's, and another duplicate would stay.
@@ -75,9 +102,11 @@ def stream_rows(pages: DataFrame) -> DataFrame:
     return rows.withColumns({name: join_list(rows, name) for name in lists})
 
 
-def snapshot_rows(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
+def snapshot_rows(
+    pages: DataFrame, max_pages: int | None = None, known: DataFrame | None = None
+) -> DataFrame:
     """Raw rows of landed runs. A run whose time is unreadable keeps its rows, without a time."""
-    return stream_rows(pages_in_run(pages, max_pages))
+    return stream_rows(pages_in_run(pages, max_pages, known))
 
 
 def read_categories(
