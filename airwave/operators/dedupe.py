@@ -10,16 +10,16 @@ from pyspark.sql import functions as F
 SNAPSHOT_KEYS = ("id", "collected_at")
 
 
-def first_rows(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """One row per key, the lowest in `order`; null keys are equal.
+def first_rows(df: DataFrame, keys: list[str], order: list[Column], k: int = 1) -> DataFrame:
+    """The `k` lowest rows in `order` per key; null keys are equal.
 
-    `row_number() = 1` lets Spark place a group limit before the shuffle, so each task sends at most
-    one row per key however many copies it read.
+    `row_number() <= k` lets Spark place a group limit before the shuffle, so each task sends at most
+    `k` rows per key however many copies it read.
     """
     if not keys:
         return df
     window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_nth", F.row_number().over(window)).where("_nth = 1").drop("_nth")
+    return df.withColumn("_nth", F.row_number().over(window)).where(f"_nth <= {k}").drop("_nth")
 
 
 def drop_duplicate_snapshots(df: DataFrame, order: list[Column]) -> DataFrame:

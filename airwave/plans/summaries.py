@@ -259,17 +259,16 @@ def _health_measures() -> list[Column]:
     ]
 
 
+def growth_order() -> list[Column]:
+    """Largest gain first; ties by time and name."""
+    ties = ("collected_at", "user_name", "game_name", "language", "viewer_count")
+    return [down("viewer_count_delta"), *[up(c) for c in ties]]
+
+
 def fastest_growing_streams(prepared: DataFrame, k: int = 50) -> DataFrame:
     """The k largest gains; falling streams fill the list when fewer than k gained."""
     return (
-        prepared.orderBy(
-            down("viewer_count_delta"),
-            up("collected_at"),
-            up("user_name"),
-            up("game_name"),
-            up("language"),
-            up("viewer_count"),
-        )
+        prepared.orderBy(*growth_order())
         .limit(k)
         .select(
             "collected_at",
