@@ -19,7 +19,7 @@ from airwave.functions.numeric import round_even
 from airwave.operators.joins import batches_not_in
 from airwave.plans.summaries import down, up
 from airwave.schema import FACT
-from airwave.sinks.fact import batch_present, ensure_table, insert_batch, loaded_batches
+from airwave.sinks.fact import ensure_table, load_batches
 
 TEXT = [
     "id",
@@ -68,11 +68,13 @@ def newest(fact: DataFrame) -> DataFrame:
     )
 
 
-def newest_time(df: DataFrame) -> datetime:
-    """The newest collection time: one value from one column. ValueError if there is none."""
+def newest_time(df: DataFrame, day: str | None = None) -> datetime:
+    """The newest collection time: one value from one column. ValueError if there is none.
+
+    The newest day is asked for first, unless it is known, and only its rows for their times.
+    """
     if "snapshot_date" in df.columns:
-        # The enriched table is laid out by this column, so the newest day comes from the folders.
-        day = df.agg(F.max("snapshot_date").alias("day")).first()["day"]
+        day = day or df.agg(F.max("snapshot_date").alias("day")).first()["day"]
         if day is not None:
             df = df.where(F.col("snapshot_date") == day)
     times = df.select(timestamp_column(df, "collected_at").alias("collected_at"))
@@ -83,13 +85,15 @@ def newest_time(df: DataFrame) -> datetime:
     return found
 
 
-def latest_batch(enriched: DataFrame, at: datetime | None = None) -> tuple[DataFrame, datetime]:
+def latest_batch(
+    enriched: DataFrame, at: datetime | None = None, day: str | None = None
+) -> tuple[DataFrame, datetime]:
     """The newest batch as fact rows, and its time.
 
     The time is fetched first, unless the caller knows it, so that the batch filter is a literal
     that reaches the file scan.
     """
-    found = at or newest_time(enriched)
+    found = at or newest_time(enriched, day)
     kept = enriched
     if "snapshot_date" in enriched.columns:
         # The enriched table is laid out by this column.
@@ -104,27 +108,23 @@ def load_latest_batch(
     table: str,
     database: str | None = None,
     mode: str = "latest",
+    day: str | None = None,
 ) -> dict[str, Any]:
-    """Load the newest batch unless the table has it already.
+    """Load the newest batch unless the table has it already; `day` is the newest day, if it is known.
 
-    A batch counts as loaded when any of its rows is there. `mode="all_missing"` loads every batch
-    the table lacks. One writer at a time is assumed: test and append are two steps.
+    A batch counts as loaded once it is committed (`sinks.fact.load_batches`); one that was left half written is
+    replaced. `mode="all_missing"` loads every batch the table lacks. One writer at a time is assumed.
     """
     if mode not in ("latest", "all_missing"):
         raise ValueError(f"unknown mode {mode!r}")
     name = ensure_table(spark, table, database)
-    batch, newest_at = latest_batch(enriched)
+    batch, newest_at = latest_batch(enriched, day=day)
     result = {"collected_at": newest_at.isoformat() + "+00:00", "table": name}
-    if mode == "all_missing":
-        fact = to_fact(enriched)
-        day = F.to_date("collected_at")
-        span = fact.agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
-        loaded = loaded_batches(spark, name, span["first"], span["last"])
-        rows = insert_batch(batches_not_in(fact, loaded), name)
-        return {"status": "inserted" if rows else "skipped", "rows": rows, **result}
-    if batch_present(spark, name, newest_at):
-        return {"status": "skipped", "rows": batch.count(), **result}
-    return {"status": "inserted", "rows": insert_batch(batch, name), **result}
+    fact = to_fact(enriched) if mode == "all_missing" else batch
+    rows, replaced = load_batches(spark, fact, name)
+    if rows:
+        return {"status": "replaced" if replaced else "inserted", "rows": rows, **result}
+    return {"status": "skipped", "rows": batch.count() if mode == "latest" else 0, **result}
 
 
 def missing_batches(fact: DataFrame, loaded: DataFrame) -> DataFrame:

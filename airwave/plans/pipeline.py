@@ -28,7 +28,7 @@ from airwave.sources.payload import (
     read_pages,
     stream_rows,
 )
-from airwave.sources.snapshots import read_enriched, read_raw
+from airwave.sources.snapshots import enriched_days, read_enriched, read_raw
 from airwave.streaming.enrich import changes_stream, enrich_stream
 from airwave.streaming.health import health_stream
 from airwave.streaming.ingest import WAIT, ingest_stream, raw_stream
@@ -160,7 +160,13 @@ def load_latest_batch_job(
     database: str | None = None,
     mode: str = "latest",
 ) -> dict[str, Any]:
-    return load_latest_batch(spark, read_enriched(spark, enriched), table, database, mode)
+    """Load the newest batch of the enriched table, whose day comes from the table's folders.
+
+    Files of other days are neither listed nor opened, but for `mode="all_missing"`.
+    """
+    newest = enriched_days(spark, enriched)[-1:]
+    rows = read_enriched(spark, enriched, days=newest if newest and mode == "latest" else None)
+    return load_latest_batch(spark, rows, table, database, mode, *newest)
 
 
 def run_pipeline(

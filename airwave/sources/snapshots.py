@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from pyspark.sql import types as T
 
 from airwave.operators.dedupe import union_growing
 from airwave.schema import ENRICHED, RAW, RAW_COLUMNS
+from airwave.sinks.files import values_of
 
 # Titles hold commas, line breaks and doubled quotes.
 CSV = {"header": "true", "multiLine": "true", "escape": '"'}
@@ -33,9 +36,11 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
     return df
 
 
-def _with_new_fields(spark: SparkSession, path: str, known: T.StructType) -> T.StructType:
-    """The known fields, then those that only some files of the table have."""
-    found = _load(spark, path, "parquet", None, mergeSchema="true").schema
+def _with_new_fields(
+    spark: SparkSession, path: str | list[str], known: T.StructType, merge: bool = True, **options
+) -> T.StructType:
+    """The known fields, then those that only some files have; without `merge`, one file is asked."""
+    found = _load(spark, path, "parquet", None, mergeSchema=str(merge).lower(), **options).schema
     more = [f for f in found if f.name not in (*known.fieldNames(), "batch_id")]
     return T.StructType([*known.fields, *more])
 
@@ -55,36 +60,81 @@ def read_raw(spark: SparkSession, path: str, merge_schema: bool = False) -> Data
     return require_rows(rows, f"raw table {path}")
 
 
-def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def _names(header: str) -> tuple[str, ...]:
+    """Column names of a header line; unnamed and repeated ones are told apart by place."""
+    found = next(csv.reader([header.removeprefix("\ufeff")]))
+    names = [name or f"_c{i}" for i, name in enumerate(found)]
+    return tuple(f"{n}{i}" if n in names[:i] else n for i, n in enumerate(names))
+
+
+def csv_layouts(spark: SparkSession, path: str) -> DataFrame:
+    """(file, header, line_breaks) of CSV files, in one job, however many there are.
+
+    The header is the first line that is not blank. A file may have line breaks in its fields if some line
+    has an odd number of quotes.
+    """
+    lines = _load(spark, path, "text", None).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("line"),
+        "value",
+    )
+    odd = F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1
+    return (
+        lines.where("trim(value) <> ''")
+        .groupBy("file")
+        .agg(
+            F.min_by("value", F.struct("start", "line")).alias("header"),
+            F.bool_or(odd).alias("line_breaks"),
+        )
+    )
+
+
+def read_raw_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
     """Raw snapshots from CSV files, every column as text, with a landing order.
 
     Only the empty field is null; `NA` or `null` stay text. The landing order follows the file
-    within one file. Files are grouped by their header and put together by column name. Without
-    `multi_line`, for files whose fields hold no line breaks, large files are split over tasks.
+    within one file. Files are grouped by their header and put together by column name. Files whose fields
+    hold no line breaks are split over tasks; `multi_line` says for all files whether there are any.
     """
-    options = {**CSV, "multiLine": str(multi_line).lower()}
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    # One header line is read of each file.
-    for file in sorted(_load(spark, path, "csv", None, **options).inputFiles()):
-        header = tuple(_load(spark, file, "csv", None, **options).columns)
-        by_header.setdefault(header, []).append(file)
-    frames = [
-        _load(spark, files, "csv", T.StructType([T.StructField(n, T.StringType()) for n in header]),
-              **options, enforceSchema="false")
-        for header, files in by_header.items()
-        if header
-    ]
+    groups: dict[tuple[tuple[str, ...], bool], list[str]] = {}
+    # A row per file.
+    for row in csv_layouts(spark, path).orderBy("file").collect():
+        breaks = row["line_breaks"] if multi_line is None else multi_line
+        names = _names(row["header"])
+        if row["line_breaks"] and row["header"].count('"') % 2:
+            # The header itself goes over several lines.
+            names = tuple(_load(spark, row["file"], "csv", None, **CSV).columns)
+        groups.setdefault((names, breaks), []).append(row["file"])
+    frames = []
+    for (names, breaks), files in groups.items():
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        options = {**CSV, "multiLine": str(breaks).lower(), "enforceSchema": "false"}
+        frames.append(_load(spark, files, "csv", schema, **options))
     if not frames:
         raise ValueError(f"raw file {path} has no rows")
     rows = union_growing(*frames).withColumn("ingest_seq", F.monotonically_increasing_id())
     return require_rows(rows, f"raw file {path}")
 
 
-def read_enriched(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """The enriched table, as Parquet or as a CSV export (same columns, typed on read)."""
+def enriched_days(spark: SparkSession, path: str) -> list[str]:
+    """The days of the enriched table, from its folders; no file is listed or opened."""
+    return [d for d in values_of(spark, path, "snapshot_date") if not d.startswith("__")]
+
+
+def read_enriched(
+    spark: SparkSession, path: str, fmt: str = "parquet", days: list[str] | None = None
+) -> DataFrame:
+    """The enriched table, as Parquet or as a CSV export (same columns, typed on read).
+
+    It is always written as a whole, so all files have the columns of any one. With `days`, only the
+    folders of these are listed.
+    """
     if fmt == "parquet":
-        schema = _with_new_fields(spark, path, ENRICHED)
-        return require_rows(_load(spark, path, fmt, schema), f"enriched table {path}")
+        where = path if days is None else [f"{path}/snapshot_date={d}" for d in days]
+        schema = _with_new_fields(spark, where, ENRICHED, merge=False, basePath=path)
+        rows = _load(spark, where, fmt, schema, basePath=path)
+        return require_rows(rows, f"enriched table {path}")
     header = _load(spark, path, fmt, None, **CSV).columns
     known = {field.name: field for field in ENRICHED.fields}
     fields = [known.get(name, T.StructField(name, T.StringType())) for name in header]

@@ -16,13 +16,22 @@ from airwave.plans.fact import (
     to_fact,
     top_snapshots,
 )
-from airwave.plans.pipeline import Paths, enrich_job, ingest_job, run_pipeline
+from airwave.plans.pipeline import (
+    Paths,
+    enrich_job,
+    ingest_job,
+    load_latest_batch_job,
+    run_pipeline,
+)
 from airwave.schema import FACT, PAYLOAD_STREAM, RAW_COLUMNS, SNAPSHOT_ORDER
-from airwave.sinks.fact import ensure_table
+from airwave.sinks import fact as fact_sink
+from airwave.sinks.fact import ensure_table, insert_batch
 from airwave.sinks.tables import append_raw, write_enriched, write_json, write_summaries
 from airwave.plans.summaries import build_summaries
 from airwave.sources.payload import read_categories, read_pages, snapshot_rows
 from airwave.sources.snapshots import (
+    csv_layouts,
+    enriched_days,
     preview,
     read_enriched,
     read_raw,
@@ -32,6 +41,7 @@ from airwave.sources.snapshots import (
     require_rows,
 )
 from airwave.streaming.ingest import ingest_stream
+from test_ledger import spoil
 from test_streaming import finish, land, page, same
 
 RUN = "2026-01-09T00:00:00Z"
@@ -281,3 +291,91 @@ def test_pipeline(spark, tmp_path):
     finish(ingest_stream(spark, paths.landing, paths.raw, str(tmp_path / "c")))
     assert read_raw(spark, paths.raw).count() == 5 + 5
     assert done["loaded"]["status"] == "skipped"
+
+
+def test_half_written_batches_are_replaced_and_whole_ones_committed(spark, raw):
+    table = "commit_facts"
+    for name in (table, f"{table}_commits"):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    rows = [{"id": i, "collected_at": t, "viewer_count": i} for i in range(4) for t in (T1, T2)]
+    df = enrich(raw(*rows), RUN).cache()
+    want = to_fact(df)
+    ensure_table(spark, table)
+    # A load of the newest batch stopped between two files; the one of the batch before did not.
+    for t, kept in ((T2, "id < '2'"), (T1, "true")):
+        part = want.where(F.col("collected_at") == t.rstrip("Z")).where(kept)
+        assert insert_batch(part, table) == part.count()
+    assert load_latest_batch(spark, df, table)["status"] == "replaced"
+    spark.catalog.refreshTable(table)
+    assert same(want, spark.table(table))
+    assert load_latest_batch(spark, df, table) == {
+        "status": "skipped", "rows": 4, "table": table, "collected_at": "2026-01-02T00:00:00+00:00"}
+    # All rows are there, so only the commit is missing.
+    assert load_latest_batch(spark, df, table, mode="all_missing")["status"] == "skipped"
+    found = spark.table(f"{table}_commits").orderBy("collected_at").collect()
+    assert [(str(r["collected_at"]), r["rows"]) for r in found] == [
+        ("2026-01-01 23:50:00", 4), ("2026-01-02 00:00:00", 4)]
+    assert same(want, spark.table(table))
+
+
+def test_a_stopped_load_is_repeated(spark, raw, monkeypatch):
+    table = "stopped_facts"
+    for name in (table, f"{table}_commits"):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    df = enrich(raw(*[{"id": i, "collected_at": T1, "viewer_count": i} for i in range(6)]), RUN).cache()
+    real = fact_sink.insert_batch
+
+    def half(fact, name):
+        real(fact.where("viewer_count < 3"), name)
+        raise RuntimeError("stopped between files")
+
+    monkeypatch.setattr(fact_sink, "insert_batch", half)
+    with pytest.raises(RuntimeError):
+        load_latest_batch(spark, df, table)
+    monkeypatch.setattr(fact_sink, "insert_batch", real)
+    assert spark.table(table).count() == 3
+    assert load_latest_batch(spark, df, table)["rows"] == 6
+    spark.catalog.refreshTable(table)
+    assert same(to_fact(df), spark.table(table))
+
+
+def test_the_load_job_opens_files_of_the_newest_day_only(spark, raw, tmp_path):
+    for name in ("day_facts", "day_facts_commits"):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    times = [f"2026-01-0{d}T10:00:00Z" for d in (1, 2, 3)]
+    df = enrich(raw(*[{"id": 1, "collected_at": t, "viewer_count": 5} for t in times]), RUN)
+    path = write_enriched(df, str(tmp_path / "enriched"))
+    for day in ("2026-01-01", "2026-01-02"):
+        spoil(f"{path}/snapshot_date={day}", ".parquet")
+    assert enriched_days(spark, path) == ["2026-01-01", "2026-01-02", "2026-01-03"]
+    done = load_latest_batch_job(spark, path, "day_facts")
+    assert (done["status"], done["rows"]) == ("inserted", 1)
+    rows = read_enriched(spark, path, days=["2026-01-03"])
+    batch, _ = latest_batch(rows, day="2026-01-03")
+    plan = batch._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(snapshot_date" in plan
+
+
+def test_csv_headers_of_many_files_are_read_in_one_job(spark, tmp_path, local):
+    context = spark.sparkContext
+    jobs = {}
+    for number in (3, 60):
+        folder = tmp_path / str(number)
+        folder.mkdir()
+        for i in range(number):
+            names = "id,title" if i % 2 else "title,id,mood"
+            row = f"{i},t" if i % 2 else f"t,{i},calm"
+            (folder / f"f{i:03d}.csv").write_text(f"\n{names}\n{row}\n")
+        context.setJobGroup(f"csv{number}", "")
+        rows = read_raw_csv(spark, str(folder))
+        jobs[number] = len(context.statusTracker().getJobIdsForGroup(f"csv{number}"))
+        context.setLocalProperty("spark.jobGroup.id", None)
+        assert sorted(int(r["id"]) for r in rows.collect()) == list(range(number))
+        assert {r["mood"] for r in rows.collect()} == {None, "calm"}
+    assert jobs[60] <= jobs[3] + 2
+    # Only the file whose fields hold line breaks is not split.
+    (tmp_path / "3" / "more.csv").write_text('id,title\n9,"a\nb"\n8,"say ""x"""\n')
+    found = {r["id"]: r["title"] for r in read_raw_csv(spark, str(tmp_path / "3")).collect()}
+    assert found["9"] == "a\nb" and found["8"] == 'say "x"' and found["1"] == "t"
+    layouts = csv_layouts(spark, str(tmp_path / "3")).where("line_breaks").collect()
+    assert [r["file"].rsplit("/", 1)[1] for r in layouts] == ["more.csv"]
