@@ -12,8 +12,10 @@ a document with enough shingles of its own has no partner, and only the rest is
 3. A pair's overlap is counted by fragments: the hash order is cut at fixed places, each fragment of a
    set is intersected with the partner's same fragment, and the partial counts are summed per pair.
 4. Pairs are tried in two rounds. First each class meets the most central class of its lists, so that a
-   group of near copies needs as many pairs as it has members. Then all pairs that still lie in different
-   components are tried, so that no link that matters is lost.
+   group of near copies needs as many pairs as it has members. Then pairs that still lie in different
+   components are tried, so that no link that matters is lost. Of these, most never are counted: where two
+   sets meet in a first common shingle, what follows it in either set bounds their overlap, and so do the
+   numbers of repeated shingles that both have in each of many stretches of the hash order.
 """
 
 from __future__ import annotations
@@ -43,12 +45,15 @@ FREQUENT = 1 << 18
 FREQUENT_FROM = 32
 #: Shingles that a counting task holds before it sends them.
 HELD = 1 << 21
-#: Fragments of the hash order in which overlaps are counted.
-FRAGMENTS = 16
+#: Fragments of the hash order in which overlaps are counted, and stretches in which they are bounded.
+FRAGMENTS, STRETCH_BITS = 16, 6
 
 RUNS = "range int, keys binary, counts binary"
 COUNTED = "range int, repeated binary, keys binary, counts binary"
-SETS = "doc_id long, n long, class long, prefix array<long>, shingles array<long>"
+SETS = (
+    "doc_id long, text_key long, n long, class long, alone long, prefix array<long>, "
+    "spread array<int>, shingles array<long>"
+)
 
 
 @dataclass
@@ -157,40 +162,42 @@ def count_shingles(docs: DataFrame, words: int, ranges: int) -> Order:
 
 
 def document_sets(docs: DataFrame, order: Order, words: int, percent: int) -> DataFrame:
-    """(doc_id, n, class, prefix, shingles): prefix and set only where there may be a partner."""
+    """Rows of SETS from (doc_id, text, text_key); the rest only where there may be a partner.
+
+    `alone` counts the shingles that no other document has; they come first in the order, before `prefix`.
+    `spread` counts the other ones by stretch of the hash order.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(order)
 
     def run(batches: Batches) -> Iterator[pa.RecordBatch]:
         known = sent.value
-        for doc_ids, values in slices(batches, 64):
-            sizes, classes, prefixes, sets = [], [], [], []
-            for shingles in shingle_sets(values, words):
-                n = len(shingles)
-                prefix = None
-                if n:
+        names = ["n", "class", "alone", "prefix", "spread", "shingles"]
+        longs, ints = pa.list_(pa.int64()), pa.list_(pa.int32())
+        kinds = [pa.int64(), pa.int64(), pa.int64(), longs, ints, longs]
+        for batch in batches:
+            for start in range(0, batch.num_rows, 64):
+                part = batch.slice(start, 64)
+                rows = []
+                for shingles in shingle_sets(part.column(1).to_pylist(), words):
+                    n = len(shingles)
+                    rows.append((n, None, None, None, None, None))
+                    if not n:
+                        continue
                     weight = known.weight(shingles)
                     first = prefix_length(n, percent)
-                    if np.count_nonzero(weight == 0) < first:
-                        chosen = np.lexsort((shingles, weight))[:first]
-                        prefix = shingles[chosen[weight[chosen] > 0]].view(np.int64)
-                sizes.append(n)
-                prefixes.append(prefix)
-                sets.append(None if prefix is None else shingles.view(np.int64))
-                name = None
-                if prefix is not None:
+                    alone = int(np.count_nonzero(weight == 0))
+                    if alone >= first:
+                        continue
+                    chosen = np.lexsort((shingles, weight))[alone:first]
+                    others = shingles[weight > 0] >> np.uint64(64 - STRETCH_BITS)
+                    spread = np.bincount(others.astype(np.int64), minlength=1 << STRETCH_BITS)
                     name = np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes())).view(np.int64)
-                classes.append(name)
-            longs = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(doc_ids, pa.int64()),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(classes, pa.int64()),
-                    pa.array(prefixes, longs),
-                    pa.array(sets, longs),
-                ],
-                ["doc_id", "n", "class", "prefix", "shingles"],
-            )
+                    prefix = shingles[chosen].view(np.int64)
+                    rows[-1] = (n, name, alone, prefix, spread.astype(np.int32), shingles.view(np.int64))
+                arrays = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(2), *arrays], ["doc_id", "text_key", *names]
+                )
 
     return in_tasks(docs, run, SETS)
 
@@ -217,6 +224,37 @@ def lengths_fit(a: str, b: str, percent: int) -> str:
     return f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})"
 
 
+def overlap_fits(most: str, percent: int) -> str:
+    """Can sets of sizes n_a and n_b be similar if they share `most` shingles at most?"""
+    return f"100 * {most} >= {percent} * (n_a + n_b - {most})"
+
+
+def open_pairs(lists: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of classes with different labels that may be similar; `lists` has shingle, class, n, place, label.
+
+    `place` is a shingle's place in the order of its set. The smaller set of a similar pair has their first common
+    shingle among so few that sets of its own size would share (the others are not tried), the larger one in its
+    prefix. Pairs are made where the bounds of the module's fourth step let them be similar, and nowhere else.
+    """
+    spreads = classes.select("class", "spread")
+    wide = stored(lists.join(spreads, "class"))
+    columns = ("class", "n", "label", "place", "spread")
+    few = f"n - (2 * {percent} * n + {99 + percent}) div {100 + percent}"
+    a = wide.where(f"place <= {few}").select("shingle", *[F.col(c).alias(f"{c}_a") for c in columns])
+    b = wide.select("shingle", *[F.col(c).alias(f"{c}_b") for c in columns])
+    after = "least(n_a - place_a, n_b - place_b)"
+    shared = "aggregate(zip_with(spread_a, spread_b, (x, y) -> least(x, y)), 0, (s, x) -> s + x)"
+    fits = [
+        "(n_a < n_b OR (n_a = n_b AND class_a < class_b))",
+        "label_a <> label_b",
+        lengths_fit("n_a", "n_b", percent),
+        overlap_fits(after, percent),
+        overlap_fits(shared, percent),
+    ]
+    met = a.join(b, (a["shingle"] == b["shingle"]) & F.expr(" AND ".join(fits)))
+    return met.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
+
+
 def links(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Links (a, b) between classes that connect all that are connected, and the labels they give."""
     cut = f"transform(sequence(0, {FRAGMENTS - 1}), p -> struct(p AS part, filter(shingles, s -> "
@@ -225,7 +263,8 @@ def links(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     sets = stored(
         classes.select("class", "n", F.expr(f"inline({cut})")).where("size(shingles) > 0")
     )
-    lists = classes.select("class", "n", F.explode("prefix").alias("shingle"))
+    lists = classes.select("class", "n", "alone", F.posexplode("prefix").alias("place", "shingle"))
+    lists = lists.withColumn("place", F.col("alone") + F.col("place")).drop("alone")
     shared = stored(lists.groupBy("shingle").count().where("count > 1").select("shingle"))
     lists = stored(lists.join(shared, "shingle"))
 
@@ -254,15 +293,7 @@ def links(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     split = labelled.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("up"))
     split = stored(split.where("low < up").select("shingle"))
     open_lists = stored(labelled.join(split, "shingle"))
-    a = open_lists.select("shingle", *[F.col(c).alias(f"{c}_a") for c in ("class", "n", "label")])
-    b = open_lists.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("class", "n", "label")])
-    rest = (
-        a.join(b, "shingle")
-        .where("label_a < label_b")
-        .where(lengths_fit("n_a", "n_b", percent))
-        .select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
-        .distinct()
-    )
+    rest = open_pairs(open_lists, classes, percent)
     second_links = stored(similar(stored(rest), sets, percent))
     if second_links.isEmpty():
         return first_links, labels
@@ -281,21 +312,35 @@ def jaccard_components(
     links, nor has a set that no other shares enough with: their component is their own doc_id, null for
     a null one. Repeated rows are linked. Other columns are left out; an empty table gives no rows.
     """
+    sets, found = _components(docs, words, percent)
+    return sets.select("doc_id", "n", "class").join(found, "class", "left").select(
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.coalesce("component_id", "doc_id").alias("component_id"),
+    )
+
+
+def _text_key(column: str = "text") -> F.Column:
+    """Tells the texts of one doc_id apart."""
+    return F.xxhash64(F.coalesce(F.col(column).cast("string"), F.lit("")))
+
+
+def _components(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of SETS, one per row of `docs`; and (class, label, component_id) of the classes."""
     spark = docs.sparkSession
     ship(spark)
     given = texts(docs)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranges = 1 << max(4, min(12, (partitions - 1).bit_length()))
     order = count_shingles(given, words, ranges)
-    sets = stored(document_sets(given, order, words, percent))
+    keyed = given.withColumn("text_key", _text_key())
+    sets = stored(document_sets(keyed, order, words, percent))
     classes = stored(
         sets.where("class IS NOT NULL")
         .groupBy("class")
         .agg(
             F.min("doc_id").alias("doc_id"),
-            F.first("n").alias("n"),
-            F.first("prefix").alias("prefix"),
-            F.first("shingles").alias("shingles"),
+            *[F.first(c).alias(c) for c in ("n", "alone", "prefix", "spread", "shingles")],
         )
     )
     _, labels = links(classes, percent)
@@ -304,21 +349,29 @@ def jaccard_components(
     )
     placed = stored(placed.withColumn("label", F.coalesce("label", "class")))
     least = stored(placed.groupBy("label").agg(F.min("doc_id").alias("component_id")))
-    found = stored(placed.select("class", "label").join(least, "label").drop("label"))
-    return sets.select("doc_id", "n", "class").join(found, "class", "left").select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.coalesce("component_id", "doc_id").alias("component_id"),
-    )
+    return sets, stored(placed.select("class", "label").join(least, "label"))
 
 
 def drop_near_duplicates(
     docs: DataFrame, words: int = WORDS, percent: int = PERCENT
 ) -> DataFrame:
-    """The rows of `docs` that stay, with all their columns: of each component the smallest doc_id.
+    """The rows of `docs` that stay, with all their columns: of each component one text.
 
-    Rows without doc_id stay, as nothing tells them apart; so does every row of a doc_id that stays.
+    That of the smallest doc_id stays, null ids come last; of several texts of that id, the one whose class is
+    smallest. A doc_id may have texts in several components, and each is judged on its own. Equal rows are
+    not told apart: they stay or go together, as do equal shingle sets of one doc_id.
     """
-    found = jaccard_components(docs, words, percent)
-    dropped = stored(found.where("component_id <> doc_id").select("doc_id").distinct())
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    sets, found = _components(docs, words, percent)
+    rows = sets.where("class IS NOT NULL").select("doc_id", "text_key", "class")
+    rows = stored(rows.join(found.select("class", "label"), "class"))
+    kept = rows.groupBy("label").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "class")).alias("kept")
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("class") == F.col("kept.class"))
+    dropped = rows.join(stored(kept), "label").where(~same)
+    # Names that the documents cannot have given.
+    dropped = stored(dropped.select(F.col("doc_id").alias("id"), "text_key").distinct()).alias("dropped")
+    given = docs.alias("given")
+    goes = F.col("given.doc_id").cast("long").eqNullSafe(F.col("dropped.id"))
+    goes &= _text_key("given.text") == F.col("dropped.text_key")
+    return given.join(dropped, goes, "left_anti").select(*docs.columns)
