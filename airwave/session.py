@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -72,12 +73,26 @@ def scratch(spark: SparkSession) -> Iterator[str]:
         files.delete(place, True)
 
 
+_place: ContextVar[str | None] = ContextVar("place", default=None)
+
+
+@contextmanager
+def stage_scratch(spark: SparkSession) -> Iterator[str]:
+    """A scratch folder that also takes what `stored` keeps meanwhile, for a stage whose result is written inside."""
+    with scratch(spark) as folder:
+        before = _place.set(folder)
+        try:
+            yield folder
+        finally:
+            _place.reset(before)
+
+
 def stored(df: DataFrame, folder: str | None = None) -> DataFrame:
     """The frame written once as Parquet in the shared folder, or below it, and read back.
 
     Cuts the lineage like a checkpoint, and later reads touch only the columns they need.
     """
     spark = df.sparkSession
-    path = f"{folder or shared_dir(spark)}/airwave-{uuid.uuid4().hex}"
+    path = f"{folder or _place.get() or shared_dir(spark)}/airwave-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
