@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
@@ -33,16 +34,39 @@ def ship(spark: SparkSession) -> None:
 
 
 Batches = Iterable[pa.RecordBatch]
+#: What a Python worker keeps from task to task, by name, and how to let go of it.
+_kept: dict[str, Callable[[], None]] = {}
+
+
+def forget_between(forget: Callable[[], None], name: str) -> None:
+    """Call `forget` in a worker before tasks that do not say that they keep `name`."""
+    _kept[name] = forget
 
 
 def in_tasks(
     df: DataFrame,
     run: Callable[[Batches], Iterator[pa.RecordBatch]],
     schema: str | T.StructType,
+    keeps: str | None = None,
 ) -> DataFrame:
-    """`mapInArrow` with this package at hand in the workers."""
+    """`mapInArrow` with this package at hand in the workers, which let go of what other tasks keep."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def task(batches: Batches) -> Iterator[pa.RecordBatch]:
+        forget_others(keeps)
+        yield from run(batches)
+
+    return df.mapInArrow(task, schema)
+
+
+def forget_others(keeps: str | None) -> None:
+    """Let go of what other tasks kept, and give memory that they freed back to the system."""
+    for name, forget in _kept.items():
+        if name != keeps:
+            forget()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
 
 
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -57,6 +81,34 @@ def texts(docs: DataFrame) -> DataFrame:
     )
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, changed where the table has them."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name in taken:
+            name = f"{name}_"
+        found.append(name)
+    return found
+
+
+def text_chunks(
+    batches: Iterable[pa.RecordBatch], size: int = 8 << 20
+) -> Iterator[tuple[list, list[str]]]:
+    """The (doc_id, text) columns as Python lists of about `size` characters, or one longer text, at a time."""
+    ids, values, held = [], [], 0
+    for some_ids, some in slices(batches, 64):
+        for doc_id, text in zip(some_ids, some, strict=True):
+            ids.append(doc_id)
+            values.append(text)
+            held += len(text) + 64
+            if held >= size:
+                yield ids, values
+                ids, values, held = [], [], 0
+    if ids:
+        yield ids, values
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[tuple[list, list[str]]]:
     """The (doc_id, text) columns of Arrow batches as Python lists of a few rows at a time."""
     for batch in batches:

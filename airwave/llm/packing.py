@@ -1,11 +1,12 @@
 """Documents into training windows of near-equal length, by multiway differencing.
 
 Each task packs the documents it reads, so nothing is shuffled and no key can be hot. A document's
-full windows leave at once; what remains of it is cut into short pieces, which wait until some
-hundred windows' worth have come together. Karmarkar-Karp differencing spreads them: every piece
+full windows leave at once; what remains of it is cut into short pieces, short neighbours are joined again up
+to that length, and all wait until some hundred windows' worth have come together. Karmarkar-Karp differencing spreads them: every piece
 starts as a partition of its own into k sums (itself and zeros); the two partitions with the widest
 spread are merged, the largest sums of one against the smallest of the other, until one is left. If
-its largest sum exceeds the capacity, k rises by one and the differencing runs again.
+its largest sum exceeds the capacity, k rises, so far that the mean falls by the excess, and the differencing
+runs again.
 """
 
 from __future__ import annotations
@@ -19,8 +20,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from airwave.llm.common import Batches, in_tasks, slices, texts
-from airwave.llm.tokens import BYTE_BPE, byte_ids
+from airwave.llm.common import Batches, in_tasks, text_chunks, texts
+from airwave.llm.tokens import BYTE_BPE, BYTE_IDS, byte_ids
 
 CAPACITY = 2048
 #: Windows that are packed together; bounds the memory of a task.
@@ -80,13 +81,16 @@ def differencing(sizes: list[int], k: int) -> list[list[int]]:
 
 
 def balanced(sizes: list[int], capacity: int) -> list[list[int]]:
-    """Groups of at most `capacity`, as few as differencing finds from the lower bound upwards."""
-    k = max(1, -(-sum(sizes) // capacity))
+    """Groups of at most `capacity`, from the lower bound of their number upwards."""
+    total = sum(sizes)
+    k = max(1, -(-total // capacity))
     while True:
         groups = differencing(sizes, k)
-        if max(sum(sizes[i] for i in group) for group in groups) <= capacity:
+        excess = max(sum(sizes[i] for i in group) for group in groups) - capacity
+        if excess <= 0:
             return [group for group in groups if group]
-        k += 1
+        # Sums keep about their distance from the mean, so the mean has to fall by the excess.
+        k = max(k + 1, int(total / max(1, total / k - excess)))
 
 
 def pack(
@@ -111,15 +115,16 @@ def pack(
         encoder = byte_ids(vocabulary)
         window = TaskContext.get().partitionId() << 40
         tail = int(end_id).to_bytes(4, "little")
-        pending: list[tuple] = []
+        # Pieces that stay together, with their sum: two neighbours always hold more than a piece.
+        pending: list[tuple[int, list[tuple]]] = []
         rows: list[tuple] = []
         held = 0
 
         def spread() -> None:
             nonlocal window, pending, held
-            for group in balanced([item[2] for item in pending], capacity):
+            for group in balanced([size for size, _ in pending], capacity):
                 offset = 0
-                for item in (pending[i] for i in group):
+                for item in (item for i in group for item in pending[i][1]):
                     rows.append((*item[:4], window, offset, item[4]))
                     offset += item[2]
                 window += 1
@@ -131,7 +136,7 @@ def pack(
             rows.clear()
             return pa.RecordBatch.from_arrays(arrays, [f[0] for f in FIELDS])
 
-        for doc_ids, values in slices(batches):
+        for doc_ids, values in text_chunks(batches):
             for doc_id, ids in zip(doc_ids, encoder.batch(values), strict=True):
                 ids += tail
                 total = len(ids) // 4
@@ -144,7 +149,12 @@ def pack(
                 while start < total:
                     length = min(piece, total - start)
                     part = ids[4 * start : 4 * (start + length)]
-                    pending.append((doc_id, start, length, total, part))
+                    size, together = pending[-1] if pending else (piece, [])
+                    if size + length <= piece:
+                        together.append((doc_id, start, length, total, part))
+                        pending[-1] = (size + length, together)
+                    else:
+                        pending.append((length, [(doc_id, start, length, total, part)]))
                     held += length
                     start += length
                 if held >= windows * capacity:
@@ -156,4 +166,4 @@ def pack(
         if rows:
             yield out()
 
-    return in_tasks(texts(docs), run, SCHEMA)
+    return in_tasks(texts(docs), run, SCHEMA, keeps=BYTE_IDS)

@@ -9,7 +9,7 @@ import numpy as np
 #: Words of a shingle.
 WORDS = 5
 #: Bytes that are hashed in one go.
-STRETCH = 1 << 22
+STRETCH = 1 << 20
 
 U64 = np.uint64
 _LOWER = np.arange(256, dtype=np.uint8)

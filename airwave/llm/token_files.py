@@ -26,8 +26,8 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from airwave.llm.common import Batches, in_tasks, slices, texts
-from airwave.llm.tokens import BYTE_BPE, byte_ids
+from airwave.llm.common import Batches, in_tasks, text_chunks, texts
+from airwave.llm.tokens import BYTE_BPE, BYTE_IDS, byte_ids
 from airwave.session import stored
 
 # Fixed values of the zstandard seekable format.
@@ -119,7 +119,7 @@ def write_token_files(
         encoder = byte_ids(vocabulary)
         packer = zstandard.ZstdCompressor(level=level, write_checksum=True)
         doc_ids, entries = [], []
-        for ids, values in slices(batches):
+        for ids, values in text_chunks(batches):
             rows = []
             for plain in encoder.batch(values):
                 plain += tail
@@ -137,7 +137,7 @@ def write_token_files(
         .sortWithinPartitions("doc_id")
     )
     (
-        in_tasks(ordered, frames, "value binary")
+        in_tasks(ordered, frames, "value binary", keeps=BYTE_IDS)
         # The bytes pass through as they are; the writer does not look at them as text.
         .select(F.col("value").cast("string").alias("value"))
         .write.option("lineSep", SEPARATOR.decode("latin-1"))

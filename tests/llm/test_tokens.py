@@ -196,3 +196,41 @@ def test_pieces_equal_the_library(odd):
 
 def test_pieces_of_an_empty_table(empty):
     assert decode_pieces(encode_pieces(empty)).count() == 0
+
+
+def test_marks_after_letters_and_other_ends(library):
+    texts = [f"{w}{m} next" for w in ("word", "é", "12", "a.", "日本", "it's", "ß", "x²", "") for m in (".", ",", "!?", "?\nNew", "\n")]
+    texts += [f"a {t}" for t in texts] + ["..., ,,, a,b, c.\nd e", "ends with,", "q.", "."]
+    for text, ids in zip(texts, tokens.ByteIds().batch(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == expected(library, text, 0)[:-1], text
+
+
+def test_known_parts_are_bounded_in_bytes():
+    encoder = tokens.ByteIds(remembered=200_000)
+    for i in range(40):
+        encoder.batch(["語" * 2000 + str(i), " ".join(f"w{i}x{j}" for j in range(300))])
+        # A batch is learned whole; then all is forgotten once it is too much.
+        assert encoder.held < 400_000 and 4 * len(encoder.ids) < encoder.held
+
+
+def test_packing_many_tiny_texts_holds_few_items(documents, monkeypatch):
+    most = []
+    real = packing.differencing
+
+    def noted(sizes, k):
+        most.append((len(sizes), k))
+        return real(sizes, k)
+
+    monkeypatch.setattr(packing, "differencing", noted)
+    docs = documents(*[(i, "" if i % 3 else None) for i in range(3000)])
+    table = packing.texts(docs).toArrow()
+    # In this process, as workers would not report what they hold.
+    monkeypatch.setattr(packing, "in_tasks", lambda df, run, schema, keeps=None: run)
+    monkeypatch.setattr(packing.TaskContext, "get", lambda: type("T", (), {"partitionId": lambda s: 0})())
+    rows = [r for b in packing.pack(docs)(table.to_batches()) for r in b.to_pylist()]
+    assert len(rows) == 3000 and {r["length"] for r in rows} == {1}
+    assert len({r["sequence_id"] for r in rows}) == 2
+    assert max(n for n, _ in most) <= 6
+    for window in (0, 1):
+        offsets = sorted(r["offset"] for r in rows if r["sequence_id"] == window)
+        assert offsets == list(range(len(offsets)))
