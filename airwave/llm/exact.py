@@ -17,6 +17,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from airwave.llm.common import free_names
 from airwave.session import stored
 
 #: Bytes of a block.
@@ -172,10 +173,11 @@ def drop_exact_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     def row_key(sha: F.Column) -> F.Column:
         return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), sha)
 
+    key, nth = free_names(docs, "row_key", "nth")
     verdict = exact_duplicates(docs, block).where("kept")
-    stays = stored(verdict.select(row_key(F.col("text_sha256")).alias("_row_key")))
-    keyed = docs.withColumn("_row_key", row_key(F.sha2(normalised(), 256)))
+    stays = stored(verdict.select(row_key(F.col("text_sha256")).alias(key)))
+    keyed = docs.withColumn(key, row_key(F.sha2(normalised(), 256)))
     # The window is over the join's own partitioning: texts are shuffled once.
-    again = F.row_number().over(Window.partitionBy("_row_key").orderBy(F.lit(1)))
-    found = keyed.join(stays, "_row_key", "left_semi").withColumn("_again", again)
-    return found.where("_again = 1").select(*docs.columns)
+    again = F.row_number().over(Window.partitionBy(key).orderBy(F.lit(1)))
+    found = keyed.join(stays, key, "left_semi").withColumn(nth, again)
+    return found.where(F.col(nth) == 1).select(*docs.columns)

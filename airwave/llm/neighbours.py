@@ -7,9 +7,10 @@ their nearest neighbours; a best-first search over the graph finds the lists of
 Index, all rows: a vector goes to its nearest list and, near a boundary, to further ones whose centroid
 is almost as near, unless that centroid lies close beside one taken already.
 
-Search: a query looks into all lists whose centroid is at most a given ratio farther than its nearest.
-Lists and their queries are cut into parts of bounded size, so a crowded list is many tasks; distances
-are exact.
+Search: a query looks into all lists whose centroid is at most a given ratio farther than its nearest. The ratio
+is calibrated: sampled vectors are looked up among the sample, exactly, and the ratio is so wide that the lists
+of nearly all their neighbours are within it. Lists and their queries are cut into parts of bounded size,
+so a crowded list is many tasks; distances are exact.
 """
 
 from __future__ import annotations
@@ -37,8 +38,10 @@ COPY_RATIO = 1.1
 COPIES = 4
 #: A further list is passed over if its centroid is nearer to a taken one than this share of its distance.
 SPREAD = 0.25
-#: A query looks into lists at most this much farther than its nearest.
+#: A query looks into lists at least this much farther than its nearest.
 SEARCH_RATIO = 1.1
+#: Sampled queries for the calibration, and the share of their neighbours whose lists must be looked into.
+TRIED, REACHED = 256, 0.98
 EDGES = 20
 #: Vectors, or queries, of one list that a task handles.
 PART = 4096
@@ -80,6 +83,7 @@ class Lists:
     centroids: np.ndarray
     graph: np.ndarray = field(init=False)
     sizes: np.ndarray | None = None
+    ratio: float = SEARCH_RATIO
 
     def __post_init__(self) -> None:
         k = len(self.centroids)
@@ -170,6 +174,38 @@ class Lists:
             width *= 2
 
 
+def calibrated(lists: Lists, sample: np.ndarray, k: int) -> float:
+    """The ratio that reaches the lists of REACHED of the sample's neighbours of some of its vectors.
+
+    Neighbours in a sample lie farther off than those in the whole table, so the ratio is rather too wide.
+    """
+    rng = np.random.default_rng(11)
+    tried = rng.choice(len(sample), min(TRIED, len(sample)), replace=False)
+    needed = []
+    for at in range(0, len(tried), 32):
+        queries = sample[tried[at : at + 32]]
+        far = squared(queries, sample)
+        far[np.arange(len(queries)), tried[at : at + 32]] = np.inf
+        near = np.argsort(far, axis=1, kind="stable")[:, : min(k, len(sample) - 1)]
+        if not near.size:
+            return SEARCH_RATIO
+        homes: list[list[int]] = [[] for _ in range(near.size)]
+        for row, name in lists.homes(sample[near.ravel()]):
+            homes[row].append(name)
+        to_lists = np.sqrt(squared(queries, lists.centroids))
+        ratios = to_lists / np.maximum(to_lists.min(axis=1, keepdims=True), 1e-300)
+        for place, names in enumerate(homes):
+            needed.append(ratios[place // near.shape[1], names].min())
+    return float(max(SEARCH_RATIO, np.quantile(needed, REACHED, method="higher")))
+
+
+def scale_of(vectors: DataFrame) -> float:
+    """A power of two near the largest component if squares might overflow or vanish, else 1."""
+    largest = vectors.agg(F.max(F.expr("array_max(transform(v, x -> abs(x)))"))).first()[0]
+    exponent = np.frexp(largest)[1] if largest else 0
+    return 2.0 ** int(exponent) if abs(exponent) > 400 else 1.0
+
+
 def usable(vectors: DataFrame) -> DataFrame:
     """(vec_id, v): vectors that take part, as arrays of doubles of the table's usual length."""
     v = F.col("embedding").cast("array<double>")
@@ -188,8 +224,8 @@ def matrix(column: pa.Array) -> np.ndarray:
     return np.array(column.to_pylist(), np.float64)
 
 
-def fit(vectors: DataFrame) -> Lists | None:
-    """Lists from the vectors whose ids hash lowest: as many as SAMPLE_BYTES hold."""
+def fit(vectors: DataFrame, k: int = 10) -> Lists | None:
+    """Lists from the vectors whose ids hash lowest, as many as SAMPLE_BYTES hold, and their search ratio."""
     head = vectors.select(F.size("v").alias("length")).first()
     if head is None:
         return None
@@ -203,7 +239,9 @@ def fit(vectors: DataFrame) -> Lists | None:
         sample = vectors.select("vec_id", "v").limit(rows).toArrow().sort_by("vec_id")
     known = matrix(sample.column("v"))
     wanted = min(total / LIST_SIZE, len(known) / BEHIND)
-    return Lists(halve(known, 1 << max(0, int(np.log2(max(1, wanted))))))
+    lists = Lists(halve(known, 1 << max(0, int(np.log2(max(1, wanted))))))
+    lists.ratio = calibrated(lists, known, k)
+    return lists
 
 
 def listed(vectors: DataFrame, sent, kind: str, ratio: float, least: int) -> DataFrame:
@@ -255,7 +293,7 @@ def best_of(k: int):
 
 
 def neighbours(
-    vectors: DataFrame, queries: F.Column, k: int = 10, ratio: float = SEARCH_RATIO
+    vectors: DataFrame, queries: F.Column, k: int = 10, ratio: float | None = None
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest vectors found for each query, nearest first.
 
@@ -263,11 +301,16 @@ def neighbours(
     Euclidean distance; ties go to the smaller vec_id; a query's own id is no candidate. Rows without
     vec_id, and vectors that are null, zero, hold a null or non-finite component or are not of the most
     common length, take no part. Rows that share an id count as one candidate at their smallest
-    distance. Other columns are ignored; without vectors or queries there are no rows.
+    distance. Other columns are ignored; without vectors or queries there are no rows. `ratio` takes the
+    place of the calibrated one.
     """
     spark = vectors.sparkSession
     known = usable(vectors)
-    lists = fit(known)
+    scale = scale_of(known)
+    if scale != 1:
+        # Exact, but for components that vanish beside the largest one.
+        known = known.withColumn("v", F.transform("v", lambda x: x / F.lit(scale)))
+    lists = fit(known, k)
     if lists is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     homes = stored(listed(known, spark.sparkContext.broadcast(lists), "homes", 0, 0))
@@ -279,7 +322,7 @@ def neighbours(
     least = COPIES * (k + 1) + 1
     asked = known.where(queries)
     probes = stored(
-        listed(asked, spark.sparkContext.broadcast(lists), "probes", ratio, least)
+        listed(asked, spark.sparkContext.broadcast(lists), "probes", ratio or lists.ratio, least)
     )
     parts = F.expr(f"int(ceil(count / {PART}))")
     cut = homes.groupBy("list").count().select("list", parts.alias("vector_parts"))
@@ -308,4 +351,4 @@ def neighbours(
     near = near.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     ranked = near.withColumn("rank", rank).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    return ranked.select("query_id", "rank", "vec_id", (F.col("score") * scale).alias("score"))

@@ -42,6 +42,10 @@ def test_exact_duplicates_of_odd_rows(spark, documents, odd):
     assert sum(r.kept for r in got) == len(groups)
     kept = exact.drop_exact_duplicates(odd, block=16)
     assert kept.columns == odd.columns and kept.count() == len(groups)
+    clashing = odd.withColumnsRenamed({"ids": "row_key", "label": "nth"})
+    kept = exact.drop_exact_duplicates(clashing, block=16)
+    assert kept.columns == clashing.columns and kept.count() == len(groups)
+    assert {r.row_key for r in kept.collect()} == {"x"}
 
 
 def test_blocks_are_named_without_collision(documents):
@@ -131,6 +135,48 @@ def test_near_duplicates_go(documents):
     assert sorted((r.doc_id for r in got.collect()), key=repr) == [1, 3, None, None]
 
 
+def test_each_text_of_a_doc_id_is_judged_on_its_own(documents):
+    text = " ".join(f"w{i}" for i in range(200))
+    other = " ".join(f"v{i}" for i in range(200))
+    docs = documents(
+        (1, text), (2, text + " more"), (2, "a clean text that is like no other one here"),
+        (None, other), (None, other + " end"), (None, "alone among the rows without id"),
+        extra=["id", "text_key", "class", "label", "kept", "dropped", "given"],
+    )
+    got = jaccard.drop_near_duplicates(docs)
+    assert got.columns == docs.columns
+    kept = sorted((str(r.doc_id), r.text[:7]) for r in got.collect())
+    assert [i for i, _ in kept] == ["1", "2", "None", "None"]
+    assert ("2", "a clean") in kept and ("None", "alone a") in kept
+
+
+def test_near_copies_that_are_no_links_make_few_pairs(documents, monkeypatch):
+    rng = np.random.default_rng(8)
+    vocabulary = [f"w{i}" for i in range(4000)]
+    base = rng.choice(vocabulary, 150).tolist()
+    passage = rng.choice(vocabulary, 60).tolist()
+    rows = []
+    for i in range(400):
+        # Copies with four changed words are like the text, but not like each other.
+        w = list(base)
+        for at in rng.choice(len(w), 4, replace=False):
+            w[at] = f"c{i}x{at}"
+        rows.append((i, " ".join(w)))
+    for i in range(300):
+        rows.append((1000 + i, " ".join([*passage, *(f"p{i}x{j}" for j in range(int(rng.integers(1, 30))))])))
+    made = []
+    real = jaccard.similar
+
+    def noted(pairs, *more):
+        made.append(pairs.count())
+        return real(pairs, *more)
+
+    monkeypatch.setattr(jaccard, "similar", noted)
+    got = sorted(map(tuple, jaccard.jaccard_components(documents(*rows)).collect()))
+    assert got == sorted(brute_components(rows))
+    assert sum(made) < 4 * len(rows)
+
+
 def test_jaccard_of_an_empty_table(empty):
     assert jaccard.jaccard_components(empty).count() == 0
 
@@ -295,6 +341,39 @@ def test_rows_of_one_id_take_one_place(spark, copies, near, far):
     assert [r.score for r in got] == pytest.approx([d for _, d in want], rel=1e-9)
 
 
+@pytest.mark.parametrize("dimensions, spread", [(16, 0), (64, 0), (8, 40)])
+def test_recall_with_many_lists(spark, monkeypatch, dimensions, spread):
+    # As many lists as a table of a million vectors has here; Gaussian, or in clusters.
+    monkeypatch.setattr(neighbours, "LIST_SIZE", 64)
+    rng = np.random.default_rng(dimensions)
+    known = rng.normal(size=(20_000, dimensions))
+    if spread:
+        known += spread * rng.normal(size=(200, dimensions))[rng.integers(0, 200, len(known))]
+    frame = spark.createDataFrame(
+        [(i, v.tolist(), 0) for i, v in enumerate(known)], VECTORS.replace("float", "double")
+    )
+    got = defaultdict(set)
+    for row in neighbours.neighbours(frame, queries.F.col("vec_id") % 400 == 0).collect():
+        got[row.query_id].add(row.vec_id)
+    hits = 0
+    for query in range(0, len(known), 400):
+        far = ((known - known[query]) ** 2).sum(axis=1)
+        far[query] = np.inf
+        hits += len(got[query] & set(np.argsort(far)[:10].tolist()))
+    assert hits >= 0.95 * 10 * len(got)
+
+
+@pytest.mark.parametrize("size", [1e200, 1e-200])
+def test_huge_and_tiny_components(spark, size):
+    rng = np.random.default_rng(2)
+    rows = [(i, (size * rng.normal(size=4)).tolist()) for i in range(120)]
+    frame = spark.createDataFrame([(*r, 0) for r in rows], VECTORS.replace("float", "double"))
+    got = neighbours.neighbours(frame, queries.F.col("vec_id") == 0).orderBy("rank").collect()
+    want = exact_neighbours([(i, [x / size for x in v]) for i, v in rows], 0)
+    assert [r.vec_id for r in got] == [i for i, _ in want]
+    assert [r.score / size for r in got] == pytest.approx([d for _, d in want], rel=1e-9)
+
+
 def test_few_vectors(spark):
     rows = [(0, [1.0, 0.0], 0), (100, [0.0, 1.0], 0), (3, [1.0, 1.0], 0)]
     frame = spark.createDataFrame(rows, VECTORS)
@@ -365,6 +444,37 @@ def test_held_out_languages(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_texts_of_no_learned_language_are_rejected(documents):
+    rng = np.random.default_rng(3)
+    words = {
+        "en": "the of and to in that is was for on as with his they at be this from have or by one had not but "
+              "what all were when there can an your which their said if do will each about how up out them then "
+              "she many some so these would other into has more her two like him see time could no make than first",
+        "de": "der die und in den von zu das mit sich des auf für ist im dem nicht ein eine als auch es an werden "
+              "aus er hat dass sie nach wird bei einer um am sind noch wie einem über einen so zum war haben nur "
+              "oder aber vor zur bis mehr durch man sein wurde sei kann gegen vom können schon wenn habe seine",
+    }
+
+    def text(lang, size):
+        return " ".join(rng.choice(words[lang].split(), size))
+
+    rows = [(i, text(("en", "de")[i % 2], int(rng.integers(8, 300))), ("en", "de")[i % 2]) for i in range(900)]
+    model = language.fit(documents(*rows, extra=["chosen_id", "place", "id", "label"]))
+    held = [(i, text(("en", "de")[i % 2], int(rng.integers(8, 300)))) for i in range(1000, 1600)]
+    got = language.predict(documents(*held), model).collect()
+    assert sum(r.lang_pred == ("en", "de")[r.doc_id % 2] for r in got) >= 0.99 * len(held)
+    assert sum(not r.rejected for r in got) >= 0.99 * len(held)
+    others = [
+        "これは日本語の文章です。私たちは毎日ご飯を食べます。東京は大きな都市で、人々は電車に乗って仕事に行きます。",
+        "Это русский текст, который не относится ни к одному из изученных языков, и его следует отклонить сразу.",
+        "xqzv jkwpt bvrnq zzkx wqpfh gjkl vbnmx qwrtp zxcvb plkjh mnbvq wqzxr tgbvf yhnuj qzwsx",
+    ] * 20
+    got = language.predict(documents(*[(i, t) for i, t in enumerate(others)]), model).collect()
+    assert all(r.rejected for r in got)
+    kept = language.keep_known(documents(*held, *[(i, t) for i, t in enumerate(others)]), model)
+    assert min(r.doc_id for r in kept.collect()) >= 1000
+
+
 def test_languages_of_odd_rows(documents, odd, empty):
     rows = [(i, f"the and of that {i}", "en") for i in range(40)]
     rows += [(100 + i, f"der und die das {i}", "de") for i in range(40)]
