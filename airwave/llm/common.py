@@ -34,6 +34,8 @@ def ship(spark: SparkSession) -> None:
 
 
 Batches = Iterable[pa.RecordBatch]
+#: Characters of text that are encoded at once.
+CHUNK = 8 << 20
 #: What a Python worker keeps from task to task, by name, and how to let go of it.
 _kept: dict[str, Callable[[], None]] = {}
 
@@ -93,7 +95,7 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
 
 
 def text_chunks(
-    batches: Iterable[pa.RecordBatch], size: int = 8 << 20
+    batches: Iterable[pa.RecordBatch], size: int = CHUNK
 ) -> Iterator[tuple[list, list[str]]]:
     """The (doc_id, text) columns as Python lists of about `size` characters, or one longer text, at a time."""
     ids, values, held = [], [], 0

@@ -20,8 +20,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from airwave.llm.common import Batches, in_tasks, text_chunks, texts
-from airwave.llm.tokens import BYTE_BPE, BYTE_IDS, byte_ids
+from airwave.llm.common import CHUNK, Batches, in_tasks, text_chunks, texts
+from airwave.llm.tokens import BYTE_BPE, BYTE_IDS, REMEMBERED, byte_ids
 
 CAPACITY = 2048
 #: Windows that are packed together; bounds the memory of a task.
@@ -100,19 +100,23 @@ def pack(
     end_id: int = 1,
     windows: int = WINDOWS,
     piece: int = PIECE,
+    remembered: int = REMEMBERED,
+    chunk: int = CHUNK,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, doc_tokens, sequence_id, offset, ids (binary).
 
     `start` counts the document's tokens before the piece, `offset` those of the window before it.
     A null text counts as empty; an empty text has its end id alone. Repeated rows are packed as
     often as they occur, null doc_ids too. Other columns are ignored; an empty table gives no rows.
-    Window numbers are unique, ascending within a task, and carry the task's number in the high bits.
+    `remembered` and `chunk` are bytes that a worker keeps of known words and takes of text at once: they
+    change time and memory, not the result. Texts of any length are encoded in stretches; of one text all ids are
+    held. Window numbers are unique, ascending within a task, and carry the task's number in the high bits.
     """
     if not 0 < piece <= capacity:
         raise ValueError("a piece must fit a window")
 
     def run(batches: Batches) -> Iterator[pa.RecordBatch]:
-        encoder = byte_ids(vocabulary)
+        encoder = byte_ids(vocabulary, remembered)
         window = TaskContext.get().partitionId() << 40
         tail = int(end_id).to_bytes(4, "little")
         # Pieces that stay together, with their sum: two neighbours always hold more than a piece.
@@ -136,7 +140,7 @@ def pack(
             rows.clear()
             return pa.RecordBatch.from_arrays(arrays, [f[0] for f in FIELDS])
 
-        for doc_ids, values in text_chunks(batches):
+        for doc_ids, values in text_chunks(batches, chunk):
             for doc_id, ids in zip(doc_ids, encoder.batch(values), strict=True):
                 ids += tail
                 total = len(ids) // 4

@@ -261,10 +261,10 @@ def _runs(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return ids[run]
 
 
-@lru_cache(maxsize=2)
-def byte_ids(name: str = BYTE_BPE) -> ByteIds:
+@lru_cache(maxsize=1)
+def byte_ids(name: str = BYTE_BPE, remembered: int = REMEMBERED) -> ByteIds:
     """One encoder per worker, so that words stay known from task to task."""
-    return ByteIds(name)
+    return ByteIds(name, remembered)
 
 
 forget_between(byte_ids.cache_clear, BYTE_IDS)
