@@ -11,7 +11,8 @@ from airwave.llm.exact import drop_exact_duplicates
 from airwave.llm.jaccard import drop_near_duplicates
 from airwave.llm.language import fit, keep_known
 from airwave.llm.packing import pack
-from airwave.session import shared_dir
+from airwave.session import shared_dir, stage_scratch
+from airwave.sinks.files import remove
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,8 +31,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Training windows of the kept documents; token ids stay with their pieces."""
-    return pack(docs)
+    """Training windows of the kept documents; token ids stay with their pieces.
+
+    Earlier stages have filled the executors' heaps, so Python workers take less at once and keep fewer words.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return pack(docs, remembered=24 << 20, chunk=1 << 20)
 
 
 STAGES = [
@@ -48,12 +53,19 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows for the documents of `sf_dir`.
 
-    Each stage is written to the shared folder, so a lost executor costs at most the stage's own tasks.
-    An empty table passes through all stages and gives no rows.
+    Each stage is written to the shared folder, so a lost executor costs at most the stage's own tasks. What a
+    stage keeps on the way goes once it is written, and so does its input. An empty table passes
+    through all stages and gives no rows.
     """
     docs = table(spark, sf_dir, "documents")
+    folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    before = None
     for name, stage in STAGES:
-        path = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}/{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
+        path = f"{folder}/{name}"
+        with stage_scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            remove(spark, before)
+        before = path
     return docs
