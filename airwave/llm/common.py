@@ -62,10 +62,15 @@ def in_tasks(
 
 
 def forget_others(keeps: str | None) -> None:
-    """Let go of what other tasks kept, and give memory that they freed back to the system."""
+    """Let go of what other tasks kept."""
     for name, forget in _kept.items():
         if name != keeps:
             forget()
+    release_memory()
+
+
+def release_memory() -> None:
+    """Give memory that was freed back to the system."""
     pa.default_memory_pool().release_unused()
     if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
         trim(0)

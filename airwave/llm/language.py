@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from airwave.llm.common import Batches, in_tasks, slices, texts
+from airwave.llm.common import Batches, in_tasks, release_memory, slices, texts
 
 BUCKETS = 1 << 15
 DIMENSIONS = 16
@@ -262,9 +262,14 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     learned = sorted((row["lang"], bytes(row["buckets"]), bytes(row["counts"])) for row in rows)
     samples = []
     for lang, buckets, counts in learned:
-        known = np.frombuffer(counts, "<u4").astype(np.int64)
-        samples.append(Sample(lang, np.frombuffer(buckets, "<u2").astype(np.int64), known, int(known.sum())))
-    return train(samples)
+        known = np.frombuffer(counts, "<u4")
+        samples.append(Sample(lang, np.frombuffer(buckets, "<u2"), known, int(known.sum())))
+    del rows, learned
+    model = train(samples)
+    del samples
+    # The driver goes on to other work; what training took goes back to the system.
+    release_memory()
+    return model
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
