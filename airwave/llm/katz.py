@@ -1,30 +1,35 @@
-"""Katz backoff bigram scores of whole texts, learned from the documents themselves.
+"""Katz backoff n-gram scores of whole texts, learned from the documents themselves.
 
-Counts are discounted by Good-Turing; what a history loses goes to the words not seen after it, in
-proportion to their own discounted frequencies, with a weight that makes each history's probabilities
-sum to one:
+Counts are discounted by Good-Turing, order by order; what a history loses goes to the words not seen after
+it, in proportion to what the history without its first word gives them, with a weight that makes each
+history's probabilities sum to one:
 
     P(w | h) = d(c(h, w)) c(h, w) / c(h)          if (h, w) occurs in training
-             = alpha(h) P(w)                      otherwise
+             = alpha(h) P(w | h without its first word)      otherwise
     P(w)     = d(c(w)) c(w) / N, and what is left for the one unknown word
 
+A history starts at most at the begin of its text, which is a word of its own there.
+
 Tables are partitioned, never gathered. Documents travel in chunks of about half a million tokens, as
 compressed arrays:
 
 1. Words, by hash range: each chunk sends its distinct words with counts; a range adds them up, numbers
    its words by falling frequency, and answers each chunk with the numbers of its words. A number gives
    its word's count through a table of frequency steps, whose size is the number of distinct counts.
-2. Bigrams, by history: chunks read their answers and send each distinct bigram, with its training count
-   in the chunk, to its history's bucket. A bigram of any frequency so takes one place per chunk. A
-   frequent history is spread over buckets by the second word too; its totals, a few numbers for each of
-   a bounded set of histories, are added up in between.
-3. A bucket adds up its part of the bigram table and answers each chunk with the log probabilities of
-   its bigrams; the chunk, which has kept where each of them occurs, adds these up per document.
+2. N-grams, by history, for each order from 2 on: a chunk sends each distinct n-gram, with its training count
+   in the chunk, to its history's bucket. An n-gram of any frequency so takes one place per chunk. A
+   frequent history is spread over buckets by the last word too; its totals are added up in between and
+   joined to the buckets that have it.
+3. A bucket adds up its part of the order's table and answers each chunk with the counts of its n-grams and
+   histories, or with the backoff weight where training has no such n-gram. It numbers its n-grams: these
+   numbers are the histories of the next order, so the recursion goes on in the same way. A token whose
+   history does not occur in training has its score and takes no part in longer orders.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import ExitStack
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,35 +37,39 @@ import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airwave.llm.common import Batches, in_tasks
 from airwave.llm.language import remainder
 from airwave.llm.shingles import hash_words, mix
-from airwave.session import stored
+from airwave.session import scratch, stored
 
-#: Tokens of a chunk, of a bucket, and counts that are discounted.
+#: Tokens of a chunk and of a bucket, bytes of text per range of words, longest n-grams, discounted counts.
 CHUNK = 1 << 19
 BUCKET = 3 << 19
+RANGE = 1 << 24
+ORDER = 3
 DISCOUNTED = 5
 #: The end of a text as a word, and the number of the begin as a history.
 END = np.uint64(0x5EED0FE2D1CE5EED)
 BEGIN = 0
 
+#: Marks a history that is spread over buckets; numbers of n-grams are bucket and rank in it.
+SPREAD = 1 << 62
+RANK = 32
+
 WORDS = "range int, chunk long, keys binary, counts binary"
 ANSWERS = "range int, chunk long, numbers binary, counts binary"
 CHUNKS = "chunk long, doc_ids binary, known binary, held_out binary, sizes binary, tokens binary"
-SENT = (
-    "bucket long, chunk long, histories binary, words binary, counts binary, told binary, "
-    "places binary"
-)
-BUCKETS = (
-    "bucket long, chunks array<long>, histories array<binary>, words array<binary>, "
-    "counts array<binary>, told binary, places binary, times array<long>, hot array<struct<"
+STATE = "chunk long, facts binary, tokens binary, numbers binary, places binary, lower binary"
+PARCELS = "heads binary, words binary, counts binary, below binary, out_of binary"
+SENT = f"bucket long, {STATE}, {PARCELS}"
+CLASSES = (
+    "bucket long, times array<long>, spread array<struct<"
     "history: long, times: array<long>, total: long, backed: double>>"
 )
-LOGS = "chunk long, bucket long, logs binary"
+TOLD = "chunk long, bucket long, counts binary, sizes binary, ranks binary, weights binary"
 SCORES = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
     "base_score double, score double"
@@ -254,288 +263,363 @@ def chunk_tokens(docs: DataFrame) -> DataFrame:
     return in_tasks(docs, run, CHUNKS)
 
 
-def send_bigrams(chunks: DataFrame, answers: DataFrame, sent_unigrams, buckets: int) -> DataFrame:
-    """Each chunk's distinct bigrams by bucket, with their counts in training documents.
+def names(schema: str) -> list[str]:
+    return [field.split()[0] for field in schema.split(", ")]
+
+
+def joined(parts: list[np.ndarray], kind: type = np.int64) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *parts])
+
+
+def spread_from(known: Unigrams, buckets: int) -> float:
+    """Histories of at least this count are spread over buckets."""
+    return max(1.0, (known.total + known.texts) / (4 * buckets))
+
+
+def seen_chance(discount: np.ndarray, count: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """d(c) c / c(h), and 0 where there is no occurrence."""
+    return discount[np.minimum(count, DISCOUNTED + 1)] * count / np.maximum(size, 1)
+
 
-    In buckets of its own, below 0, what is known of the chunk's documents, and for each of their tokens
-    the place of its bigram among all that the chunk sends, bucket by bucket.
+@dataclass
+class Ngrams:
+    """A chunk's n-grams of one order before they are sent: a value per token, `at` those that take part.
+
+    `head` and `word` are places in `heads` and `numbers`; `home` is the bucket of each of `heads`, `times` its count.
     """
 
+    at: np.ndarray
+    head: np.ndarray
+    word: np.ndarray
+    heads: np.ndarray
+    home: np.ndarray
+    times: np.ndarray
+    numbers: np.ndarray
+    learned: np.ndarray
+    lower: np.ndarray
+    below: np.ndarray | None = None
+    out_of: np.ndarray | None = None
+
+    def rows(self, chunk: int, facts: pa.Table, buckets: int, least: float, last: bool) -> pd.DataFrame:
+        """The parcels by bucket, and without a bucket what the chunk keeps."""
+        t = self.at
+        width = len(self.numbers)
+        keys, index, place = np.unique(
+            self.head[t] * width + self.word[t], return_index=True, return_inverse=True
+        )
+        counts = np.bincount(place, self.learned[t], len(keys)).astype(np.int64)
+        local = keys // width if len(keys) else keys
+        head, word = self.heads[local], self.numbers[keys % max(1, width)]
+        often = self.times[local] >= least
+        mixed = mix(mix(head.astype(np.uint64)) + mix(word.astype(np.uint64) + np.uint64(1 << 40)))
+        bucket = np.where(often, (mixed % np.uint64(buckets)).astype(np.int64), self.home[local])
+        head = np.where(often, head | SPREAD, head)
+        order = np.lexsort((word, head, bucket))
+        columns = [head[order], word[order], counts[order]]
+        if self.below is not None:
+            columns += [self.below[t][index][order], self.out_of[t][index][order]]
+        found, starts = np.unique(bucket[order], return_index=True)
+        out = []
+        for i, b in enumerate(found.tolist()):
+            part = slice(starts[i], starts[i + 1] if i + 1 < len(starts) else None)
+            first, *rest = [c[part] for c in columns]
+            parcel = [packed(np.diff(first, prepend=0)), *map(packed, rest)]
+            out.append((b, chunk, *[None] * 5, *parcel, *[None] * (5 - len(parcel))))
+        sent = np.empty(len(order), np.int64)
+        sent[order] = np.arange(1, len(order) + 1)
+        places = np.zeros(len(self.word), np.int64)
+        places[t] = sent[place]
+        stream = pa.BufferOutputStream()
+        with pa.ipc.new_stream(stream, facts.schema) as writer:
+            writer.write_table(facts)
+        kept = [None, None] if last else [packed(self.word), packed(self.numbers)]
+        lower = self.lower[t][~self.learned[t]].astype("<f8").tobytes()
+        out.append((None, chunk, stream.getvalue().to_pybytes(), *kept, packed(places), lower, *[None] * 5))
+        return pd.DataFrame(out, columns=names(SENT))
+
+
+def send_bigrams(
+    chunks: DataFrame, answers: DataFrame, sent_unigrams, buckets: int, last: bool
+) -> DataFrame:
+    """Each chunk's distinct bigrams by bucket, and what the chunk keeps."""
+
     def run(key: tuple, docs: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         known: Unigrams = sent_unigrams.value
-        columns = ["bucket", "chunk", "histories", "words", "counts", "told", "places"]
         if not len(docs):
-            return pd.DataFrame([], columns=columns)
+            return pd.DataFrame([], columns=names(SENT))
         row = docs.iloc[0]
-        chunk = int(row["chunk"])
         at = unpacked(row["tokens"])
-        told = told.sort_values("range")["numbers"]
-        numbers = np.concatenate([unpacked(n) for n in told])
+        numbers = joined([unpacked(n) for n in told.sort_values("range")["numbers"]])
         if len(docs) > 1 or len(numbers) != at.max() + 1:
             raise RuntimeError("the documents were not read twice in the same way")
-        counts = known.count(numbers)[at]
+        counts = known.count(numbers)
         sizes = unpacked(row["sizes"])
         first = np.concatenate(([0], np.cumsum(sizes)[:-1]))
         floor = known.total + 0.1 * (known.types + 1)
-        base = np.add.reduceat(np.log10((counts + 0.1) / floor), first)
-        seen = np.add.reduceat((counts > 0).astype(np.int64), first)
         held = np.frombuffer(row["held_out"], bool)
+        facts = pa.table(
+            {
+                "doc_id": pa.array(
+                    np.frombuffer(row["doc_ids"], "<i8"), mask=~np.frombuffer(row["known"], bool)
+                ),
+                "held_out": held,
+                "n_tokens": sizes,
+                "n_known": np.add.reduceat((counts > 0)[at].astype(np.int64), first),
+                "base_score": np.add.reduceat(np.log10((counts + 0.1) / floor)[at], first),
+                "settled": np.zeros(len(sizes)),
+            }
+        )
         # The begin as a history stands behind the chunk's words.
-        width = len(numbers) + 1
-        before = np.concatenate(([width - 1], at[:-1]))
-        before[first] = width - 1
-        pairs, place = np.unique(before * width + at, return_inverse=True)
-        times = np.bincount(place, np.repeat(~held, sizes), len(pairs)).astype(np.int64)
-        history = np.append(numbers, BEGIN)[pairs // width]
-        words = numbers[pairs % width]
-        often = known.history_count(history) >= hot_from(known, buckets)
-        spread = mix(history.astype(np.uint64)) + np.where(
-            often, mix(words.astype(np.uint64) + np.uint64(1 << 40)), np.uint64(0)
+        before = np.concatenate(([len(numbers)], at[:-1]))
+        before[first] = len(numbers)
+        heads = np.append(numbers, BEGIN)
+        grams = Ngrams(
+            at=np.arange(len(at)),
+            head=before,
+            word=at,
+            heads=heads,
+            home=(mix(mix(heads.astype(np.uint64))) % np.uint64(buckets)).astype(np.int64),
+            times=known.history_count(heads),
+            numbers=numbers,
+            learned=np.repeat(~held, sizes),
+            lower=np.log10(known.probability(numbers))[at],
         )
-        bucket = (mix(spread) % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        names, starts = np.unique(bucket[order], return_index=True)
-        out = [
-            (int(b), chunk, packed(history[o]), packed(words[o]), packed(times[o]), None, None)
-            for b, o in zip(names, np.split(order, starts[1:]), strict=True)
-        ]
-        sent_at = np.empty(len(order), np.int64)
-        sent_at[order] = np.arange(len(order))
-        facts = pa.BufferOutputStream()
-        with pa.ipc.new_stream(facts, _facts.schema) as stream:
-            stream.write_batch(
-                pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(
-                            np.frombuffer(row["doc_ids"], "<i8"),
-                            mask=~np.frombuffer(row["known"], bool),
-                        ),
-                        pa.array(held),
-                        pa.array(sizes),
-                        pa.array(seen),
-                        pa.array(base),
-                    ],
-                    schema=_facts.schema,
-                )
-            )
-        told = facts.getvalue().to_pybytes()
-        out.append((-1 - chunk, chunk, None, None, None, told, packed(sent_at[place])))
-        return pd.DataFrame(out, columns=columns)
+        return grams.rows(int(row["chunk"]), facts, buckets, spread_from(known, buckets), last)
 
-    return (
-        chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(run, SENT)
-    )
+    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(run, SENT)
 
 
-class _facts:
-    schema = pa.schema(
-        [
-            ("doc_id", pa.int64()),
-            ("held_out", pa.bool_()),
-            ("n_tokens", pa.int64()),
-            ("n_known", pa.int64()),
-            ("base_score", pa.float64()),
-        ]
-    )
+@dataclass
+class Heard:
+    """A chunk's documents with what the buckets told of one order's n-grams."""
+
+    facts: pa.Table
+    places: np.ndarray
+    counts: np.ndarray
+    sizes: np.ndarray
+    learned: np.ndarray
+    logs: np.ndarray
 
+    @classmethod
+    def of(cls, kept: pd.Series, told: pd.DataFrame, discount: np.ndarray):
+        """`told` is in the order of its buckets, as the n-grams were sent."""
+        facts = pa.ipc.open_stream(kept["facts"]).read_all()
+        places = unpacked(kept["places"])
+        counts = joined([unpacked(c) for c in told["counts"]])
+        sizes = joined([unpacked(s) for s in told["sizes"]])
+        weights = joined([np.frombuffer(w, "<f8") for w in told["weights"] if w], float)
+        found = np.zeros(len(counts))
+        seen = counts > 0
+        found[seen] = np.log10(seen_chance(discount, counts[seen], sizes[seen]))
+        found[~seen] = np.log10(weights)
+        part = places > 0
+        at = places[part] - 1
+        logs = np.zeros(len(places))
+        logs[part] = found[at]
+        learned = np.repeat(~facts["held_out"].to_numpy(), facts["n_tokens"].to_numpy())
+        lower = np.zeros(len(places))
+        if kept["lower"]:
+            lower[part & ~learned] = np.frombuffer(kept["lower"], "<f8")
+        backed = np.zeros(len(places), bool)
+        backed[part] = ~seen[at]
+        logs[backed] += lower[backed]
+        return cls(facts, places, counts, sizes, learned, logs)
+
+    def first(self) -> np.ndarray:
+        """Where each document's tokens start."""
+        return np.concatenate(([0], np.cumsum(self.facts["n_tokens"].to_numpy())[:-1]))
+
+    def settled(self, logs: np.ndarray) -> np.ndarray:
+        """Each document's score so far, with `logs` of tokens added."""
+        return self.facts["settled"].to_numpy() + np.add.reduceat(logs, self.first())
+
+
+def send_longer(
+    state: DataFrame, told: DataFrame, discount: np.ndarray, buckets: int, least: float, last: bool
+) -> DataFrame:
+    """Each chunk's distinct n-grams of the next order: an n-gram of the last one, and the word after it."""
+
+    def run(key: tuple, kept: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        told = told.sort_values("bucket")
+        heard = Heard.of(kept.iloc[0], told, discount)
+        ranks = [np.cumsum(unpacked(r)) for r in told["ranks"]]
+        home = np.repeat(told["bucket"].to_numpy(np.int64), [len(r) for r in ranks])
+        head = np.append(0, heard.places[:-1]) - 1
+        head[heard.first()] = -1
+        part = (heard.places > 0) & (head >= 0)
+        part[part] = heard.counts[head[part]] > 0
+        done = heard.settled(np.where(part, 0.0, heard.logs))
+        place = heard.facts.schema.get_field_index("settled")
+        facts = heard.facts.set_column(place, "settled", pa.array(done))
+        at = np.flatnonzero(part)
+        below, out_of = np.zeros((2, len(part)), np.int64)
+        below[at] = heard.counts[heard.places[at] - 1]
+        out_of[at] = heard.sizes[heard.places[at] - 1]
+        grams = Ngrams(
+            at=at,
+            head=head,
+            word=unpacked(kept["tokens"].iloc[0]),
+            heads=(home << RANK) + joined(ranks) + 1,
+            home=home,
+            times=heard.counts,
+            numbers=unpacked(kept["numbers"].iloc[0]),
+            learned=heard.learned,
+            lower=heard.logs,
+            below=below,
+            out_of=out_of,
+        )
+        return grams.rows(int(key[0]), facts, buckets, least, last)
 
-def hot_from(known: Unigrams, buckets: int) -> float:
-    """Histories of at least this count are spread; there are at most 4 per bucket of them."""
-    return max(1.0, (known.total + known.texts) / (4 * buckets))
+    return state.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInPandas(run, SENT)
 
 
 @dataclass
-class Pairs:
-    """The distinct training bigrams of a bucket, sorted by history and word."""
+class Bucket:
+    """The distinct n-grams of a bucket, by history and word, with their training counts."""
 
-    history: np.ndarray
-    word: np.ndarray
-    count: np.ndarray
+    heads: np.ndarray
     first: np.ndarray
+    head: np.ndarray
+    count: np.ndarray
+    at: np.ndarray
+    lower: np.ndarray
+    lengths: list[int]
 
     @classmethod
-    def of(cls, history: np.ndarray, word: np.ndarray, count: np.ndarray):
-        """From the chunks' counts; bigrams that no chunk counts are left out."""
-        learned = count > 0
-        history, word, count = history[learned], word[learned], count[learned]
-        order = np.lexsort((word, history))
-        history, word, count = history[order], word[order], count[order]
-        new = np.append(True, (history[1:] != history[:-1]) | (word[1:] != word[:-1]))
-        at = np.flatnonzero(new[: len(history)])
-        count = np.add.reduceat(count, at) if len(at) else count
-        history, word = history[at], word[at]
-        new = np.append(True, history[1:] != history[:-1])
-        return cls(history, word, count, np.flatnonzero(new[: len(history)]))
-
-    def places(self, history: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Where each asked bigram stands, or -1."""
-        if not len(self.history):
-            return np.full(len(history), -1)
-        low = int(self.word.max()) + 1
-        if max(int(self.history.max()), int(history.max())) * low < 1 << 62:
-            key = self.history * low + self.word
-            asked = np.where(word < low, history * low + word, -1)
-            at = np.minimum(np.searchsorted(key, asked), len(key) - 1)
-            return np.where(key[at] == asked, at, -1)
-        known = pd.MultiIndex.from_arrays([self.history, self.word])
-        return known.get_indexer(pd.MultiIndex.from_arrays([history, word]))
-
-    def times(self) -> np.ndarray:
-        """How many bigrams occur once, twice, ... up to one more than is discounted."""
-        counts = np.bincount(np.minimum(self.count, DISCOUNTED + 2), minlength=DISCOUNTED + 3)
-        return counts[1 : DISCOUNTED + 2]
-
-
-def parcels(histories, words, counts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Parcel, history, word and training count of every chunk's bigrams in a bucket."""
-    told = [unpacked(h) for h in histories]
-    return (
-        np.repeat(np.arange(len(told)), [len(t) for t in told]),
-        np.concatenate(told),
-        np.concatenate([unpacked(w) for w in words]),
-        np.concatenate([unpacked(c) for c in counts]),
-    )
+    def of(cls, rows: pd.DataFrame, chance) -> Bucket:
+        """From the chunks' parcels; `chance(word, below, out_of)` is the order below's probability."""
+        parts = [np.cumsum(unpacked(h)) for h in rows["heads"]]
+        heads, head = np.unique(np.concatenate(parts), return_inverse=True)
+        word, counts = (np.concatenate([unpacked(v) for v in rows[c]]) for c in ("words", "counts"))
+        dense, width = word, int(word.max()) + 1
+        if len(heads) * width >= 1 << 62:
+            distinct, dense = np.unique(word, return_inverse=True)
+            width = len(distinct)
+        keys, index, at = np.unique(head * width + dense, return_index=True, return_inverse=True)
+        count = np.bincount(at, counts, len(keys)).astype(np.int64)
+        below = out_of = None
+        if rows["below"].iloc[0] is not None:
+            below, out_of = (
+                np.concatenate([unpacked(v) for v in rows[c]])[index] for c in ("below", "out_of")
+            )
+        lower = np.where(count > 0, chance(word[index], below, out_of), 0.0)
+        head = keys // width
+        first = np.searchsorted(head, np.arange(len(heads)))
+        return cls(heads, first, head, count, at, lower, [len(p) for p in parts])
 
 
-def fill_buckets(sent: DataFrame, sent_unigrams, buckets: int) -> DataFrame:
-    """One row per bucket: its parcels, its bigram count classes, its share of frequent histories."""
+def below_of(sent_unigrams, discount: np.ndarray | None):
+    """The probability in the order below of n-grams that occur in training."""
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        known: Unigrams = sent_unigrams.value
-        rows = rows.sort_values("chunk")
-        out = {
-            "bucket": int(rows["bucket"].iloc[0]),
-            "chunks": rows["chunk"].tolist(),
-            "told": None,
-            "places": None,
-        }
-        if out["bucket"] < 0:
-            out["told"], out["places"] = rows["told"].iloc[0], rows["places"].iloc[0]
-            out |= {"histories": [], "words": [], "counts": [], "times": [], "hot": []}
-            return pd.DataFrame([out])
-        for name in ("histories", "words", "counts"):
-            out[name] = rows[name].tolist()
-        _, history, word, counts = parcels(out["histories"], out["words"], out["counts"])
-        pairs = Pairs.of(history, word, counts)
-        out["times"] = pairs.times().tolist()
-        hot = []
-        ends = np.append(pairs.first[1:], len(pairs.history))
-        often = known.history_count(pairs.history[pairs.first]) >= hot_from(known, buckets)
-        for a, b in zip(pairs.first[often], ends[often], strict=True):
-            count = pairs.count[a:b]
-            classes = np.bincount(np.minimum(count, DISCOUNTED + 1), minlength=DISCOUNTED + 2)
-            backed = float(known.probability(pairs.word[a:b]).sum())
-            hot.append(
-                {
-                    "history": int(pairs.history[a]),
-                    "times": classes[1 : DISCOUNTED + 1].tolist(),
-                    "total": int(count.sum()),
-                    "backed": backed,
-                }
-            )
-        out["hot"] = hot
-        return pd.DataFrame([out])
+    def chance(word: np.ndarray, below: np.ndarray, out_of: np.ndarray) -> np.ndarray:
+        if discount is None:
+            return sent_unigrams.value.probability(word)
+        return seen_chance(discount, below, out_of)
 
-    return sent.groupBy("bucket").applyInPandas(run, BUCKETS)
+    return chance
 
 
-def score_buckets(filled: DataFrame, sent_unigrams, discount: np.ndarray, hot: dict) -> DataFrame:
-    """(chunk, bucket, logs): the log10 probabilities of each chunk's bigrams in each bucket.
+def count_classes(parcels: DataFrame, chance) -> DataFrame:
+    """Per bucket how many n-grams occur once, twice, ..., and its shares of the histories that are spread."""
 
-    `hot` has (total, discounted total, backed) of the frequent histories over all buckets.
-    """
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        found = Bucket.of(rows, chance)
 
-    def run(batches: Batches) -> Iterator[pa.RecordBatch]:
-        known: Unigrams = sent_unigrams.value
-        for batch in batches:
-            for row in batch.to_pylist():
-                parcel, history, word, counts = parcels(
-                    row["histories"], row["words"], row["counts"]
-                )
-                pairs = Pairs.of(history, word, counts)
-                value = pairs.count * discount[np.minimum(pairs.count, DISCOUNTED + 1)]
-                heads = pairs.history[pairs.first]
-                if len(heads):
-                    total = np.add.reduceat(pairs.count, pairs.first).astype(float)
-                    kept = np.add.reduceat(value, pairs.first)
-                    backed = np.add.reduceat(known.probability(pairs.word), pairs.first)
-                # A frequent history is needed here even where only held-out texts have it.
-                extra = np.setdiff1d(np.unique(history), heads)
-                extra = extra[[h in hot for h in extra.tolist()]] if len(extra) else extra
-                all_heads = np.concatenate((heads, extra))
-                size = len(all_heads)
-                sums = np.zeros((3, size + 1))
-                if len(heads):
-                    sums[:, : len(heads)] = total, kept, backed
-                for i, h in enumerate(all_heads.tolist()):
-                    if h in hot:
-                        sums[:, i] = hot[h]
-                total, kept, backed = sums
-                left = total - kept
-                # A history of which nothing is discounted gives one more occurrence away.
-                whole = left <= 1e-9 * total
-                denominator = np.where(whole, total + 1, total)
-                left = np.where(whole, 1, left)
-                # The last place stands for histories without training bigrams: plain backoff.
-                denominator[size], left[size], backed[size] = 1, 1, 0
-                weight = left / denominator / np.maximum(1 - backed, 1e-300)
-                order = np.argsort(all_heads)
-                ranked = all_heads[order]
-                head = np.full(len(history), size)
-                if size:
-                    at = np.minimum(np.searchsorted(ranked, history), size - 1)
-                    head = np.where(ranked[at] == history, order[at], size)
-                place = pairs.places(history, word)
-                chance = weight[head] * known.probability(word)
-                if len(value):
-                    chance = np.where(place >= 0, value[place] / denominator[head], chance)
-                log = np.log10(chance)
-                bounds = np.searchsorted(parcel, np.arange(len(row["chunks"]) + 1))
-                logs = np.split(log.astype("<f8"), bounds[1:-1])
-                rows = [
-                    (chunk, row["bucket"], part.tobytes())
-                    for chunk, part in zip(row["chunks"], logs, strict=True)
-                ]
-                yield batch_of(LOGS, rows)
-
-    return in_tasks(filled, run, LOGS)
-
-
-def gather(facts: DataFrame, logs: DataFrame, train_tokens: int) -> DataFrame:
-    """One row per document from its chunk's facts and the buckets' log probabilities."""
-
-    def run(key: tuple, told: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
-        # The integers stay nullable.
-        table = pa.ipc.open_stream(told["told"].iloc[0]).read_all()
-        sizes = table["n_tokens"].to_numpy()
-        first = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-        sent = parts.sort_values("bucket")["logs"]
-        values = np.concatenate([np.frombuffer(v, "<f8") for v in sent])
-        score = np.add.reduceat(values[unpacked(told["places"].iloc[0])], first)
-        out = pd.DataFrame(
+        def times(count: np.ndarray) -> list[int]:
+            return np.bincount(np.minimum(count, DISCOUNTED + 2), minlength=DISCOUNTED + 3)[1:-1].tolist()
+
+        ends = np.append(found.first[1:], len(found.count))
+        spread = [
             {
-                "doc_id": table["doc_id"].to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get),
-                "held_out": table["held_out"].to_numpy(),
-                "n_tokens": table["n_tokens"].to_numpy(),
-                "n_known": table["n_known"].to_numpy(),
-                "train_tokens": train_tokens,
-                "base_score": table["base_score"].to_numpy(),
-                "score": score,
+                "history": int(found.heads[i]),
+                "times": times(found.count[found.first[i] : ends[i]]),
+                "total": int(found.count[found.first[i] : ends[i]].sum()),
+                "backed": float(found.lower[found.first[i] : ends[i]].sum()),
             }
+            for i in np.flatnonzero(found.heads >= SPREAD)
+        ]
+        row = {"bucket": int(rows["bucket"].iloc[0]), "times": times(found.count), "spread": spread}
+        return pd.DataFrame([row])
+
+    return parcels.groupBy("bucket").applyInPandas(run, CLASSES)
+
+
+def spread_totals(classes: DataFrame, discount: np.ndarray) -> DataFrame:
+    """(bucket, history, total, kept, backed): over all buckets, for each bucket that has the history."""
+    shares = classes.select("bucket", F.inline("spread"))
+    lost = sum(F.col("times")[r - 1] * float((1 - discount[r]) * r) for r in range(1, DISCOUNTED + 1))
+    totals = shares.groupBy("history").agg(
+        F.sum("total").alias("total"),
+        F.sum(F.col("total") - lost).alias("kept"),
+        F.sum("backed").alias("backed"),
+    )
+    return shares.select("bucket", "history").join(totals, "history")
+
+
+def answer_chunks(
+    parcels: DataFrame, totals: DataFrame, chance, discount: np.ndarray, last: bool
+) -> DataFrame:
+    """For each parcel the counts of its n-grams and histories, the weights of unseen ones, and ranks."""
+
+    def run(rows: pd.DataFrame, totals: pd.DataFrame) -> pd.DataFrame:
+        found = Bucket.of(rows, chance)
+        value = found.count * discount[np.minimum(found.count, DISCOUNTED + 1)]
+        total, kept, backed = (
+            np.add.reduceat(v.astype(float), found.first) for v in (found.count, value, found.lower)
         )
-        return out
+        if len(totals):
+            at = np.searchsorted(found.heads, totals["history"].to_numpy(np.int64))
+            total[at], kept[at], backed[at] = totals["total"], totals["kept"], totals["backed"]
+        left = total - kept
+        # A history of which nothing is discounted gives one more occurrence away; one that is not known, all.
+        whole = left <= 1e-9 * total
+        size = np.where(whole, total + 1, total)
+        weight = np.where(whole, 1, left) / size / np.maximum(1 - backed, 1e-300)
+        out, start = [], 0
+        for chunk, length in zip(rows["chunk"], found.lengths, strict=True):
+            at = found.at[start : start + length]
+            start += length
+            counts, head = found.count[at], found.head[at]
+            out.append(
+                (
+                    chunk,
+                    rows["bucket"].iloc[0],
+                    packed(counts),
+                    packed(size[head].astype(np.int64)),
+                    None if last else packed(np.diff(at, prepend=0)),
+                    weight[head[counts == 0]].astype("<f8").tobytes(),
+                )
+            )
+        return pd.DataFrame(out, columns=names(TOLD))
+
+    return parcels.groupBy("bucket").cogroup(totals.groupBy("bucket")).applyInPandas(run, TOLD)
 
-    return facts.groupBy("chunk").cogroup(logs.groupBy("chunk")).applyInPandas(run, SCORES)
 
+def gather(state: DataFrame, told: DataFrame, discount: np.ndarray, train_tokens: int) -> DataFrame:
+    """One row per document from what its chunk kept and what the buckets told."""
+
+    def run(key: tuple, kept: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        heard = Heard.of(kept.iloc[0], told.sort_values("bucket"), discount)
+        # The integers stay nullable.
+        out = heard.facts.drop_columns("settled").to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get)
+        return out.assign(train_tokens=train_tokens, score=heard.settled(heard.logs))[names(SCORES)]
 
-def katz_scores(docs: DataFrame, modulus: int = 10, bucket: int = BUCKET) -> DataFrame:
+    return state.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInPandas(run, SCORES)
+
+
+def katz_scores(
+    docs: DataFrame, modulus: int = 10, bucket: int = BUCKET, order: int = ORDER
+) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of each row of `docs`.
 
-    Rows whose crc32(doc_id as text) modulo `modulus` is not 0 teach the model; a null doc_id counts as
-    the empty text there, which holds the row out. Null and empty texts have the end as their only
-    token. Repeated rows count and are scored each. Other columns are left out; an empty table gives no
-    rows. `docs` is read twice, so it must give its rows in the same partitions and order, as files do.
+    `order` is the length of the longest n-grams, 2 at least. Rows whose crc32(doc_id as text) modulo `modulus`
+    is not 0 teach the model; a null doc_id counts as the empty text there, which holds the row out. Null and
+    empty texts have the end as their only token; a very long text is one chunk. Repeated rows count and are
+    scored each. Other columns are left out; an empty table gives no rows. `docs` is read twice, so it must
+    give its rows in the same partitions and order, as files do.
     """
+    if order < 2:
+        raise ValueError("the order is 2 at least")
     spark = docs.sparkSession
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     given = docs.select(
@@ -543,40 +627,42 @@ def katz_scores(docs: DataFrame, modulus: int = 10, bucket: int = BUCKET) -> Dat
         text.alias("text"),
         (remainder("doc_id", modulus) == 0).alias("held_out"),
     )
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranges = 1 << max(4, min(12, (partitions - 1).bit_length()))
-    answers = stored(number_words(given, ranges))
-    steps = answers.where("chunk = -1").orderBy("range").collect()
-    learned_texts = given.where(~F.col("held_out")).count()
-    steps = [(r["range"], unpacked(r["counts"]), unpacked(r["numbers"])) for r in steps]
-    known = Unigrams.of(steps, ranges, learned_texts)
-    sent = spark.sparkContext.broadcast(known)
-    buckets = max(16, -(-known.total // bucket))
-    bigrams = send_bigrams(
-        chunk_tokens(given), answers.where("chunk >= 0").drop("counts"), sent, buckets
-    )
-    filled = stored(fill_buckets(bigrams, sent, buckets))
-    times = filled.select(F.posexplode("times").alias("r", "n")).groupBy("r").agg(F.sum("n"))
-    found = dict(times.collect())
-    discount = discounts([found.get(r, 0) for r in range(DISCOUNTED + 1)])
-    # Bounded: 4 histories per bucket at most reach the count from which they are spread.
-    shares = filled.select(F.inline("hot"))
-    added = shares.groupBy("history").agg(
-        F.sum("total").alias("total"),
-        *[F.sum(F.col("times")[i]).alias(f"n{i + 1}") for i in range(DISCOUNTED)],
-        F.sum("backed").alias("backed"),
-    )
-    hot = {}
-    for row in added.collect():
-        lost = sum(
-            (1 - discount[r]) * r * row[f"n{r}"] for r in range(1, DISCOUNTED + 1)
-        )
-        hot[row["history"]] = (row["total"], row["total"] - lost, row["backed"])
-    logs = score_buckets(
-        filled.where("bucket >= 0").select("bucket", "chunks", "histories", "words", "counts"),
-        sent,
-        discount,
-        hot,
-    )
-    facts = filled.where("bucket < 0").select((-1 - F.col("bucket")).alias("chunk"), "told", "places")
-    return gather(facts, logs, known.total)
+    size = given.agg(
+        F.sum(F.octet_length("text")).alias("bytes"), F.count_if(~F.col("held_out")).alias("texts")
+    ).first()
+    ranges = 1 << max(4, ((size["bytes"] or 0) // RANGE).bit_length())
+    with ExitStack() as before:
+        folder = before.enter_context(scratch(spark))
+        answers = stored(number_words(given, ranges), folder)
+        steps = answers.where("chunk = -1").orderBy("range").collect()
+        steps = [(r["range"], unpacked(r["counts"]), unpacked(r["numbers"])) for r in steps]
+        known = Unigrams.of(steps, ranges, size["texts"])
+        unigrams = spark.sparkContext.broadcast(known)
+        buckets = max(16, -(-known.total // bucket))
+        least = spread_from(known, buckets)
+        after, folder = next_folder(spark, order == 2)
+        answers = answers.where("chunk >= 0").drop("counts")
+        sent = stored(send_bigrams(chunk_tokens(given), answers, unigrams, buckets, order == 2), folder)
+    discount = None
+    for n in range(2, order + 1):
+        chance = below_of(unigrams, discount)
+        parcels = sent.where("bucket IS NOT NULL").select("bucket", "chunk", *names(PARCELS))
+        state = sent.where("bucket IS NULL").select(*names(STATE))
+        with after:
+            classes = stored(count_classes(parcels, chance), None if n == order else folder)
+            times = classes.select(F.posexplode("times").alias("r", "n")).groupBy("r").agg(F.sum("n"))
+            found = dict(times.collect())
+            discount = discounts([found.get(r, 0) for r in range(DISCOUNTED + 1)])
+            told = answer_chunks(parcels, spread_totals(classes, discount), chance, discount, n == order)
+            if n == order:
+                return gather(state, told, discount, known.total)
+            after_this, folder = next_folder(spark, n + 1 == order)
+            longer = send_longer(state, told, discount, buckets, least, n + 1 == order)
+            sent = stored(longer, folder)
+        after = after_this
+
+
+def next_folder(spark: SparkSession, last: bool) -> tuple[ExitStack, str | None]:
+    """A folder that goes when its order is done; the last order's table is read by the result, and stays."""
+    stack = ExitStack()
+    return stack, None if last else stack.enter_context(scratch(spark))

@@ -192,15 +192,21 @@ def test_shingles_do_not_depend_on_the_stretch(monkeypatch):
 # Katz scores
 
 
-def brute_katz(rows):
+def brute_katz(rows, order=3):
     texts = [(i, split(t) + [None]) for i, t in rows]
     held = [zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0 for i, _ in rows]
-    words, pairs = Counter(), defaultdict(Counter)
+    words, grams = Counter(), [defaultdict(Counter) for _ in range(order + 1)]
+
+    def histories(w, p):
+        before = (0, *w[:p])
+        return [before[-n:] for n in range(1, min(order - 1, len(before)) + 1)]
+
     for (_, w), out in zip(texts, held):
         if not out:
             words.update(w)
-            for h, x in zip([0, *w], w):
-                pairs[h][x] += 1
+            for p, x in enumerate(w):
+                for h in histories(w, p):
+                    grams[len(h)][h][x] += 1
     total, types = sum(words.values()), len(words)
 
     def classes(counts):
@@ -208,71 +214,89 @@ def brute_katz(rows):
         return katz.discounts([n[r] for r in range(1, katz.DISCOUNTED + 2)])
 
     d1 = classes(words.values())
-    d2 = classes(c for m in pairs.values() for c in m.values())
+    d = [classes(c for m in table.values() for c in m.values()) for table in grams]
     top = katz.DISCOUNTED + 1
     unknown = 1 - sum(d1[min(c, top)] * c for c in words.values()) / total
-
-    def single(w):
-        return d1[min(words[w], top)] * words[w] / total if w in words else unknown
-
+    if unknown <= 1e-12:
+        unknown, d1 = 1 / (total + 1), d1 * total / (total + 1)
     back = {}
-    for h, m in pairs.items():
-        size = sum(m.values())
-        left = size - sum(d2[min(c, top)] * c for c in m.values())
-        if left <= 1e-9 * size:
-            size, left = size + 1, 1
-        back[h] = size, left / size / (1 - sum(map(single, m)))
 
     def chance(h, w):
-        if w in pairs.get(h, ()):
-            return d2[min(pairs[h][w], top)] * pairs[h][w] / back[h][0]
-        return back.get(h, (1, 1))[1] * single(w)
+        if not h:
+            return d1[min(words[w], top)] * words[w] / total if w in words else unknown
+        m = grams[len(h)].get(h)
+        if m is None:
+            return chance(h[1:], w)
+        if h not in back:
+            size = sum(m.values())
+            left = size - sum(d[len(h)][min(c, top)] * c for c in m.values())
+            if left <= 1e-9 * size:
+                size, left = size + 1, 1
+            back[h] = size, left / size / (1 - sum(chance(h[1:], x) for x in m))
+        if w in m:
+            return d[len(h)][min(m[w], top)] * m[w] / back[h][0]
+        return back[h][1] * chance(h[1:], w)
 
     # Every history's probabilities sum to one.
-    for h in list(pairs)[:30]:
-        assert math.isclose(sum(chance(h, w) for w in [*words, "?"]), 1, rel_tol=1e-9)
+    for table in grams[1:]:
+        for h in list(table)[:30]:
+            assert math.isclose(sum(chance(h, w) for w in [*words, "?"]), 1, rel_tol=1e-9)
     out = []
     for (i, w), o in zip(texts, held):
         base = sum(math.log10((words[x] + 0.1) / (total + 0.1 * (types + 1))) for x in w)
-        score = sum(math.log10(chance(h, x)) for h, x in zip([0, *w], w))
+        score = sum(math.log10(chance(histories(w, p)[-1], x)) for p, x in enumerate(w))
         out.append((i, o, len(w), sum(x in words for x in w), total, base, score))
     return out
 
 
-@pytest.mark.parametrize("bucket", [katz.BUCKET, 40])
-def test_katz_scores(documents, bucket):
-    rng = np.random.default_rng(2)
-    common = ["the"] * 30 + [f"w{i}" for i in range(60)]
-    rows = [(i, " ".join(rng.choice(common, 40))) for i in range(60)] + ODD
-    docs = documents(*rows, extra=["chunk", "bucket", "words", "held_out"])
-    got = sorted(map(tuple, katz.katz_scores(docs, bucket=bucket).collect()), key=repr)
-    want = sorted(brute_katz(rows), key=repr)
+def same_scores(got, want):
+    got, want = (sorted(map(tuple, rows), key=repr) for rows in (got, want))
     assert len(got) == len(want)
     for a, b in zip(got, want):
         assert a[:5] == b[:5]
         assert a[5:] == pytest.approx(b[5:], rel=1e-9)
 
 
-def test_a_bucket_has_each_bigram_once_per_chunk(documents, monkeypatch):
+@pytest.mark.parametrize("order, bucket", [(2, 40), (3, katz.BUCKET), (3, 40), (4, 40)])
+def test_katz_scores(documents, order, bucket):
+    rng = np.random.default_rng(2)
+    common = ["the"] * 30 + [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(rng.choice(common, 40))) for i in range(60)] + ODD
+    # Held-out texts that share long histories with the others, and go on otherwise.
+    rows += [(200 + i, f"the cat sat on the mat {i % 3} times") for i in range(40)]
+    docs = documents(*rows, extra=["chunk", "bucket", "words", "held_out"])
+    got = katz.katz_scores(docs, bucket=bucket, order=order).collect()
+    same_scores(got, brute_katz(rows, order))
+
+
+def test_katz_of_texts_that_are_all_empty(documents):
+    rows = [(i, None if i % 2 else "") for i in range(20)]
+    same_scores(katz.katz_scores(documents(*rows), order=3).collect(), brute_katz(rows))
+
+
+def test_katz_needs_an_order_of_two(empty):
+    with pytest.raises(ValueError, match="order"):
+        katz.katz_scores(empty, order=1)
+
+
+def test_a_bucket_has_each_ngram_once_per_chunk(documents, monkeypatch):
     rows = [(i, "one short text") for i in range(2000)] + [(5000 + i, f"w{i} w") for i in range(50)]
     docs = documents(*rows)
-    largest, fill = [], katz.fill_buckets
+    largest, count = [], katz.count_classes
 
-    def counted(sent, *rest):
-        parcels = sent.where("bucket >= 0").collect()
-        assert len({r.chunk for r in parcels}) <= docs.rdd.getNumPartitions()
+    def counted(parcels, *rest):
+        found = parcels.collect()
+        assert len({r.chunk for r in found}) <= docs.rdd.getNumPartitions()
         sizes = Counter()
-        for r in parcels:
+        for r in found:
             sizes[r.bucket] += len(katz.unpacked(r.words))
         largest.append(max(sizes.values()))
-        return fill(sent, *rest)
+        return count(parcels, *rest)
 
-    monkeypatch.setattr(katz, "fill_buckets", counted)
-    got = sorted(map(tuple, katz.katz_scores(docs, bucket=40).collect()))
-    assert largest[0] < 200
-    for a, b in zip(got, sorted(brute_katz(rows)), strict=True):
-        assert a[:5] == b[:5]
-        assert a[5:] == pytest.approx(b[5:], rel=1e-9)
+    monkeypatch.setattr(katz, "count_classes", counted)
+    got = katz.katz_scores(docs, bucket=40).collect()
+    assert len(largest) == 2 and max(largest) < 200
+    same_scores(got, brute_katz(rows))
 
 
 def test_katz_of_an_empty_table(empty):
