@@ -62,7 +62,7 @@ RANK = 32
 WORDS = "range int, chunk long, keys binary, counts binary"
 ANSWERS = "range int, chunk long, numbers binary, counts binary"
 CHUNKS = "chunk long, doc_ids binary, known binary, held_out binary, sizes binary, tokens binary"
-STATE = "chunk long, facts binary, tokens binary, numbers binary, places binary, lower binary"
+STATE = "chunk long, facts binary, tokens binary, numbers binary, places binary, times binary, lower binary"
 PARCELS = "heads binary, words binary, counts binary, below binary, out_of binary"
 SENT = f"bucket long, {STATE}, {PARCELS}"
 CLASSES = (
@@ -300,174 +300,229 @@ class Ngrams:
     below: np.ndarray | None = None
     out_of: np.ndarray | None = None
 
-    def rows(self, chunk: int, facts: pa.Table, buckets: int, least: float, last: bool) -> pd.DataFrame:
-        """The parcels by bucket, and without a bucket what the chunk keeps."""
+    def sorted(self, buckets: int, least: float) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+        """The distinct n-grams' buckets, their columns, and each token's place among them, 0 for none."""
         t = self.at
         width = len(self.numbers)
         keys, index, place = np.unique(
             self.head[t] * width + self.word[t], return_index=True, return_inverse=True
         )
         counts = np.bincount(place, self.learned[t], len(keys)).astype(np.int64)
-        local = keys // width if len(keys) else keys
-        head, word = self.heads[local], self.numbers[keys % max(1, width)]
+        local = keys // width
+        head, word = self.heads[local], self.numbers[keys % width]
         often = self.times[local] >= least
         mixed = mix(mix(head.astype(np.uint64)) + mix(word.astype(np.uint64) + np.uint64(1 << 40)))
         bucket = np.where(often, (mixed % np.uint64(buckets)).astype(np.int64), self.home[local])
         head = np.where(often, head | SPREAD, head)
         order = np.lexsort((word, head, bucket))
-        columns = [head[order], word[order], counts[order]]
+        columns = [head, word, counts]
         if self.below is not None:
-            columns += [self.below[t][index][order], self.out_of[t][index][order]]
-        found, starts = np.unique(bucket[order], return_index=True)
-        out = []
-        for i, b in enumerate(found.tolist()):
-            part = slice(starts[i], starts[i + 1] if i + 1 < len(starts) else None)
-            first, *rest = [c[part] for c in columns]
-            parcel = [packed(np.diff(first, prepend=0)), *map(packed, rest)]
-            out.append((b, chunk, *[None] * 5, *parcel, *[None] * (5 - len(parcel))))
+            columns += [self.below[t][index], self.out_of[t][index]]
         sent = np.empty(len(order), np.int64)
         sent[order] = np.arange(1, len(order) + 1)
         places = np.zeros(len(self.word), np.int64)
         places[t] = sent[place]
+        return bucket[order], [c[order] for c in columns], places
+
+    def rows(self, chunk: int, facts: pa.Table, buckets: int, least: float, last: bool) -> pd.DataFrame:
+        """The parcels by bucket, and without a bucket what the chunk keeps.
+
+        Bigrams that are not the last order are found again from the chunk's words. The last order keeps, n-gram
+        by n-gram, the documents that have it.
+        """
+        bucket, columns, places = self.sorted(buckets, least)
+        found, starts = np.unique(bucket, return_index=True)
+        parcels = []
+        for i, b in enumerate(found.tolist()):
+            part = slice(starts[i], starts[i + 1] if i + 1 < len(starts) else None)
+            head, word, counts, *below = (c[part] for c in columns)
+            step = np.diff(head, prepend=0)
+            if below:
+                # What the history without its first word counts is said once per history.
+                below[1] = below[1][np.diff(head, prepend=-1) > 0]
+            parcel = [packed(step), packed(word), packed(counts), *map(packed, below)]
+            parcels.append((b, chunk, *[None] * 6, *parcel, *[None] * (5 - len(parcel))))
+        if self.below is None and not last:
+            return pd.DataFrame(parcels, columns=names(SENT))
         stream = pa.BufferOutputStream()
         with pa.ipc.new_stream(stream, facts.schema) as writer:
             writer.write_table(facts)
-        kept = [None, None] if last else [packed(self.word), packed(self.numbers)]
+        t = self.at
+        if last:
+            t = t[np.argsort(places[t], kind="stable")]
+            owner = np.repeat(np.arange(facts.num_rows), facts["n_tokens"].to_numpy())
+            times = np.bincount(places[t] - 1, minlength=len(bucket)).astype(np.int64)
+            kept = [None, None, packed(owner[t]), packed(times)]
+        else:
+            kept = [packed(self.word), packed(self.numbers), packed(places), None]
         lower = self.lower[t][~self.learned[t]].astype("<f8").tobytes()
-        out.append((None, chunk, stream.getvalue().to_pybytes(), *kept, packed(places), lower, *[None] * 5))
-        return pd.DataFrame(out, columns=names(SENT))
+        parcels.append((None, chunk, stream.getvalue().to_pybytes(), *kept, lower, *[None] * 5))
+        return pd.DataFrame(parcels, columns=names(SENT))
+
+
+def bigrams(docs: pd.DataFrame, told: pd.DataFrame, known: Unigrams, buckets: int) -> tuple[Ngrams, pa.Table]:
+    """A chunk's bigrams, and what is known of its documents."""
+    row = docs.iloc[0]
+    at = unpacked(row["tokens"])
+    numbers = joined([unpacked(n) for n in told.sort_values("range")["numbers"]])
+    if len(docs) > 1 or len(numbers) != at.max() + 1:
+        raise RuntimeError("the documents were not read twice in the same way")
+    counts = known.count(numbers)
+    sizes = unpacked(row["sizes"])
+    first = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+    floor = known.total + 0.1 * (known.types + 1)
+    held = np.frombuffer(row["held_out"], bool)
+    facts = pa.table(
+        {
+            "doc_id": pa.array(
+                np.frombuffer(row["doc_ids"], "<i8"), mask=~np.frombuffer(row["known"], bool)
+            ),
+            "held_out": held,
+            "n_tokens": sizes,
+            "n_known": np.add.reduceat((counts > 0)[at].astype(np.int64), first),
+            "base_score": np.add.reduceat(np.log10((counts + 0.1) / floor)[at], first),
+            "settled": np.zeros(len(sizes)),
+        }
+    )
+    # The begin as a history stands behind the chunk's words.
+    before = np.concatenate(([len(numbers)], at[:-1]))
+    before[first] = len(numbers)
+    heads = np.append(numbers, BEGIN)
+    grams = Ngrams(
+        at=np.arange(len(at)),
+        head=before,
+        word=at,
+        heads=heads,
+        home=(mix(mix(heads.astype(np.uint64))) % np.uint64(buckets)).astype(np.int64),
+        times=known.history_count(heads),
+        numbers=numbers,
+        learned=np.repeat(~held, sizes),
+        lower=np.log10(known.probability(numbers))[at],
+    )
+    return grams, facts
 
 
 def send_bigrams(
     chunks: DataFrame, answers: DataFrame, sent_unigrams, buckets: int, last: bool
 ) -> DataFrame:
-    """Each chunk's distinct bigrams by bucket, and what the chunk keeps."""
+    """Each chunk's distinct bigrams by bucket, and if they are the last order what the chunk keeps."""
 
     def run(key: tuple, docs: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         known: Unigrams = sent_unigrams.value
         if not len(docs):
             return pd.DataFrame([], columns=names(SENT))
-        row = docs.iloc[0]
-        at = unpacked(row["tokens"])
-        numbers = joined([unpacked(n) for n in told.sort_values("range")["numbers"]])
-        if len(docs) > 1 or len(numbers) != at.max() + 1:
-            raise RuntimeError("the documents were not read twice in the same way")
-        counts = known.count(numbers)
-        sizes = unpacked(row["sizes"])
-        first = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-        floor = known.total + 0.1 * (known.types + 1)
-        held = np.frombuffer(row["held_out"], bool)
-        facts = pa.table(
-            {
-                "doc_id": pa.array(
-                    np.frombuffer(row["doc_ids"], "<i8"), mask=~np.frombuffer(row["known"], bool)
-                ),
-                "held_out": held,
-                "n_tokens": sizes,
-                "n_known": np.add.reduceat((counts > 0)[at].astype(np.int64), first),
-                "base_score": np.add.reduceat(np.log10((counts + 0.1) / floor)[at], first),
-                "settled": np.zeros(len(sizes)),
-            }
-        )
-        # The begin as a history stands behind the chunk's words.
-        before = np.concatenate(([len(numbers)], at[:-1]))
-        before[first] = len(numbers)
-        heads = np.append(numbers, BEGIN)
-        grams = Ngrams(
-            at=np.arange(len(at)),
-            head=before,
-            word=at,
-            heads=heads,
-            home=(mix(mix(heads.astype(np.uint64))) % np.uint64(buckets)).astype(np.int64),
-            times=known.history_count(heads),
-            numbers=numbers,
-            learned=np.repeat(~held, sizes),
-            lower=np.log10(known.probability(numbers))[at],
-        )
-        return grams.rows(int(row["chunk"]), facts, buckets, spread_from(known, buckets), last)
+        grams, facts = bigrams(docs, told, known, buckets)
+        return grams.rows(int(key[0]), facts, buckets, spread_from(known, buckets), last)
 
     return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(run, SENT)
 
 
-@dataclass
-class Heard:
-    """A chunk's documents with what the buckets told of one order's n-grams."""
+def logs_of(told: pd.DataFrame, discount: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts, counts of the histories, and log10 of probability or backoff weight, of a chunk's n-grams as sent.
 
-    facts: pa.Table
-    places: np.ndarray
-    counts: np.ndarray
-    sizes: np.ndarray
-    learned: np.ndarray
-    logs: np.ndarray
+    `told` is in the order of its buckets.
+    """
+    counts = joined([unpacked(c) for c in told["counts"]])
+    sizes = joined([unpacked(s) for s in told["sizes"]])
+    weights = joined([np.frombuffer(w, "<f8") for w in told["weights"] if w], float)
+    found = np.zeros(len(counts))
+    seen = counts > 0
+    found[seen] = np.log10(seen_chance(discount, counts[seen], sizes[seen]))
+    found[~seen] = np.log10(weights)
+    return counts, sizes, found
+
+
+def facts_of(kept: pd.Series) -> pa.Table:
+    return pa.ipc.open_stream(kept["facts"]).read_all()
+
+
+def lower_of(kept: pd.Series, where: np.ndarray) -> np.ndarray:
+    """The order below's log probabilities, which are kept for held-out tokens, at their places."""
+    lower = np.zeros(len(where))
+    if kept["lower"]:
+        lower[where] = np.frombuffer(kept["lower"], "<f8")
+    return lower
+
+
+def longer(
+    facts: pa.Table,
+    places: np.ndarray,
+    lower: np.ndarray,
+    words: tuple[np.ndarray, np.ndarray],
+    told: pd.DataFrame,
+    discount: np.ndarray,
+) -> tuple[Ngrams, pa.Table]:
+    """The next order's n-grams, each one of this order and the word after it, and the facts with what is settled.
+
+    A token whose history does not occur in training, or would start before the text, is settled.
+    """
+    told = told.sort_values("bucket")
+    counts, sizes, found = logs_of(told, discount)
+    ranks = [np.cumsum(unpacked(r)) for r in told["ranks"]]
+    home = np.repeat(told["bucket"].to_numpy(np.int64), [len(r) for r in ranks])
+    part = places > 0
+    logs = np.zeros(len(places))
+    logs[part] = found[places[part] - 1]
+    backed = part.copy()
+    backed[part] = counts[places[part] - 1] == 0
+    logs[backed] += lower[backed]
+    first = np.concatenate(([0], np.cumsum(facts["n_tokens"].to_numpy())[:-1]))
+    head = np.append(0, places[:-1]) - 1
+    head[first] = -1
+    part &= head >= 0
+    part[part] = counts[head[part]] > 0
+    settled = facts["settled"].to_numpy() + np.add.reduceat(np.where(part, 0.0, logs), first)
+    facts = facts.set_column(facts.schema.get_field_index("settled"), "settled", pa.array(settled))
+    at = np.flatnonzero(part)
+    below, out_of = np.zeros((2, len(part)), np.int64)
+    below[at], out_of[at] = counts[places[at] - 1], sizes[places[at] - 1]
+    grams = Ngrams(
+        at=at,
+        head=head,
+        word=words[0],
+        heads=(home << RANK) + joined(ranks) + 1,
+        home=home,
+        times=counts,
+        numbers=words[1],
+        learned=np.repeat(~facts["held_out"].to_numpy(), facts["n_tokens"].to_numpy()),
+        lower=logs,
+        below=below,
+        out_of=out_of,
+    )
+    return grams, facts
 
-    @classmethod
-    def of(cls, kept: pd.Series, told: pd.DataFrame, discount: np.ndarray):
-        """`told` is in the order of its buckets, as the n-grams were sent."""
-        facts = pa.ipc.open_stream(kept["facts"]).read_all()
-        places = unpacked(kept["places"])
-        counts = joined([unpacked(c) for c in told["counts"]])
-        sizes = joined([unpacked(s) for s in told["sizes"]])
-        weights = joined([np.frombuffer(w, "<f8") for w in told["weights"] if w], float)
-        found = np.zeros(len(counts))
-        seen = counts > 0
-        found[seen] = np.log10(seen_chance(discount, counts[seen], sizes[seen]))
-        found[~seen] = np.log10(weights)
-        part = places > 0
-        at = places[part] - 1
-        logs = np.zeros(len(places))
-        logs[part] = found[at]
-        learned = np.repeat(~facts["held_out"].to_numpy(), facts["n_tokens"].to_numpy())
-        lower = np.zeros(len(places))
-        if kept["lower"]:
-            lower[part & ~learned] = np.frombuffer(kept["lower"], "<f8")
-        backed = np.zeros(len(places), bool)
-        backed[part] = ~seen[at]
-        logs[backed] += lower[backed]
-        return cls(facts, places, counts, sizes, learned, logs)
-
-    def first(self) -> np.ndarray:
-        """Where each document's tokens start."""
-        return np.concatenate(([0], np.cumsum(self.facts["n_tokens"].to_numpy())[:-1]))
-
-    def settled(self, logs: np.ndarray) -> np.ndarray:
-        """Each document's score so far, with `logs` of tokens added."""
-        return self.facts["settled"].to_numpy() + np.add.reduceat(logs, self.first())
+
+def send_trigrams(
+    chunks: DataFrame, answers: DataFrame, told: DataFrame, sent_unigrams, discount, buckets: int, last: bool
+) -> DataFrame:
+    """Each chunk's distinct trigrams: its bigrams are made again, and met with what the buckets told of them."""
+    both = answers.unionByName(told, allowMissingColumns=True)
+
+    def run(key: tuple, docs: pd.DataFrame, both: pd.DataFrame) -> pd.DataFrame:
+        known: Unigrams = sent_unigrams.value
+        if not len(docs):
+            return pd.DataFrame([], columns=names(SENT))
+        least = spread_from(known, buckets)
+        grams, facts = bigrams(docs, both[both["bucket"].isna()], known, buckets)
+        places = grams.sorted(buckets, least)[2]
+        words = grams.word, grams.numbers
+        grams, facts = longer(facts, places, grams.lower, words, both[both["bucket"].notna()], discount)
+        return grams.rows(int(key[0]), facts, buckets, least, last)
+
+    return chunks.groupBy("chunk").cogroup(both.groupBy("chunk")).applyInPandas(run, SENT)
 
 
 def send_longer(
     state: DataFrame, told: DataFrame, discount: np.ndarray, buckets: int, least: float, last: bool
 ) -> DataFrame:
-    """Each chunk's distinct n-grams of the next order: an n-gram of the last one, and the word after it."""
+    """Each chunk's distinct n-grams of an order from 4 on."""
 
     def run(key: tuple, kept: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
-        told = told.sort_values("bucket")
-        heard = Heard.of(kept.iloc[0], told, discount)
-        ranks = [np.cumsum(unpacked(r)) for r in told["ranks"]]
-        home = np.repeat(told["bucket"].to_numpy(np.int64), [len(r) for r in ranks])
-        head = np.append(0, heard.places[:-1]) - 1
-        head[heard.first()] = -1
-        part = (heard.places > 0) & (head >= 0)
-        part[part] = heard.counts[head[part]] > 0
-        done = heard.settled(np.where(part, 0.0, heard.logs))
-        place = heard.facts.schema.get_field_index("settled")
-        facts = heard.facts.set_column(place, "settled", pa.array(done))
-        at = np.flatnonzero(part)
-        below, out_of = np.zeros((2, len(part)), np.int64)
-        below[at] = heard.counts[heard.places[at] - 1]
-        out_of[at] = heard.sizes[heard.places[at] - 1]
-        grams = Ngrams(
-            at=at,
-            head=head,
-            word=unpacked(kept["tokens"].iloc[0]),
-            heads=(home << RANK) + joined(ranks) + 1,
-            home=home,
-            times=heard.counts,
-            numbers=unpacked(kept["numbers"].iloc[0]),
-            learned=heard.learned,
-            lower=heard.logs,
-            below=below,
-            out_of=out_of,
-        )
+        kept = kept.iloc[0]
+        facts, places = facts_of(kept), unpacked(kept["places"])
+        held = np.repeat(facts["held_out"].to_numpy(), facts["n_tokens"].to_numpy())
+        words = unpacked(kept["tokens"]), unpacked(kept["numbers"])
+        grams, facts = longer(facts, places, lower_of(kept, held & (places > 0)), words, told, discount)
         return grams.rows(int(key[0]), facts, buckets, least, last)
 
     return state.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInPandas(run, SENT)
@@ -499,9 +554,10 @@ class Bucket:
         count = np.bincount(at, counts, len(keys)).astype(np.int64)
         below = out_of = None
         if rows["below"].iloc[0] is not None:
-            below, out_of = (
-                np.concatenate([unpacked(v) for v in rows[c]])[index] for c in ("below", "out_of")
-            )
+            below = np.concatenate([unpacked(v) for v in rows["below"]])[index]
+            same = [np.cumsum(np.diff(p, prepend=-1) > 0) - 1 for p in parts]
+            out_of = [unpacked(v)[of] for v, of in zip(rows["out_of"], same, strict=True)]
+            out_of = np.concatenate(out_of)[index]
         lower = np.where(count > 0, chance(word[index], below, out_of), 0.0)
         head = keys // width
         first = np.searchsorted(head, np.arange(len(heads)))
@@ -596,13 +652,18 @@ def answer_chunks(
 
 
 def gather(state: DataFrame, told: DataFrame, discount: np.ndarray, train_tokens: int) -> DataFrame:
-    """One row per document from what its chunk kept and what the buckets told."""
+    """One row per document from what its chunk kept and what the buckets told of the last order."""
 
     def run(key: tuple, kept: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
-        heard = Heard.of(kept.iloc[0], told.sort_values("bucket"), discount)
+        kept = kept.iloc[0]
+        facts, owner, times = facts_of(kept), unpacked(kept["places"]), unpacked(kept["times"])
+        counts, _, found = logs_of(told.sort_values("bucket"), discount)
+        lower = lower_of(kept, facts["held_out"].to_numpy()[owner])
+        logs = np.repeat(found, times) + np.where(np.repeat(counts, times) > 0, 0, lower)
+        score = facts["settled"].to_numpy() + np.bincount(owner, logs, facts.num_rows)
         # The integers stay nullable.
-        out = heard.facts.drop_columns("settled").to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get)
-        return out.assign(train_tokens=train_tokens, score=heard.settled(heard.logs))[names(SCORES)]
+        out = facts.drop_columns("settled").to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get)
+        return out.assign(train_tokens=train_tokens, score=score)[names(SCORES)]
 
     return state.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInPandas(run, SCORES)
 
@@ -631,8 +692,9 @@ def katz_scores(
         F.sum(F.octet_length("text")).alias("bytes"), F.count_if(~F.col("held_out")).alias("texts")
     ).first()
     ranges = 1 << max(4, ((size["bytes"] or 0) // RANGE).bit_length())
-    with ExitStack() as before:
-        folder = before.enter_context(scratch(spark))
+    words = ExitStack()
+    folder = words.enter_context(scratch(spark))
+    with words:
         answers = stored(number_words(given, ranges), folder)
         steps = answers.where("chunk = -1").orderBy("range").collect()
         steps = [(r["range"], unpacked(r["counts"]), unpacked(r["numbers"])) for r in steps]
@@ -640,26 +702,54 @@ def katz_scores(
         unigrams = spark.sparkContext.broadcast(known)
         buckets = max(16, -(-known.total // bucket))
         least = spread_from(known, buckets)
-        after, folder = next_folder(spark, order == 2)
         answers = answers.where("chunk >= 0").drop("counts")
+        drop_exchanges(spark)
+        place, folder = next_folder(spark, order == 2)
         sent = stored(send_bigrams(chunk_tokens(given), answers, unigrams, buckets, order == 2), folder)
-    discount = None
-    for n in range(2, order + 1):
-        chance = below_of(unigrams, discount)
-        parcels = sent.where("bucket IS NOT NULL").select("bucket", "chunk", *names(PARCELS))
-        state = sent.where("bucket IS NULL").select(*names(STATE))
-        with after:
-            classes = stored(count_classes(parcels, chance), None if n == order else folder)
-            times = classes.select(F.posexplode("times").alias("r", "n")).groupBy("r").agg(F.sum("n"))
-            found = dict(times.collect())
-            discount = discounts([found.get(r, 0) for r in range(DISCOUNTED + 1)])
-            told = answer_chunks(parcels, spread_totals(classes, discount), chance, discount, n == order)
-            if n == order:
-                return gather(state, told, discount, known.total)
-            after_this, folder = next_folder(spark, n + 1 == order)
-            longer = send_longer(state, told, discount, buckets, least, n + 1 == order)
-            sent = stored(longer, folder)
-        after = after_this
+        discount = None
+        for n in range(2, order):
+            told, discount = ask_buckets(sent, unigrams, discount, False)
+            kept, folder = next_folder(spark, False)
+            with kept:
+                told = stored(told, folder)
+                if n == 2:
+                    # Nothing of this order's table is needed any more.
+                    place.close()
+                drop_exchanges(spark)
+                after, folder = next_folder(spark, n + 1 == order)
+                if n == 2:
+                    longer_ones = send_trigrams(
+                        chunk_tokens(given), answers, told, unigrams, discount, buckets, order == 3
+                    )
+                else:
+                    state = sent.where("bucket IS NULL").select(*names(STATE))
+                    longer_ones = send_longer(state, told, discount, buckets, least, n + 1 == order)
+                sent = stored(longer_ones, folder)
+            place.close()
+            place = after
+    drop_exchanges(spark)
+    told, discount = ask_buckets(sent, unigrams, discount, True)
+    state = sent.where("bucket IS NULL").select(*names(STATE))
+    return gather(state, told, discount, known.total)
+
+
+def ask_buckets(
+    sent: DataFrame, sent_unigrams, below: np.ndarray | None, last: bool
+) -> tuple[DataFrame, np.ndarray]:
+    """What the buckets tell of an order's n-grams, and the order's discounts; `below` are those of the order below."""
+    chance = below_of(sent_unigrams, below)
+    parcels = sent.where("bucket IS NOT NULL").select("bucket", "chunk", *names(PARCELS))
+    classes = stored(count_classes(parcels, chance))
+    times = classes.select(F.posexplode("times").alias("r", "n")).groupBy("r").agg(F.sum("n"))
+    found = dict(times.collect())
+    discount = discounts([found.get(r, 0) for r in range(DISCOUNTED + 1)])
+    drop_exchanges(sent.sparkSession)
+    return answer_chunks(parcels, spread_totals(classes, discount), chance, discount, last), discount
+
+
+def drop_exchanges(spark: SparkSession) -> None:
+    """Let Spark's cleaner find the exchanges of the steps that are done, whose files it removes."""
+    spark.sparkContext._jvm.System.gc()
 
 
 def next_folder(spark: SparkSession, last: bool) -> tuple[ExitStack, str | None]:
