@@ -9,7 +9,8 @@ but this model is BPE, whose segmentation is not the one of the highest total sc
 place of the score comparison is BPE's own rule: a piece may follow the prefix's last piece exactly if
 BPE would leave those two side by side. Merges left and right of a boundary that is never merged run
 independently, so the encoding of a prefix is a prefix of the encoding, and exactly one last piece
-fits each prefix.
+fits each prefix. Which pieces a prefix may end with is known from the longest end of it that starts a
+piece; whether two stay side by side, from the merges inside each, which are worked out once per piece.
 """
 
 from __future__ import annotations
@@ -17,7 +18,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import takewhile
 from struct import pack
 
 import numpy as np
@@ -30,7 +30,7 @@ from airwave.llm.tokens import vocabulary_path
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 _MARKED = re.compile(f"{MARK}+[^{MARK}]*")
-#: Words whose ids one Python worker keeps, and pairs of pieces that it has judged.
+#: Words whose ids one Python worker keeps, pairs of pieces that it has judged, and steps of the automaton.
 REMEMBERED = 500_000
 
 
@@ -53,20 +53,28 @@ class Pieces:
             raise ValueError("a piece spans words, so words cannot be encoded on their own")
         self.score = {self.names[i]: model.get_score(i) for i in usual}
         self.bytes = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
-        self.byte_of = {i: b for b, i in enumerate(self.bytes)}
-        self.silent = {i for i in range(count) if model.is_control(i)}
-        # Pieces that BPE makes out of their own characters, and the longest by last character.
+        # What each id stands for; control ids are silent.
+        self.spelled = [
+            b"" if model.is_control(i) else name.encode() for i, name in enumerate(self.names)
+        ]
+        for b, i in enumerate(self.bytes):
+            self.spelled[i] = bytes([b])
+        # Pieces that BPE makes out of their own characters, and what they start with.
         self.usable = {piece for piece in self.ids if self.merged(piece) == [piece]}
-        self.reach: dict[str, int] = {}
-        for piece in self.usable:
-            self.reach[piece[-1]] = max(len(piece), self.reach.get(piece[-1], 1))
+        self.starts = {piece[:end] for piece in self.usable for end in range(len(piece) + 1)}
+        self.codes = {piece: pack("<I", self.ids[piece]) for piece in self.usable}
+        self.steps: dict[str, tuple[str, list[tuple[str, int]]]] = {}
+        self.histories: dict[str, list[tuple[float, str, str]]] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.words: dict[str, bytes] = {}
 
-    def merged(self, text: str) -> list[str]:
-        """BPE by its definition: the best adjacent pair first, of equal ones the leftmost."""
+    def merges(self, text: str) -> Iterator[tuple[float, list[str]]]:
+        """BPE by its definition: the best adjacent pair first, of equal ones the leftmost.
+
+        Before each merge its score and the symbols; at last no score and the symbols that stay.
+        """
         symbols = list(text)
-        while len(symbols) > 1:
+        while True:
             joined = [a + b for a, b in zip(symbols, symbols[1:])]
             best = max(
                 (i for i, piece in enumerate(joined) if piece in self.score),
@@ -74,80 +82,132 @@ class Pieces:
                 default=None,
             )
             if best is None:
-                break
+                yield float("-inf"), symbols
+                return
+            yield self.score[joined[best]], symbols
             symbols[best : best + 2] = [joined[best]]
+
+    def merged(self, text: str) -> list[str]:
+        *_, (_, symbols) = self.merges(text)
         return symbols
 
+    def edges(self, piece: str) -> list[tuple[float, str, str]]:
+        """Before each merge inside a piece: its score, the first symbol and the last."""
+        found = self.histories.get(piece)
+        if found is None:
+            found = [(score, symbols[0], symbols[-1]) for score, symbols in self.merges(piece)]
+            self.histories[piece] = found
+        return found
+
     def follows(self, last: str, piece: str) -> bool:
-        """Whether BPE leaves the two side by side."""
-        beside = self.pairs[last, piece] = self.merged(last + piece) == [last, piece]
+        """Whether BPE leaves the two side by side.
+
+        As long as nothing is merged across the boundary, each side's merges go on as they do alone, and of
+        the two sides' next merges the better comes first, of equal ones the left.
+        """
+        score = self.score.get
+        left, right = self.edges(last), self.edges(piece)
+        i = j = 0
+        while True:
+            own, _, before = left[i]
+            other, after, _ = right[j]
+            across = score(before + after)
+            if across is not None and across > own and across >= other:
+                beside = False
+                break
+            if own == other == float("-inf"):
+                beside = True
+                break
+            if own >= other:
+                i += 1
+            else:
+                j += 1
+        self.pairs[last, piece] = beside
         return beside
 
+    def step(self, text: str) -> tuple[str, list[tuple[str, int]]]:
+        """The longest end of `text` that starts a piece, and the pieces that `text` may end with."""
+        found = text
+        while found not in self.starts:
+            found = found[1:]
+        ends = [(found[i:], len(found) - i) for i in range(len(found)) if found[i:] in self.usable]
+        # A single character is always a symbol, of the vocabulary or not.
+        if text[-1] not in self.usable:
+            ends.append((text[-1], 1))
+        self.steps[text] = found, ends
+        return found, ends
+
     def forward(self, words: list[str]) -> None:
         """Encode distinct words in sorted order, one forward state per trie node on the path."""
-        usable, reach, pairs = self.usable, self.reach.get, self.pairs.get
+        steps, pairs, codes = self.steps.get, self.pairs.get, self.codes.get
         before = ""
         last: list[str] = [""]  # last[i]: the last piece of the path's first i characters
+        open_: list[str] = [""]  # open_[i]: their longest end that starts a piece
         for word in sorted(words):
-            shared = sum(1 for _ in takewhile(lambda p: p[0] == p[1], zip(before, word)))
-            del last[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
-                longest = end - reach(word[end - 1], 1)
-                for start in range(longest if longest > 0 else 0, end):
-                    piece = word[start:end]
-                    # A single character is always a symbol, of the vocabulary or not.
-                    if piece not in usable and start + 1 < end:
-                        continue
-                    if start:
-                        beside = pairs((last[start], piece))
+            marked = MARK + word
+            shared = 0
+            for a, b in zip(before, marked):
+                if a != b:
+                    break
+                shared += 1
+            del last[shared + 1 :], open_[shared + 1 :]
+            state = open_[-1]
+            for end in range(shared + 1, len(marked) + 1):
+                text = state + marked[end - 1]
+                state, ends = steps(text) or self.step(text)
+                for piece, size in ends:
+                    if size < end:
+                        pair = last[end - size], piece
+                        beside = pairs(pair)
                         if beside is None:
-                            beside = self.follows(last[start], piece)
+                            beside = self.follows(*pair)
                         if not beside:
                             continue
                     last.append(piece)
+                    open_.append(state)
                     break
                 else:
-                    raise AssertionError(f"no last piece for {word[:end]!r}")
-            before = word
-            self.words[word] = self._ids(word, last)
-
-    def _ids(self, word: str, last: list[str]) -> bytes:
-        path = []
-        end = len(word)
-        while end:
-            path.append(last[end])
-            end -= len(last[end])
-        ids = []
-        for piece in reversed(path):
-            if piece in self.ids:
-                ids.append(self.ids[piece])
-            else:
-                ids += [self.bytes[b] for b in piece.encode()]
-        return pack(f"<{len(ids)}I", *ids)
+                    raise AssertionError(f"no last piece for {marked[:end]!r}")
+            before = marked
+            path = []
+            end = len(marked)
+            while end:
+                piece = last[end]
+                path.append(codes(piece) or self.code(piece))
+                end -= len(piece)
+            path.reverse()
+            self.words[word] = b"".join(path)
+
+    def code(self, character: str) -> bytes:
+        """The ids of a character that is no piece: its byte pieces."""
+        return pack(f"<{len(character.encode())}I", *(self.bytes[b] for b in character.encode()))
+
+    def cut(self, text: str) -> list[str]:
+        """The marked words of a text, each without its first mark."""
+        if not text:
+            return []
+        # A mark stands before the text and for each space.
+        words = text.split(" ")
+        if MARK in text or "" in words:
+            return [word[1:] for word in _MARKED.findall(MARK + text.replace(" ", MARK))]
+        return words
 
     def encode(self, values: list[str]) -> list[bytes]:
         """The ids of each text, little-endian unsigned 32-bit."""
-        # A mark stands before the text and for each space.
-        cut = [_MARKED.findall(MARK + v.replace(" ", MARK)) if v else [] for v in values]
-        new: set[str] = set()
-        for words in cut:
-            new.update(words)
+        cut = [self.cut(v) for v in values]
         if len(self.words) > REMEMBERED:
             self.words = {}
         if len(self.pairs) > REMEMBERED:
             self.pairs = {}
-        self.forward(list(new.difference(self.words)))
+        if len(self.steps) > REMEMBERED:
+            self.steps, self.histories = {}, {}
+        self.forward(list(set().union(*cut).difference(self.words)))
         known = self.words.__getitem__
         return [b"".join(map(known, words)) for words in cut]
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids; control ids are silent, byte pieces are read as UTF-8."""
-        out = bytearray()
-        for i in ids:
-            if i in self.byte_of:
-                out.append(self.byte_of[i])
-            elif i not in self.silent:
-                out += self.names[i].encode()
+        out = b"".join(map(self.spelled.__getitem__, ids))
         text = out.decode("utf-8", "replace").replace(MARK, " ")
         return text.removeprefix(" ")
 

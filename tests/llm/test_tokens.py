@@ -194,6 +194,22 @@ def test_pieces_equal_the_library(odd):
             assert by_id[i].text == (text or "")
 
 
+def test_pairs_of_pieces_are_judged_from_the_merges_inside_each(monkeypatch):
+    pytest.importorskip("sentencepiece")
+    own, merges, run = Pieces(), Pieces.merges, []
+    known = sorted(own.usable)
+    lefts = known[::701] + ["a", "▁", "\x00", "日", "▁th", "er"]
+    rights = known[1::907] + ["a", "\x00", "日", "er", "ing", "e"]
+    for left in lefts:
+        for right in rights:
+            assert own.follows(left, right) == (own.merged(left + right) == [left, right])
+    own = Pieces()
+    monkeypatch.setattr(own, "merges", lambda text: run.append(text) or merges(own, text))
+    own.encode([words(3000, seed) for seed in range(3)])
+    assert run and len(run) == len(set(run))
+    assert all(text in own.usable or len(text) == 1 for text in run)
+
+
 def test_pieces_of_an_empty_table(empty):
     assert decode_pieces(encode_pieces(empty)).count() == 0
 
