@@ -271,6 +271,17 @@ def joined(parts: list[np.ndarray], kind: type = np.int64) -> np.ndarray:
     return np.concatenate([np.zeros(0, kind), *parts])
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sorted distinct keys, a place of each, and each value's number among them."""
+    # np.unique would take a slower stable sort, to give first places.
+    order = np.argsort(keys)
+    ranked = keys[order]
+    new = np.diff(ranked, prepend=-1) != 0
+    number = np.empty(len(keys), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return ranked[new], order[new], number
+
+
 def spread_from(known: Unigrams, buckets: int) -> float:
     """Histories of at least this count are spread over buckets."""
     return max(1.0, (known.total + known.texts) / (4 * buckets))
@@ -304,9 +315,7 @@ class Ngrams:
         """The distinct n-grams' buckets, their columns, and each token's place among them, 0 for none."""
         t = self.at
         width = len(self.numbers)
-        keys, index, place = np.unique(
-            self.head[t] * width + self.word[t], return_index=True, return_inverse=True
-        )
+        keys, index, place = distinct(self.head[t] * width + self.word[t])
         counts = np.bincount(place, self.learned[t], len(keys)).astype(np.int64)
         local = keys // width
         head, word = self.heads[local], self.numbers[keys % width]
@@ -548,9 +557,9 @@ class Bucket:
         word, counts = (np.concatenate([unpacked(v) for v in rows[c]]) for c in ("words", "counts"))
         dense, width = word, int(word.max()) + 1
         if len(heads) * width >= 1 << 62:
-            distinct, dense = np.unique(word, return_inverse=True)
-            width = len(distinct)
-        keys, index, at = np.unique(head * width + dense, return_index=True, return_inverse=True)
+            known, dense = np.unique(word, return_inverse=True)
+            width = len(known)
+        keys, index, at = distinct(head * width + dense)
         count = np.bincount(at, counts, len(keys)).astype(np.int64)
         below = out_of = None
         if rows["below"].iloc[0] is not None:
@@ -729,6 +738,9 @@ def katz_scores(
             place = after
     drop_exchanges(spark)
     told, discount = ask_buckets(sent, unigrams, discount, True)
+    # Stored, so that the n-grams' exchange is gone when the chunks meet their answers.
+    told = stored(told)
+    drop_exchanges(spark)
     state = sent.where("bucket IS NULL").select(*names(STATE))
     return gather(state, told, discount, known.total)
 

@@ -299,6 +299,21 @@ def test_a_bucket_has_each_ngram_once_per_chunk(documents, monkeypatch):
     same_scores(got, brute_katz(rows))
 
 
+def test_distinct_keys_of_ngrams():
+    keys = np.random.default_rng(3).integers(0, 50, 400)
+    for some in (keys, keys[:1], keys[:0]):
+        found, place, number = katz.distinct(some)
+        assert found.tolist() == sorted(set(some.tolist()))
+        assert (some[place] == found).all() and (found[number] == some).all()
+
+
+def test_katz_gathers_from_stored_answers(documents):
+    docs = documents(*[(i, f"some words {i % 7} of text {i % 3}") for i in range(60)])
+    plan = katz.katz_scores(docs)._jdf.queryExecution().optimizedPlan().toString()
+    # The n-grams are not met again: two stored tables meet by chunk, nothing else.
+    assert plan.count("FlatMapCoGroups") == 1
+
+
 def test_katz_of_an_empty_table(empty):
     assert katz.katz_scores(empty).count() == 0
 
