@@ -18,12 +18,15 @@ compressed arrays:
    its word's count through a table of frequency steps, whose size is the number of distinct counts.
 2. N-grams, by history, for each order from 2 on: a chunk sends each distinct n-gram, with its training count
    in the chunk, to its history's bucket. An n-gram of any frequency so takes one place per chunk. A
-   frequent history is spread over buckets by the last word too; its totals are added up in between and
-   joined to the buckets that have it.
+   frequent history is spread over buckets by the last word too, and the buckets' shares of it are added up.
 3. A bucket adds up its part of the order's table and answers each chunk with the counts of its n-grams and
-   histories, or with the backoff weight where training has no such n-gram. It numbers its n-grams: these
+   histories and, where training has no such n-gram, with what the backoff weight is made of. So the n-grams
+   travel once: discounts, and totals of histories that are spread, are known when the chunks read the answers.
+   There are four spread histories per bucket at most, which are broadcast. A bucket numbers its n-grams: these
    numbers are the histories of the next order, so the recursion goes on in the same way. A token whose
    history does not occur in training has its score and takes no part in longer orders.
+4. Buckets are stored, and asked, in a few parts, so that no more than one part is on disk twice; a part goes
+   when it has answered.
 """
 
 from __future__ import annotations
@@ -31,19 +34,20 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import ExitStack
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airwave.llm.common import Batches, in_tasks
 from airwave.llm.language import remainder
 from airwave.llm.shingles import hash_words, mix
-from airwave.session import scratch, stored
+from airwave.session import new_place, removed, scratch, stored
 
 #: Tokens of a chunk and of a bucket, bytes of text per range of words, longest n-grams, discounted counts.
 CHUNK = 1 << 19
@@ -51,6 +55,8 @@ BUCKET = 3 << 19
 RANGE = 1 << 24
 ORDER = 3
 DISCOUNTED = 5
+#: In how many parts the buckets of an order are asked.
+PARTS = 4
 #: The end of a text as a word, and the number of the begin as a history.
 END = np.uint64(0x5EED0FE2D1CE5EED)
 BEGIN = 0
@@ -65,22 +71,26 @@ CHUNKS = "chunk long, doc_ids binary, known binary, held_out binary, sizes binar
 STATE = "chunk long, facts binary, tokens binary, numbers binary, places binary, times binary, lower binary"
 PARCELS = "heads binary, words binary, counts binary, below binary, out_of binary"
 SENT = f"bucket long, {STATE}, {PARCELS}"
+TOLD = (
+    "chunk long, bucket long, counts binary, sizes binary, ranks binary, rare binary, backed binary, spread binary"
+)
 CLASSES = (
-    "bucket long, times array<long>, spread array<struct<"
-    "history: long, times: array<long>, total: long, backed: double>>"
+    "times array<long>, shares array<struct<history: long, times: array<long>, total: long, backed: double>>"
 )
-TOLD = "chunk long, bucket long, counts binary, sizes binary, ranks binary, weights binary"
 SCORES = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
     "base_score double, score double"
 )
 
 
+_COMPRESSOR = zstandard.ZstdCompressor(level=3)
+
+
 def packed(values: np.ndarray) -> bytes:
     """Unsigned integers, byte plane by byte plane, compressed."""
     width = 4 if not len(values) or int(values.max()) < 1 << 32 else 8
     planes = values.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T
-    return bytes([width]) + zstandard.compress(planes.tobytes(), 3)
+    return bytes([width]) + _COMPRESSOR.compress(planes.tobytes())
 
 
 def unpacked(data: bytes) -> np.ndarray:
@@ -271,10 +281,18 @@ def joined(parts: list[np.ndarray], kind: type = np.int64) -> np.ndarray:
     return np.concatenate([np.zeros(0, kind), *parts])
 
 
+def rising(keys: np.ndarray) -> np.ndarray:
+    """The places of keys, which are not negative, in rising order of keys."""
+    bits = len(keys).bit_length()
+    if len(keys) and int(keys.max()) >> (63 - bits):
+        return np.argsort(keys)
+    # Sorting values is several times faster than sorting places, so each place goes with its key.
+    return np.sort(keys << bits | np.arange(len(keys))) & ((1 << bits) - 1)
+
+
 def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The sorted distinct keys, a place of each, and each value's number among them."""
-    # np.unique would take a slower stable sort, to give first places.
-    order = np.argsort(keys)
+    order = rising(keys)
     ranked = keys[order]
     new = np.diff(ranked, prepend=-1) != 0
     number = np.empty(len(keys), np.int64)
@@ -296,7 +314,8 @@ def seen_chance(discount: np.ndarray, count: np.ndarray, size: np.ndarray) -> np
 class Ngrams:
     """A chunk's n-grams of one order before they are sent: a value per token, `at` those that take part.
 
-    `head` and `word` are places in `heads` and `numbers`; `home` is the bucket of each of `heads`, `times` its count.
+    `head` and `word` are places in `heads` and `numbers`, which rise; `home` is the bucket of each of `heads`,
+    `times` its count.
     """
 
     at: np.ndarray
@@ -318,12 +337,15 @@ class Ngrams:
         keys, index, place = distinct(self.head[t] * width + self.word[t])
         counts = np.bincount(place, self.learned[t], len(keys)).astype(np.int64)
         local = keys // width
-        head, word = self.heads[local], self.numbers[keys % width]
+        head, word, bucket = self.heads[local], self.numbers[keys - local * width], self.home[local]
         often = self.times[local] >= least
-        mixed = mix(mix(head.astype(np.uint64)) + mix(word.astype(np.uint64) + np.uint64(1 << 40)))
-        bucket = np.where(often, (mixed % np.uint64(buckets)).astype(np.int64), self.home[local])
-        head = np.where(often, head | SPREAD, head)
-        order = np.lexsort((word, head, bucket))
+        mixed = mix(head[often].astype(np.uint64)) + mix(word[often].astype(np.uint64) + np.uint64(1 << 40))
+        bucket[often] = (mix(mixed) % np.uint64(buckets)).astype(np.int64)
+        head[often] |= SPREAD
+        # The n-grams are in order of history and word, and stay so in each bucket, spread ones last.
+        # A stable sort of 16 bits takes linear time.
+        kind = np.uint16 if buckets <= 1 << 15 else np.int64
+        order = np.argsort((bucket * 2 + often).astype(kind), kind="stable")
         columns = [head, word, counts]
         if self.below is not None:
             columns += [self.below[t][index], self.out_of[t][index]]
@@ -358,7 +380,7 @@ class Ngrams:
             writer.write_table(facts)
         t = self.at
         if last:
-            t = t[np.argsort(places[t], kind="stable")]
+            t = t[rising(places[t])]
             owner = np.repeat(np.arange(facts.num_rows), facts["n_tokens"].to_numpy())
             times = np.bincount(places[t] - 1, minlength=len(bucket)).astype(np.int64)
             kept = [None, None, packed(owner[t]), packed(times)]
@@ -376,6 +398,11 @@ def bigrams(docs: pd.DataFrame, told: pd.DataFrame, known: Unigrams, buckets: in
     numbers = joined([unpacked(n) for n in told.sort_values("range")["numbers"]])
     if len(docs) > 1 or len(numbers) != at.max() + 1:
         raise RuntimeError("the documents were not read twice in the same way")
+    # From here on the words are places in their rising numbers.
+    order = np.argsort(numbers)
+    rank = np.empty_like(order)
+    rank[order] = np.arange(len(order))
+    at, numbers = rank[at], numbers[order]
     counts = known.count(numbers)
     sizes = unpacked(row["sizes"])
     first = np.concatenate(([0], np.cumsum(sizes)[:-1]))
@@ -393,10 +420,10 @@ def bigrams(docs: pd.DataFrame, told: pd.DataFrame, known: Unigrams, buckets: in
             "settled": np.zeros(len(sizes)),
         }
     )
-    # The begin as a history stands behind the chunk's words.
-    before = np.concatenate(([len(numbers)], at[:-1]))
-    before[first] = len(numbers)
-    heads = np.append(numbers, BEGIN)
+    # The begin as a history stands before the chunk's words.
+    before = np.concatenate(([0], at[:-1] + 1))
+    before[first] = 0
+    heads = np.append(BEGIN, numbers)
     grams = Ngrams(
         at=np.arange(len(at)),
         head=before,
@@ -426,18 +453,69 @@ def send_bigrams(
     return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(run, SENT)
 
 
-def logs_of(told: pd.DataFrame, discount: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+@dataclass
+class Told:
+    """What is known of an order beside its n-grams: discounts, and the totals of its spread histories."""
+
+    discount: np.ndarray
+    spread: np.ndarray
+    total: np.ndarray
+    rare: np.ndarray
+    backed: np.ndarray
+
+    @classmethod
+    def of(cls, answers: DataFrame) -> Told:
+        """From what the buckets say of themselves. A history is spread only where it has a share in tokens."""
+        classes = answers.where("chunk IS NULL")
+        times = classes.select(F.posexplode("times").alias("r", "n")).groupBy("r").agg(F.sum("n"))
+        found = dict(times.collect())
+        shares = classes.select(F.inline("shares")).groupBy("history")
+        sums = [F.sum(F.col("times")[r]).alias(f"n{r}") for r in range(DISCOUNTED)]
+        rows = shares.agg(F.sum("total").alias("total"), F.sum("backed").alias("backed"), *sums)
+        rows = rows.orderBy("history").toPandas()
+        return cls(
+            discounts([found.get(r, 0) for r in range(DISCOUNTED + 1)]),
+            rows["history"].to_numpy(np.int64),
+            rows["total"].to_numpy(np.int64),
+            rows[[f"n{r}" for r in range(DISCOUNTED)]].to_numpy(np.int64),
+            rows["backed"].to_numpy(float),
+        )
+
+    def weight(self, size: np.ndarray, rare: np.ndarray, backed: np.ndarray) -> np.ndarray:
+        """Backoff weights of histories that are so large, whose n-grams that occur r times are `rare[:, r - 1]`.
+
+        A history of which nothing is discounted gives one more occurrence away; one that is not known, all.
+        """
+        r = np.arange(1, DISCOUNTED + 1)
+        left = (rare * ((1 - self.discount[r]) * r)).sum(axis=1)
+        return np.where(rare.any(axis=1), left, 1) / size / np.maximum(1 - backed, 1e-300)
+
+
+def logs_of(told: pd.DataFrame, known: Told) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Counts, counts of the histories, and log10 of probability or backoff weight, of a chunk's n-grams as sent.
 
     `told` is in the order of its buckets.
     """
-    counts = joined([unpacked(c) for c in told["counts"]])
+    parts = [unpacked(c) for c in told["counts"]]
+    counts = joined(parts)
     sizes = joined([unpacked(s) for s in told["sizes"]])
-    weights = joined([np.frombuffer(w, "<f8") for w in told["weights"] if w], float)
-    found = np.zeros(len(counts))
+    # A bucket's spread histories come last.
+    ends = np.cumsum([len(p) for p in parts])
+    some = [(end, np.cumsum(unpacked(s))) for end, s in zip(ends, told["spread"], strict=True) if s]
+    at = joined([np.arange(end - len(s), end) for end, s in some])
+    of = np.searchsorted(known.spread, joined([s for _, s in some]))
+    sizes[at] = known.total[of] + ~known.rare[of].any(axis=1)
     seen = counts > 0
-    found[seen] = np.log10(seen_chance(discount, counts[seen], sizes[seen]))
-    found[~seen] = np.log10(weights)
+    found = np.zeros(len(counts))
+    found[seen] = np.log10(seen_chance(known.discount, counts[seen], sizes[seen]))
+    weights = np.zeros(len(counts))
+    weights[at] = known.weight(sizes[at], known.rare[of], known.backed[of])
+    single = ~seen
+    single[at] = False
+    rare = joined([unpacked(v) for v in told["rare"] if v]).reshape(-1, DISCOUNTED)
+    backed = joined([np.frombuffer(v, "<f8") for v in told["backed"] if v], float)
+    weights[single] = known.weight(sizes[single], rare, backed)
+    found[~seen] = np.log10(weights[~seen])
     return counts, sizes, found
 
 
@@ -459,14 +537,14 @@ def longer(
     lower: np.ndarray,
     words: tuple[np.ndarray, np.ndarray],
     told: pd.DataFrame,
-    discount: np.ndarray,
+    known: Told,
 ) -> tuple[Ngrams, pa.Table]:
     """The next order's n-grams, each one of this order and the word after it, and the facts with what is settled.
 
     A token whose history does not occur in training, or would start before the text, is settled.
     """
     told = told.sort_values("bucket")
-    counts, sizes, found = logs_of(told, discount)
+    counts, sizes, found = logs_of(told, known)
     ranks = [np.cumsum(unpacked(r)) for r in told["ranks"]]
     home = np.repeat(told["bucket"].to_numpy(np.int64), [len(r) for r in ranks])
     part = places > 0
@@ -502,7 +580,7 @@ def longer(
 
 
 def send_trigrams(
-    chunks: DataFrame, answers: DataFrame, told: DataFrame, sent_unigrams, discount, buckets: int, last: bool
+    chunks: DataFrame, answers: DataFrame, told: DataFrame, sent_unigrams, sent_told, buckets: int, last: bool
 ) -> DataFrame:
     """Each chunk's distinct trigrams: its bigrams are made again, and met with what the buckets told of them."""
     both = answers.unionByName(told, allowMissingColumns=True)
@@ -515,14 +593,14 @@ def send_trigrams(
         grams, facts = bigrams(docs, both[both["bucket"].isna()], known, buckets)
         places = grams.sorted(buckets, least)[2]
         words = grams.word, grams.numbers
-        grams, facts = longer(facts, places, grams.lower, words, both[both["bucket"].notna()], discount)
+        grams, facts = longer(facts, places, grams.lower, words, both[both["bucket"].notna()], sent_told.value)
         return grams.rows(int(key[0]), facts, buckets, least, last)
 
     return chunks.groupBy("chunk").cogroup(both.groupBy("chunk")).applyInPandas(run, SENT)
 
 
 def send_longer(
-    state: DataFrame, told: DataFrame, discount: np.ndarray, buckets: int, least: float, last: bool
+    state: DataFrame, told: DataFrame, sent_told, buckets: int, least: float, last: bool
 ) -> DataFrame:
     """Each chunk's distinct n-grams of an order from 4 on."""
 
@@ -531,7 +609,7 @@ def send_longer(
         facts, places = facts_of(kept), unpacked(kept["places"])
         held = np.repeat(facts["held_out"].to_numpy(), facts["n_tokens"].to_numpy())
         words = unpacked(kept["tokens"]), unpacked(kept["numbers"])
-        grams, facts = longer(facts, places, lower_of(kept, held & (places > 0)), words, told, discount)
+        grams, facts = longer(facts, places, lower_of(kept, held & (places > 0)), words, told, sent_told.value)
         return grams.rows(int(key[0]), facts, buckets, least, last)
 
     return state.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInPandas(run, SENT)
@@ -584,89 +662,73 @@ def below_of(sent_unigrams, discount: np.ndarray | None):
     return chance
 
 
-def count_classes(parcels: DataFrame, chance) -> DataFrame:
-    """Per bucket how many n-grams occur once, twice, ..., and its shares of the histories that are spread."""
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        found = Bucket.of(rows, chance)
-
-        def times(count: np.ndarray) -> list[int]:
-            return np.bincount(np.minimum(count, DISCOUNTED + 2), minlength=DISCOUNTED + 3)[1:-1].tolist()
-
-        ends = np.append(found.first[1:], len(found.count))
-        spread = [
-            {
-                "history": int(found.heads[i]),
-                "times": times(found.count[found.first[i] : ends[i]]),
-                "total": int(found.count[found.first[i] : ends[i]].sum()),
-                "backed": float(found.lower[found.first[i] : ends[i]].sum()),
-            }
-            for i in np.flatnonzero(found.heads >= SPREAD)
-        ]
-        row = {"bucket": int(rows["bucket"].iloc[0]), "times": times(found.count), "spread": spread}
-        return pd.DataFrame([row])
-
-    return parcels.groupBy("bucket").applyInPandas(run, CLASSES)
-
-
-def spread_totals(classes: DataFrame, discount: np.ndarray) -> DataFrame:
-    """(bucket, history, total, kept, backed): over all buckets, for each bucket that has the history."""
-    shares = classes.select("bucket", F.inline("spread"))
-    lost = sum(F.col("times")[r - 1] * float((1 - discount[r]) * r) for r in range(1, DISCOUNTED + 1))
-    totals = shares.groupBy("history").agg(
-        F.sum("total").alias("total"),
-        F.sum(F.col("total") - lost).alias("kept"),
-        F.sum("backed").alias("backed"),
-    )
-    return shares.select("bucket", "history").join(totals, "history")
-
+def answer_chunks(parcels: DataFrame, chance, last: bool) -> DataFrame:
+    """For each parcel the counts of its n-grams and histories, what weights of unseen ones are made of, and ranks.
 
-def answer_chunks(
-    parcels: DataFrame, totals: DataFrame, chance, discount: np.ndarray, last: bool
-) -> DataFrame:
-    """For each parcel the counts of its n-grams and histories, the weights of unseen ones, and ranks."""
+    Without a chunk, per bucket how many n-grams occur once, twice, ..., and its shares of the histories that are
+    spread.
+    """
 
-    def run(rows: pd.DataFrame, totals: pd.DataFrame) -> pd.DataFrame:
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
         found = Bucket.of(rows, chance)
-        value = found.count * discount[np.minimum(found.count, DISCOUNTED + 1)]
-        total, kept, backed = (
-            np.add.reduceat(v.astype(float), found.first) for v in (found.count, value, found.lower)
-        )
-        if len(totals):
-            at = np.searchsorted(found.heads, totals["history"].to_numpy(np.int64))
-            total[at], kept[at], backed[at] = totals["total"], totals["kept"], totals["backed"]
-        left = total - kept
-        # A history of which nothing is discounted gives one more occurrence away; one that is not known, all.
-        whole = left <= 1e-9 * total
-        size = np.where(whole, total + 1, total)
-        weight = np.where(whole, 1, left) / size / np.maximum(1 - backed, 1e-300)
+        count, head, bucket = found.count, found.head, rows["bucket"].iloc[0]
+        total = np.add.reduceat(count, found.first)
+        backed = np.add.reduceat(found.lower, found.first)
+        # A history of which nothing is discounted gives one more occurrence away.
+        size = total + ~np.logical_or.reduceat((count > 0) & (count <= DISCOUNTED), found.first)
+        # How many n-grams occur once, twice, ..., of the histories that are asked for it.
+        asked = found.heads >= SPREAD
+        asked[head[count == 0]] = True
+        number = np.cumsum(asked) - 1
+        some = asked[head] & (count > 0)
+        key = number[head[some]] * (DISCOUNTED + 2) + np.minimum(count[some], DISCOUNTED + 2) - 1
+        rare = np.bincount(key, minlength=int(asked.sum()) * (DISCOUNTED + 2)).reshape(-1, DISCOUNTED + 2)[:, :-1]
         out, start = [], 0
         for chunk, length in zip(rows["chunk"], found.lengths, strict=True):
             at = found.at[start : start + length]
             start += length
-            counts, head = found.count[at], found.head[at]
+            of = head[at]
+            often = found.heads[of] >= SPREAD
+            unseen = of[(count[at] == 0) & ~often]
+            spread = found.heads[of[often]]
             out.append(
                 (
                     chunk,
-                    rows["bucket"].iloc[0],
-                    packed(counts),
-                    packed(size[head].astype(np.int64)),
+                    bucket,
+                    packed(count[at]),
+                    packed(size[of]),
                     None if last else packed(np.diff(at, prepend=0)),
-                    weight[head[counts == 0]].astype("<f8").tobytes(),
+                    packed(rare[number[unseen], :DISCOUNTED].ravel()) if len(unseen) else None,
+                    backed[unseen].astype("<f8").tobytes() if len(unseen) else None,
+                    packed(np.diff(spread, prepend=0)) if len(spread) else None,
+                    None,
+                    None,
                 )
             )
-        return pd.DataFrame(out, columns=names(TOLD))
+        shares = [
+            {
+                "history": int(found.heads[i]),
+                "times": rare[number[i]].tolist(),
+                "total": int(total[i]),
+                "backed": float(backed[i]),
+            }
+            for i in np.flatnonzero(found.heads >= SPREAD)
+        ]
+        times = np.bincount(np.minimum(count, DISCOUNTED + 2), minlength=DISCOUNTED + 3)[1:-1].tolist()
+        out.append((None, bucket, *[None] * 6, times, shares))
+        made = pd.DataFrame(out, columns=[*names(TOLD), "times", "shares"])
+        return made.astype({"chunk": "Int64"})
 
-    return parcels.groupBy("bucket").cogroup(totals.groupBy("bucket")).applyInPandas(run, TOLD)
+    return parcels.groupBy("bucket").applyInPandas(run, f"{TOLD}, {CLASSES}")
 
 
-def gather(state: DataFrame, told: DataFrame, discount: np.ndarray, train_tokens: int) -> DataFrame:
+def gather(state: DataFrame, told: DataFrame, sent_told, train_tokens: int) -> DataFrame:
     """One row per document from what its chunk kept and what the buckets told of the last order."""
 
     def run(key: tuple, kept: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         kept = kept.iloc[0]
         facts, owner, times = facts_of(kept), unpacked(kept["places"]), unpacked(kept["times"])
-        counts, _, found = logs_of(told.sort_values("bucket"), discount)
+        counts, _, found = logs_of(told.sort_values("bucket"), sent_told.value)
         lower = lower_of(kept, facts["held_out"].to_numpy()[owner])
         logs = np.repeat(found, times) + np.where(np.repeat(counts, times) > 0, 0, lower)
         score = facts["settled"].to_numpy() + np.bincount(owner, logs, facts.num_rows)
@@ -714,13 +776,14 @@ def katz_scores(
         answers = answers.where("chunk >= 0").drop("counts")
         drop_exchanges(spark)
         place, folder = next_folder(spark, order == 2)
-        sent = stored(send_bigrams(chunk_tokens(given), answers, unigrams, buckets, order == 2), folder)
-        discount = None
+        bigram_rows = send_bigrams(chunk_tokens(given), answers, unigrams, buckets, order == 2)
+        sent = in_parts(bigram_rows, folder)
+        below = None
         for n in range(2, order):
-            told, discount = ask_buckets(sent, unigrams, discount, False)
             kept, folder = next_folder(spark, False)
             with kept:
-                told = stored(told, folder)
+                told, known_of = ask_buckets(spark, sent, unigrams, below, False, folder)
+                below = known_of.value.discount
                 if n == 2:
                     # Nothing of this order's table is needed any more.
                     place.close()
@@ -728,35 +791,58 @@ def katz_scores(
                 after, folder = next_folder(spark, n + 1 == order)
                 if n == 2:
                     longer_ones = send_trigrams(
-                        chunk_tokens(given), answers, told, unigrams, discount, buckets, order == 3
+                        chunk_tokens(given), answers, told, unigrams, known_of, buckets, order == 3
                     )
                 else:
-                    state = sent.where("bucket IS NULL").select(*names(STATE))
-                    longer_ones = send_longer(state, told, discount, buckets, least, n + 1 == order)
-                sent = stored(longer_ones, folder)
+                    state = state_of(spark, sent)
+                    longer_ones = send_longer(state, told, known_of, buckets, least, n + 1 == order)
+                sent = in_parts(longer_ones, folder)
             place.close()
             place = after
     drop_exchanges(spark)
-    told, discount = ask_buckets(sent, unigrams, discount, True)
-    # Stored, so that the n-grams' exchange is gone when the chunks meet their answers.
-    told = stored(told)
-    drop_exchanges(spark)
-    state = sent.where("bucket IS NULL").select(*names(STATE))
-    return gather(state, told, discount, known.total)
+    told, known_of = ask_buckets(spark, sent, unigrams, below, True)
+    return gather(state_of(spark, sent), told, known_of, known.total)
+
+
+def in_parts(sent: DataFrame, folder: str | None) -> str:
+    """Where the rows are stored, the buckets in parts and what the chunks keep apart from them."""
+    place = new_place(sent.sparkSession, folder)
+    part = F.coalesce(F.col("bucket") % PARTS, F.lit(PARTS)).cast("int")
+    sent.withColumn("part", part).write.partitionBy("part").parquet(place)
+    return place
+
+
+def parts_of(spark: SparkSession, sent: str) -> DataFrame:
+    return spark.read.schema(f"{SENT}, part int").parquet(sent)
+
+
+def state_of(spark: SparkSession, sent: str) -> DataFrame:
+    return parts_of(spark, sent).where(F.col("part") == PARTS).select(*names(STATE))
 
 
 def ask_buckets(
-    sent: DataFrame, sent_unigrams, below: np.ndarray | None, last: bool
-) -> tuple[DataFrame, np.ndarray]:
-    """What the buckets tell of an order's n-grams, and the order's discounts; `below` are those of the order below."""
-    chance = below_of(sent_unigrams, below)
-    parcels = sent.where("bucket IS NOT NULL").select("bucket", "chunk", *names(PARCELS))
-    classes = stored(count_classes(parcels, chance))
-    times = classes.select(F.posexplode("times").alias("r", "n")).groupBy("r").agg(F.sum("n"))
-    found = dict(times.collect())
-    discount = discounts([found.get(r, 0) for r in range(DISCOUNTED + 1)])
-    drop_exchanges(sent.sparkSession)
-    return answer_chunks(parcels, spread_totals(classes, discount), chance, discount, last), discount
+    spark: SparkSession, sent: str, sent_unigrams, below: np.ndarray | None, last: bool, folder: str | None = None
+) -> tuple[DataFrame, Broadcast[Told]]:
+    """What the buckets tell of an order's n-grams, stored, and of the order; `below` are discounts of the one below.
+
+    An order's n-grams are asked once, and are gone then.
+    """
+    parcels = parts_of(spark, sent).where(F.col("part") < PARTS).select("part", "bucket", "chunk", *names(PARCELS))
+    told = count_classes(parcels, sent, below_of(sent_unigrams, below), last, folder)
+    found = spark.sparkContext.broadcast(Told.of(told))
+    return told.where("chunk IS NOT NULL").drop("times", "shares"), found
+
+
+def count_classes(parcels: DataFrame, sent: str, chance, last: bool, folder: str | None) -> DataFrame:
+    """The buckets' answers and classes, stored part by part; the parcels of a part are removed from `sent` then."""
+    spark = parcels.sparkSession
+    answers = []
+    for part in range(PARTS):
+        some = parcels.where(F.col("part") == part).drop("part")
+        answers.append(stored(answer_chunks(some, chance, last), folder))
+        removed(spark, f"{sent}/part={part}")
+        drop_exchanges(spark)
+    return reduce(DataFrame.unionAll, answers)
 
 
 def drop_exchanges(spark: SparkSession) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 
@@ -12,11 +13,8 @@ WORDS = 5
 STRETCH = 1 << 20
 
 U64 = np.uint64
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_SPACE = np.zeros(256, bool)
-_SPACE[[32, *range(9, 14)]] = True
 _FACTOR = U64(0x9E6C63D0876A9A35)
+_INVERSE = U64(pow(int(_FACTOR), -1, 1 << 64))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -26,8 +24,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-def powers(n: int) -> np.ndarray:
-    return np.multiply.accumulate(np.concatenate(([U64(1)], np.full(max(0, n - 1), _FACTOR))))
+def powers(n: int, factor: np.uint64 = _FACTOR) -> np.ndarray:
+    return np.multiply.accumulate(np.concatenate(([U64(1)], np.full(max(0, n - 1), factor))))
+
+
+def _ladder(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the factor for so many bits of places, and their inverses."""
+    return powers(1 << bits), powers(1 << bits, _INVERSE)
+
+
+_kept_ladder = cache(_ladder)
 
 
 def _stretches(data: bytes) -> Iterator[tuple[int, bytes]]:
@@ -51,16 +57,20 @@ def hash_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     hashes, places = [], []
     for base, part in _stretches(data):
         raw = np.frombuffer(part, np.uint8)
-        letter = ~_SPACE[raw]
-        edge = np.diff(letter.astype(np.int8), prepend=0, append=0)
-        starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        if not len(raw):
+            continue
+        letter = (raw != 32) & ((raw < 9) | (raw > 13))
+        edge = np.flatnonzero(np.diff(letter, prepend=False, append=False))
+        starts, ends = edge[::2], edge[1::2]
         if not len(starts):
             continue
-        sizes = ends - starts
-        first = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-        within = np.arange(int(sizes.sum())) - np.repeat(first, sizes)
-        values = (_LOWER[raw[letter]].astype(U64) + U64(1)) * powers(int(sizes.max()))[within]
-        hashes.append(mix(np.add.reduceat(values, first) + sizes.astype(U64)))
+        bits = (len(raw) - 1).bit_length()
+        # Powers by place in the stretch, which each word's first place is divided out of.
+        up, down = (_kept_ladder if len(raw) <= STRETCH else _ladder)(bits)
+        lower = raw | ((raw - np.uint8(65) < 26).view(np.uint8) << 5)
+        sums = np.cumsum((lower.astype(U64) + U64(1)) * up[: len(raw)])
+        before = np.where(starts > 0, sums[starts - 1], U64(0))
+        hashes.append(mix((sums[ends - 1] - before) * down[starts] + (ends - starts).astype(U64)))
         places.append(starts + base)
     if not hashes:
         return np.zeros(0, U64), np.zeros(0, np.int64)

@@ -67,10 +67,14 @@ def scratch(spark: SparkSession) -> Iterator[str]:
     try:
         yield path
     finally:
-        # Through Hadoop's file system, as the folder may be on any storage.
-        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        files.delete(place, True)
+        removed(spark, path)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    # Through Hadoop's file system, as the folder may be on any storage.
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(place, True)
 
 
 _place: ContextVar[str | None] = ContextVar("place", default=None)
@@ -92,7 +96,11 @@ def stored(df: DataFrame, folder: str | None = None) -> DataFrame:
 
     Cuts the lineage like a checkpoint, and later reads touch only the columns they need.
     """
-    spark = df.sparkSession
-    path = f"{folder or _place.get() or shared_dir(spark)}/airwave-{uuid.uuid4().hex}"
+    path = new_place(df.sparkSession, folder)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def new_place(spark: SparkSession, folder: str | None = None) -> str:
+    """A new path in the shared folder, or below `folder`."""
+    return f"{folder or _place.get() or shared_dir(spark)}/airwave-{uuid.uuid4().hex}"

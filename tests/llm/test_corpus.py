@@ -6,12 +6,13 @@ import re
 import zlib
 from collections import Counter, defaultdict
 from hashlib import sha256
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 import corpus_pipeline
-from airwave.llm import chat, exact, jaccard, katz, language, neighbours, queries
+from airwave.llm import chat, exact, jaccard, katz, language, neighbours, queries, shingles
 from airwave.llm.shingles import shingle_sets
 from tests.llm.conftest import ODD
 
@@ -314,6 +315,38 @@ def test_katz_gathers_from_stored_answers(documents):
     assert plan.count("FlatMapCoGroups") == 1
 
 
+def test_katz_asks_ngrams_once_and_keeps_none(documents, monkeypatch):
+    docs = documents(*[(i, f"some words {i % 7} of text {i % 3}") for i in range(60)])
+    places, asked, store, answer = [], [], katz.in_parts, katz.answer_chunks
+
+    def answered(parcels, *rest):
+        asked.extend((len(places), r.bucket) for r in parcels.select("bucket").distinct().collect())
+        return answer(parcels, *rest)
+
+    monkeypatch.setattr(katz, "in_parts", lambda *a: places.append(store(*a)) or places[-1])
+    monkeypatch.setattr(katz, "answer_chunks", answered)
+    katz.katz_scores(docs)
+    assert len(places) == 2 and len(asked) == len(set(asked))
+    # What the chunks keep is all that is left of the last order.
+    assert [p.name for p in Path(places[-1].removeprefix("file:")).glob("part=*")] == [f"part={katz.PARTS}"]
+
+
+def test_hashes_of_words():
+    def plain(word):
+        factor, value = int(shingles._FACTOR), 0
+        for i, c in enumerate(word.lower() if word.isascii() else word):
+            value += (c + 1) * factor**i
+        return int(shingles.mix(np.array([(value + len(word)) % 2**64], np.uint64))[0])
+
+    long = b"x" * (shingles.STRETCH + 9)
+    for data in (b"", b" ", b"A", b" Zz@[`{ a\tb\x0bc \x0e\xc3\x84 ", b"one two\r\nONE", b"ab " + long[:4000] + b"\n"):
+        hashes, places = shingles.hash_words(data)
+        assert hashes.tolist() == [plain(w) for w in data.split()]
+        assert [data[p : p + 1] for p in places] == [w[:1] for w in data.split()]
+    first, second = (shingles.hash_words(d)[0] for d in (long + b" yes", b"no yes"))
+    assert len(first) == 2 and first[1] == second[1]
+
+
 def test_katz_of_an_empty_table(empty):
     assert katz.katz_scores(empty).count() == 0
 
